@@ -25,7 +25,7 @@ def level_three(draw: Column) -> Column:
 
 def random_amount(draw: Column) -> Column:
     """Whole hundreds up to 100 million; halves round to even."""
-    return (F.rint(draw * 1000000) * 100).cast("decimal(18,2)")
+    return (F.rint(draw * 1000000).cast("bigint") * 100).cast("decimal(18,2)")
 
 
 def kept(draw: Column) -> Column:

@@ -1,12 +1,13 @@
 """Hash tokens and repeatable draws, as built-in expressions.
 
-Both come from md5 text, so any engine computes the same value for the same row:
-a task that runs twice gives the same result, and a test can recompute it.
+They use md5 text and integer arithmetic only, so any engine computes the same
+value for the same row: a task that runs twice gives the same result, and a test
+can recompute it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN_SPAN = 1 << 32
@@ -28,21 +29,43 @@ def shard_slot(token: Column, shards: int) -> Column:
     return F.floor((token - F.lit(TOKEN_LOW)) / F.lit(width)).cast("bigint")
 
 
-def draws(seed: int, *identity: Column, count: int) -> list[Column]:
-    """Up to five uniform numbers in [0, 1) that depend only on the seed and on
-    the columns that identify the row, never on where or how often it is computed.
-    Put the text from :func:`draw_text` in a column first: one digest per row."""
-    return draws_of(draw_text(seed, *identity), count)
-
-
-def draw_text(seed: int, *identity: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in identity]))
-
-
-def draws_of(digest: Column, count: int) -> list[Column]:
-    if not 1 <= count <= 5:
-        raise ValueError("a digest holds one to five draws")
-    return [
-        _hex_number(F.substring(digest, 1 + 6 * i, 6)) / F.lit(float(1 << 24))
-        for i in range(count)
-    ]
+# Multipliers of the mixing rounds, the added constant and the modulus. The first
+# draw takes three rounds, each further one two.
+ROUNDS = (48271, 69621, 39373, 33614, 95071, 62089, 742938, 950706, 25214, 63073, 40692)
+FIRST_ROUNDS = 3
+ADDEND = 11
+MODULUS = (1 << 31) - 1
+# What a day and a repeat add to the state of a cell.
+DAY_STEP, REPEAT_STEP = 40503, 1013904
+
+
+def cell_state(seed: int, *texts: Column) -> Column:
+    """A 31-bit number for a seed and some texts: one digest per dictionary pair."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in texts]))
+    return _hex_number(F.substring(digest, 1, 7))
+
+
+def draw_rounds(names: list[str]) -> dict[int, str]:
+    """After which mixing round each draw is taken."""
+    rounds = {FIRST_ROUNDS + 2 * i: name for i, name in enumerate(names)}
+    if max(rounds) > len(ROUNDS):
+        raise ValueError(f"{len(ROUNDS)} rounds are too few for {len(names)} draws")
+    return rounds
+
+
+def with_draws(df: DataFrame, state: str, day: str, repeat: str, names: list[str]) -> DataFrame:
+    """Add uniform numbers in [0, 1) that depend only on the state, the day and the
+    repeat of a row. Integer steps that fit a long take the place of a digest per
+    row; each is a projection of its own, so no step is computed twice. A filter on
+    a draw is pushed below the projections and repeats its steps, two for one each
+    round: filter on the first draw only."""
+    columns, taken = df.columns, draw_rounds(names)
+    mixed = df.withColumn(
+        "_x", (F.col(state) + F.unix_date(day) * F.lit(DAY_STEP) + F.col(repeat) * F.lit(REPEAT_STEP)) % MODULUS
+    )
+    for i, multiplier in enumerate(ROUNDS[: max(taken)], start=1):
+        mixed = mixed.withColumn("_y", (F.col("_x") * F.lit(multiplier) + ADDEND) % MODULUS)
+        mixed = mixed.withColumn("_x", F.col("_y").bitwiseXOR(F.shiftright("_y", 15)))
+        if i in taken:
+            mixed = mixed.withColumn(taken[i], F.col("_x") / F.lit(float(1 << 31)))
+    return mixed.select(*columns, *names)

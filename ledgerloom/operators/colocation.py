@@ -3,7 +3,7 @@ without a shuffle, with hot tenants spread over several buckets."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import month_start
@@ -46,6 +46,15 @@ def write_buckets(df: DataFrame, table: str, key: str = "company_id", buckets: i
     )
 
 
+def colocated_session(spark: SparkSession) -> SparkSession:
+    """A session over the same catalog in which two bucketed tables join where they
+    lie although the join has more keys than the buckets. The setting is kept out
+    of the caller's session: there it would let any join stay on a coarser key."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return session
+
+
 def colocated_detail(rollup: DataFrame, fact: DataFrame, inclusive: bool = True) -> DataFrame:
     """Rollup total and detail total per analytic code, from two bucketed tables:
     the fact is joined where it lies and only summed rows are shuffled."""

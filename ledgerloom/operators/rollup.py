@@ -27,21 +27,48 @@ def matching_months(day: Column, inclusive: bool) -> Column:
     return F.when(day == own, F.array(own, shift_months(own, -1))).otherwise(F.array(own))
 
 
-def detail_by_month(fact: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Detail sums per rollup cell and analytic code."""
-    months = matching_months(F.col("transaction_dt"), inclusive)
+def monthly_cells(fact: DataFrame) -> DataFrame:
+    """Sums per rollup cell and analytic code, the first day of the month apart.
+    Rollup and detail both follow from these rows, so the fact is read once."""
+    day = F.col("transaction_dt")
     return (
-        fact.select("company_id", "account_id", "custom_1", "amount", F.explode(months).alias("period_dt"))
+        fact.withColumn("month", month_start(day))
+        .filter(F.col("month").isNotNull() & F.col("company_id").isNotNull() & F.col("account_id").isNotNull())
+        .groupBy(
+            "company_id", "account_id", "month", "currency_code", "custom_1",
+            (day == F.col("month")).alias("first_day"),
+        )
+        .agg(F.sum("amount").alias("amount"))
+    )
+
+
+def rollup_of_cells(cells: DataFrame) -> DataFrame:
+    """Monthly totals from cells."""
+    return cells.groupBy("company_id", "account_id", F.col("month").alias("period_dt"), "currency_code").agg(
+        F.sum("amount").alias("amount")
+    )
+
+
+def detail_of_cells(cells: DataFrame, inclusive: bool = True) -> DataFrame:
+    """Detail sums per tenant, account, month and analytic code; with the closed
+    bound the sums of a first day also count for the month before."""
+    own = F.array("month")
+    months = F.when(F.col("first_day"), F.array(F.col("month"), shift_months(F.col("month"), -1))).otherwise(own)
+    return (
+        cells.select(
+            "company_id", "account_id", "custom_1", "amount",
+            F.explode(months if inclusive else own).alias("period_dt"),
+        )
         .groupBy(*CELL, "custom_1")
         .agg(F.sum("amount").alias("detail"))
     )
 
 
 def report(
-    rollup: DataFrame,
     fact: DataFrame,
     companies: DataFrame,
     accounts: DataFrame,
+    rollup: DataFrame | None = None,
     inclusive: bool = True,
     company_id: int | None = None,
     parent_account: str | None = None,
@@ -51,24 +78,31 @@ def report(
 
     A rollup row meets the detail days from its month's first day up to the first
     day of the next month (closed, as published) or short of it (half open). The
-    day range becomes an equi-join on the month: a day lists the one or two months
-    it belongs to and is summed before the join, so neither the pairs of one cell
-    nor a large tenant ever meet in one task. Filters are put on both sides.
+    day range becomes an equi-join on the month: a day belongs to one or two months
+    and is summed before the join, so neither the pairs of one cell nor a large
+    tenant ever meet in one task. Without a stored ``rollup`` the totals come from
+    the same sums as the detail, in one pass over the fact.
     """
+    months = None
     if company_id is not None:
-        rollup = rollup.filter(F.col("company_id") == company_id)
         fact = fact.filter(F.col("company_id") == company_id)
     if period is not None:
-        rollup = rollup.filter(F.col("period_dt") == F.lit(period))
-        high = shift_months(F.lit(period), 1)
-        upper = F.col("transaction_dt") <= high if inclusive else F.col("transaction_dt") < high
-        fact = fact.filter((F.col("transaction_dt") >= F.lit(period)) & upper)
+        # The closed range also needs the first day of the next month.
+        fact = fact.filter(F.col("transaction_dt").between(F.lit(period), shift_months(F.lit(period), 1)))
+        months = F.col("period_dt") == F.lit(period)
     if parent_account is not None:
         accounts = accounts.filter(F.col("parent_account_id") == parent_account)
-    joined = (
-        rollup.join(detail_by_month(fact, inclusive), CELL)
-        .join(companies.select("company_id", "company_name"), "company_id")
-        .join(accounts.select("account_id", "account_description"), "account_id")
+        fact = fact.join(accounts.select("account_id"), "account_id", "left_semi")
+    cells = monthly_cells(fact)
+    totals = rollup_of_cells(cells) if rollup is None else rollup
+    if rollup is not None and company_id is not None:
+        totals = totals.filter(F.col("company_id") == company_id)
+    detail = detail_of_cells(cells, inclusive)
+    joined = totals.join(detail, CELL)
+    if months is not None:
+        joined = joined.filter(months)
+    joined = joined.join(companies.select("company_id", "company_name"), "company_id").join(
+        accounts.select("account_id", "account_description"), "account_id"
     )
     # Cells of several currencies may hold the same total: they fall into one row.
     return (

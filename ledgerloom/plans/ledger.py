@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import analytics
 from ledgerloom.functions.periods import cutoff
-from ledgerloom.functions.tokens import draw_text, draws_of
+from ledgerloom.functions.tokens import cell_state, with_draws
 from ledgerloom.operators import partitions
 from ledgerloom.operators.dictionary import grid
 from ledgerloom.operators.keys import continued_key, dense_key
@@ -21,11 +21,19 @@ from ledgerloom.sources.literals import days_between, numbers
 
 
 def day_grid(
-    companies: DataFrame, accounts: DataFrame, first: dt.date | Column, last: dt.date | Column, per_day: int = 10
+    companies: DataFrame,
+    accounts: DataFrame,
+    first: dt.date | Column,
+    last: dt.date | Column,
+    per_day: int = 10,
+    seed: int | None = None,
 ) -> DataFrame:
     """Companies × accounts × days × numbers. The days are spread over the cluster
-    before the last step, so that a small dictionary does not mean few tasks."""
+    before the last step, so that a small dictionary does not mean few tasks. With
+    a seed every pair carries the state its draws start from."""
     pairs = grid(companies.select("company_id"), accounts.select("account_id"))
+    if seed is not None:
+        pairs = pairs.withColumn("state", cell_state(seed, F.col("company_id"), F.col("account_id")))
     low, high = (d if isinstance(d, Column) else F.lit(d) for d in (first, last))
     days = pairs.withColumn("transaction_dt", days_between(low, high))
     width = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -34,24 +42,24 @@ def day_grid(
     )
 
 
-def generated_rows(cells: DataFrame, seed: int) -> DataFrame:
+# The draws of a row: whether it is kept, its amount, and its three codes.
+DRAWS = ["ok", "r", "ar1", "ar2", "ar3"]
+
+
+def generated_rows(cells: DataFrame) -> DataFrame:
     """Draw an amount and analytic codes for every cell and keep three in four.
     The draws are a function of the cell, so a lost task gives the same rows again."""
-    drawn = cells.withColumn(
-        "_digest", draw_text(seed, *[F.col(c) for c in ("company_id", "account_id", "transaction_dt", "repeat")])
-    )
-    amount, ok, one, two, three = draws_of(F.col("_digest"), 5)
-    return drawn.filter(analytics.kept(ok) == 1).select(
+    drawn = with_draws(cells, "state", "transaction_dt", "repeat", DRAWS)
+    return drawn.filter(analytics.kept(F.col("ok")) == 1).select(
         "transaction_dt",
         "company_id",
         "account_id",
-        "repeat",
         F.lit("").alias("operation_type"),
-        analytics.random_amount(amount).alias("amount"),
+        analytics.random_amount(F.col("r")).alias("amount"),
         F.lit("RUR").alias("currency_code"),
-        analytics.level_one(one).alias("custom_1"),
-        analytics.level_two(two).alias("custom_2"),
-        analytics.level_three(three).alias("custom_3"),
+        analytics.level_one(F.col("ar1")).alias("custom_1"),
+        analytics.level_two(F.col("ar2")).alias("custom_2"),
+        analytics.level_three(F.col("ar3")).alias("custom_3"),
     )
 
 
@@ -65,7 +73,7 @@ def generate(
     per_day: int = 10,
 ) -> DataFrame:
     """A synthetic ledger with dense keys, continued after ``existing`` if given."""
-    rows = generated_rows(day_grid(companies, accounts, first, last, per_day), seed).drop("repeat")
+    rows = generated_rows(day_grid(companies, accounts, first, last, per_day, seed))
     if existing is None:
         keyed = dense_key(rows, "transaction_id")
     else:

@@ -404,5 +404,6 @@ JOIN acc_data ad ON ad.company_id = ag.company_id AND ad.account_id = ag.account
 GROUP BY 1, 2, 3, 4, 5, ag.amount""")
 def ledger_colocated_report(spark, sf):
     fact, rollup = bucketed_ledger(spark, sf)
-    rows = colocation.colocated_detail(spark.table(rollup), spark.table(fact))
+    session = colocation.colocated_session(spark)
+    rows = colocation.colocated_detail(session.table(rollup), session.table(fact))
     return rows.withColumns({c: F.col(c).cast("double") for c in ("amount_all", "amount_custom_1")})

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from ledgerloom import bindings
 from ledgerloom.functions import analytics
 from ledgerloom.functions.periods import cutoff, half_open, month_start, shift_months
+from ledgerloom.functions.tokens import ADDEND, DAY_STEP, MODULUS, REPEAT_STEP, ROUNDS, draw_rounds
 from ledgerloom.operators import audit
 from ledgerloom.operators.keys import continued_key, dense_key
 from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.operators.union import filtered_view, full_view
-from ledgerloom.plans.ledger import day_grid, generate, generated_rows
+from ledgerloom.plans.ledger import DRAWS, day_grid, generate, generated_rows
 from ledgerloom.registry import register
 from ledgerloom.registry.base import (
     ACC_AGGREGATE, ACC_DATA, AS_OF, DICTIONARIES, HEAD_COMPANY, KEEP_MONTHS, LABEL_SQL, SHOWN,
@@ -58,9 +59,7 @@ MONTH = """WHERE ag.company_id = 5 AND da.parent_account_id = '1'
 
 def _report(spark, sf, **options):
     rows = bindings.fact(spark, sf)
-    answer = report(
-        monthly_rollup(rows), rows, bindings.companies(spark, sf), bindings.accounts(spark, sf), **options
-    )
+    answer = report(rows, bindings.companies(spark, sf), bindings.accounts(spark, sf), **options)
     return answer.select(
         "company_name", "account_description", "custom_1",
         F.col("amount_all").cast("double").alias("amount_all"),
@@ -246,17 +245,24 @@ def ledger_grid_days(spark, sf):
     )
 
 
-def _draw_sql(i: int) -> str:
-    return f"CAST('0x' || substr(h, {1 + 6 * i}, 6) AS BIGINT) / 16777216.0::DOUBLE"
+def _drawn_sql() -> str:
+    """The mixing rounds, each step named once and used by the next."""
+    steps, last, taken = [], "x", draw_rounds(DRAWS)
+    for i, multiplier in enumerate(ROUNDS, start=1):
+        steps.append(f"({last} * {multiplier} + {ADDEND}) % {MODULUS} AS y{i}")
+        steps.append(f"xor(y{i}, y{i} >> 15) AS x{i}")
+        last = f"x{i}"
+        if i in taken:
+            steps.append(f"{last} / 2147483648.0::DOUBLE AS {taken[i]}")
+    return ", ".join(steps)
 
 
 DRAWN_SQL = f"""{GRID_SQL},
-hashed AS (
-  SELECT *, md5(concat_ws('|', '{SEED}', CAST(company_id AS VARCHAR), account_id,
-                CAST(transaction_dt AS VARCHAR), CAST(repeat AS VARCHAR))) AS h FROM grid),
-drawn AS (
-  SELECT *, {_draw_sql(0)} AS r, {_draw_sql(1)} AS ok, {_draw_sql(2)} AS ar1,
-         {_draw_sql(3)} AS ar2, {_draw_sql(4)} AS ar3 FROM hashed),
+started AS (
+  SELECT *, (CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(company_id AS VARCHAR), account_id)), 1, 7) AS BIGINT)
+         + CAST(transaction_dt - DATE '1970-01-01' AS BIGINT) * {DAY_STEP} + repeat * {REPEAT_STEP}) % {MODULUS} AS x
+  FROM grid),
+drawn AS (SELECT *, {_drawn_sql()} FROM started),
 acc_data AS (
   SELECT company_id, account_id, transaction_dt,
          CAST(round_even(r * 1000000, 0) * 100 AS DECIMAL(18,2)) AS amount,
@@ -272,7 +278,7 @@ SELECT company_id, account_id, CAST(date_trunc('month', transaction_dt) AS DATE)
        custom_1, custom_2, COUNT(*) AS cnt, CAST(SUM(amount) AS DOUBLE) AS amount, COUNT(custom_3) AS rare_cnt
 FROM acc_data GROUP BY 1, 2, 3, 4, 5""")
 def ledger_generated(spark, sf):
-    rows = generated_rows(day_grid(*_grid_input(spark, sf)), SEED)
+    rows = generated_rows(day_grid(*_grid_input(spark, sf), seed=SEED))
     return rows.groupBy(
         "company_id", "account_id", month_start(F.col("transaction_dt")).alias("period_dt"), "custom_1", "custom_2"
     ).agg(
