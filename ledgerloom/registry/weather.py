@@ -172,11 +172,12 @@ def weather_columnar_rewrite(spark, sf):
     path, schema = _events_csv(spark, sf)
     rows = read_csv(spark, path, schema)
     columnar = rewrite_columnar(rows, scratch_path(spark, "weather-columnar"), ["city_name", "dt", "station_id"])
-    before = rows.agg(F.count("*").alias("rows_before"))
-    sizes = stored_bytes(rows).select(F.col("size_bytes").alias("csv_bytes"))
-    after = columnar.agg(F.count("*").alias("rows_after")).join(stored_bytes(columnar))
-    return before.join(sizes).join(after).select(
-        "rows_before", "rows_after", (F.col("size_bytes") < F.col("csv_bytes")).alias("smaller")
+    csv_bytes = stored_bytes(rows).select("size_bytes").scalar()
+    parquet_bytes = stored_bytes(columnar).select("size_bytes").scalar()
+    return columnar.agg(F.count("*").alias("rows_after")).select(
+        rows.agg(F.count("*")).scalar().alias("rows_before"),
+        "rows_after",
+        (parquet_bytes < csv_bytes).alias("smaller"),
     )
 
 
@@ -263,10 +264,10 @@ SELECT CAST(MIN(ts) AS DATE) AS min_day, CAST(MAX(ts) AS DATE) AS max_day, true
 def weather_date_check(spark, sf):
     """Day range of the loaded table against the source: a narrow type would wrap."""
     path, schema = _events_csv(spark, sf)
-    loaded = plans.date_range(read_csv(spark, path, schema))
-    source = plans.date_range(bindings.weather(spark, sf)).toDF("source_min", "source_max")
-    return loaded.join(source).select(
+    source = bindings.weather(spark, sf)
+    first, last = source.agg(F.min("dt")).scalar(), source.agg(F.max("dt")).scalar()
+    return plans.date_range(read_csv(spark, path, schema)).select(
         F.col("min_dt").cast("date").alias("min_day"),
         F.col("max_dt").cast("date").alias("max_day"),
-        ((F.col("min_dt") == F.col("source_min")) & (F.col("max_dt") == F.col("source_max"))).alias("same"),
+        ((F.col("min_dt") == first) & (F.col("max_dt") == last)).alias("same"),
     )

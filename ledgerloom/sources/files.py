@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 # Zone-less timestamps in text, down to the microsecond.
 ZONELESS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
+# What the CSV parser hands on for a field with nothing in it. It is no text a file
+# can hold as a field, so a quoted empty field is not taken for it.
+NULL_MARK = "\u0000"
+
 
 def read_parquet(spark: SparkSession, path: str, legacy_dates: bool = False) -> DataFrame:
     """Parquet scan. ``legacy_dates`` rebases dates and timestamps before 1582
@@ -32,7 +36,7 @@ def read_csv(
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", "")
+        .option("nullValue", NULL_MARK)
         .option("emptyValue", "")
         .option("enforceSchema", True)
         .option("timestampNTZFormat", ZONELESS)
