@@ -50,10 +50,9 @@ def window_check(df: DataFrame, day: str, low, high) -> DataFrame:
 
 
 def conservation(parts: dict[str, DataFrame], by: list[str]) -> DataFrame:
-    """Rows per group in each named dataset, side by side. Every dataset is counted
-    where it lies and only the counts meet."""
-    counted = [
-        df.groupBy(*by).agg(F.count("*").alias(f"{name}_rows")) for name, df in parts.items()
-    ]
-    joined = reduce(lambda a, b: a.join(b, by, "full"), counted)
-    return joined.select(*by, *[F.coalesce(f"{n}_rows", F.lit(0)).alias(f"{n}_rows") for n in parts])
+    """Rows per group in each named dataset, side by side. The datasets are put one
+    after the other and counted in one pass, so no counts have to be joined."""
+    tagged = [df.select(*by, F.lit(name).alias("_name")) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, tagged).groupBy(*by).agg(
+        *[F.count_if(F.col("_name") == name).alias(f"{name}_rows") for name in parts]
+    )

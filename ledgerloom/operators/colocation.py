@@ -7,12 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import month_start
+from ledgerloom.operators.layout import refresh_statistics
 from ledgerloom.operators.rollup import CELL, matching_months
 
 BUCKETS = 32
+# Bytes one bucket should hold, and the most buckets Spark allows by default.
+BUCKET_BYTES = 1 << 30
+MOST_BUCKETS = 100_000
 SPLIT = "split"
 
 
+def bucket_count(spark: SparkSession, table: str, least: int = BUCKETS) -> int:
+    """Buckets for a stored table, by the size of its files: the usual number while
+    it is small, more when a bucket would outgrow one task."""
+    wanted = -(-refresh_statistics(spark, table, rows=False)["bytes"] // BUCKET_BYTES)
+    return max(least, min(MOST_BUCKETS, wanted))
+
+
 def hot_tenants(fact: DataFrame, key: str = "company_id", buckets: int = BUCKETS) -> DataFrame:
     """Tenants with more rows than an even bucket, and how many buckets each fills.
     There are at most ``buckets`` of them, whatever the number of tenants."""

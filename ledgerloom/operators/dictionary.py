@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 REPLICATE_LIMIT = 64 * 1024 * 1024
 
 
+def size_estimate(df: DataFrame) -> int:
+    """Bytes the optimizer expects a plan to give: file sizes for a scan, an upper
+    bound for filters and aggregates. Joins multiply both sides, and a catalog table
+    without statistics counts as endless, so a wrong guess is never too small."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def replicate_if_small(df: DataFrame, limit: int = REPLICATE_LIMIT) -> DataFrame:
     """Mark a table for replication to every executor if the optimizer's size
     estimate is within ``limit`` bytes. A larger table is returned unmarked: the
     join then shuffles by key, and AQE splits its skewed partitions."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(estimate)) <= limit else df
+    return F.broadcast(df) if size_estimate(df) <= limit else df
 
 
 def grid(left: DataFrame, right: DataFrame, blocks: int = 16) -> DataFrame:

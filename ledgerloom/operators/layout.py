@@ -43,12 +43,13 @@ def estimated_count(files: DataFrame) -> DataFrame:
     return parts.agg(F.sum(F.col("result").cast("double")).alias("estimated_count"))
 
 
-def refresh_statistics(spark: SparkSession, table: str) -> dict[str, int]:
-    """Recompute a table's statistics and read them back: bytes and rows."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Statistics'").collect()
+def refresh_statistics(spark: SparkSession, table: str, rows: bool = True) -> dict[str, int]:
+    """Recompute a table's statistics and read them back: bytes and, unless only
+    the file sizes are wanted (no data is read then), rows."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{'' if rows else ' NOSCAN'}")
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Statistics'").collect()
     numbers = {}
-    for part in rows[0]["data_type"].split(","):
+    for part in found[0]["data_type"].split(","):
         value, unit = part.split()
         numbers[unit] = int(value)
     return numbers

@@ -52,6 +52,12 @@ def list_partitions(spark: SparkSession, table: str) -> list[str]:
     return sorted(r["partition"].split("=", 1)[1] for r in rows)
 
 
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """Enter partition folders the catalog does not know: a job that died after it
+    had moved its files but before it had entered them leaves such folders."""
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
 def drop_partitions(spark: SparkSession, table: str, labels: list[str]) -> None:
     """Drop partitions in one catalog statement."""
     if labels:
@@ -100,6 +106,7 @@ def copy_missing(source: DataFrame, table: str, day: str) -> DataFrame:
     """
     spark = source.sparkSession
     columns = [c for c in source.columns if c != PART]
+    recover_partitions(spark, table)
     known = set(list_partitions(spark, table))
     # Labels to copy: one per month, which bounds what the driver holds.
     labels = sorted(r[PART] for r in source.select(PART).distinct().collect())

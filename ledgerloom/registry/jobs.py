@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerloom import bindings
-from ledgerloom.functions.periods import cutoff
+from ledgerloom.functions.periods import cutoff, partition_label
 from ledgerloom.operators import partitions
-from ledgerloom.plans.ledger import create_ledger, load_rollup, move_to_cold
+from ledgerloom.plans import weather
+from ledgerloom.plans.ledger import both_parts, create_ledger, load_rollup, move_to_cold
 from ledgerloom.registry import register
 from ledgerloom.registry.base import (
-    ACC_AGGREGATE, ACC_DATA, AS_OF, HEAD_COMPANY, KEEP_MONTHS, LABEL_SQL, PREMADE_AS_OF, SHOWN_SQL,
+    ACC_AGGREGATE, ACC_DATA, AS_OF, HEAD_COMPANY, KEEP_MONTHS, LABEL_SQL, PREMADE_AS_OF, SHOWN, SHOWN_SQL,
     new_ledger, shown,
 )
-from ledgerloom.schemas import FACT
+from ledgerloom.schemas import FACT, WEATHER
 from ledgerloom.shared import scratch_namespace, scratch_path
-from ledgerloom.sinks.tables import append_rows, create_as, create_table, empty_table
+from ledgerloom.sinks.tables import (
+    append_rows, append_with_identity, create_as, create_table, create_view, empty_table,
+)
 from ledgerloom.sources.files import write_parquet
 from ledgerloom.sources.jdbc import ParquetTable, count_where
 
@@ -113,11 +118,52 @@ WITH {ACC_DATA} SELECT {SHOWN_SQL} FROM acc_data
 WHERE transaction_dt BETWEEN DATE '1999-11-20' AND DATE '1999-12-10'""")
 def ledger_reunited(spark, sf):
     """A day range across the cutoff, read from the hot and the cold table."""
-    from ledgerloom.plans.ledger import both_parts
-    import datetime as dt
-
     hot = new_ledger(spark, sf)
     cold = create_table(spark, f"{scratch_namespace(spark, 'cold')}.{FACT.name}", FACT, (partitions.PART,))
     move_to_cold(spark, hot, cold, AS_OF, KEEP_MONTHS)
     rows = both_parts(spark, hot, cold)
     return shown(partitions.read_days(rows, "transaction_dt", dt.date(1999, 11, 20), dt.date(1999, 12, 10)))
+
+
+@register("ledger_view", f"""
+WITH {ACC_DATA} SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt FROM acc_data GROUP BY 1""")
+def ledger_view(spark, sf):
+    """A catalog view over a hot and a cold table that share a month."""
+    space = scratch_namespace(spark, "view")
+    rows = bindings.fact(spark, sf).select(*SHOWN, partition_label(F.col("transaction_dt")).alias("part"))
+    create_as(rows.filter(F.col("transaction_dt") >= F.lit(cutoff(AS_OF, KEEP_MONTHS + 1))), f"{space}.acc_data")
+    create_as(rows.filter(F.col("transaction_dt") < F.lit(CUTOFF)), f"{space}.cold_acc_data")
+    both = create_view(
+        spark, f"{space}.v_acc_data_full",
+        f"SELECT * FROM {space}.acc_data UNION SELECT * FROM {space}.cold_acc_data",
+    )
+    return both.groupBy("part").agg(F.count("*").alias("row_cnt"))
+
+
+@register("ledger_identity_insert", """
+SELECT COUNT(*) AS cnt, CAST(1 AS BIGINT) AS first_id, COUNT(*) AS last_id, COUNT(*) AS distinct_ids
+FROM (SELECT p_name FROM part UNION ALL SELECT s_name FROM supplier) n""")
+def ledger_identity_insert(spark, sf):
+    """Two inserts into a table that numbers its rows."""
+    name = f"{scratch_namespace(spark)}.names"
+    spark.sql(f"CREATE TABLE {name} (id bigint, name string) USING parquet")
+    append_with_identity(bindings.table(spark, sf, "part").select(F.col("p_name").alias("name")), name, "id")
+    append_with_identity(bindings.table(spark, sf, "supplier").select(F.col("s_name").alias("name")), name, "id")
+    return spark.table(name).agg(
+        F.count("*").alias("cnt"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.countDistinct("id").alias("distinct_ids"),
+    )
+
+
+@register("weather_load", """
+SELECT CAST(user_id AS VARCHAR) AS station_id, event_type AS city_name, ts AS dt,
+       'winter' AS season, value AS avg_temp_c, value AS max_temp_c
+FROM events WHERE NULLIF(event_type, 'error') IS NOT NULL""")
+def weather_load(spark, sf):
+    """Clean the observations and append them to a declared catalog table."""
+    name = create_table(spark, f"{scratch_namespace(spark, 'weather')}.{WEATHER.name}", WEATHER)
+    cleaned = weather.clean(bindings.weather_source(spark, sf)).withColumnRenamed("date", "dt")
+    weather.timed_load(cleaned, lambda df: append_rows(df, name))
+    return spark.table(name).select("station_id", "city_name", "dt", "season", "avg_temp_c", "max_temp_c")

@@ -381,15 +381,16 @@ def bucketed_ledger(spark, sf) -> tuple[str, str]:
         fact, rollup = f"{space}.acc_data", f"{space}.acc_aggregate"
         # The partitioned ledger is scanned twice; its joins are not run again.
         rows = stored_ledger(spark, sf).drop(partitions.PART)
-        hot = colocation.hot_tenants(rows)
+        buckets = colocation.bucket_count(spark, stored_ledger_name(spark, sf))
+        hot = colocation.hot_tenants(rows, buckets=buckets)
         by = ["transaction_id", "transaction_dt", "account_id", "amount"]
-        colocation.write_buckets(colocation.spread(rows, hot, by), fact)
+        colocation.write_buckets(colocation.spread(rows, hot, by), fact, buckets=buckets)
         totals = (
             colocation.colocated_rollup(spark.table(fact))
             .groupBy("company_id", "account_id", "period_dt", "currency_code")
             .agg(F.sum("amount").alias("amount"))
         )
-        colocation.write_buckets(colocation.repeated(totals, hot), rollup)
+        colocation.write_buckets(colocation.repeated(totals, hot), rollup, buckets=buckets)
         _buckets[key] = (fact, rollup)
     return _buckets[key]
 
@@ -407,3 +408,36 @@ def ledger_colocated_report(spark, sf):
     session = colocation.colocated_session(spark)
     rows = colocation.colocated_detail(session.table(rollup), session.table(fact))
     return rows.withColumns({c: F.col(c).cast("double") for c in ("amount_all", "amount_custom_1")})
+
+
+# --- weather shards ----------------------------------------------------------
+
+STATIONS = f"""stations AS (
+  SELECT user_id, COUNT(*) AS n, {TOKEN_SQL.format('user_id')} AS token FROM events GROUP BY user_id),
+station_shards AS (
+  SELECT CAST(i AS BIGINT) AS shard, COUNT(user_id) AS tenant_cnt, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_cnt
+  FROM (SELECT unnest(range(32)) AS i) s LEFT JOIN stations
+    ON CAST(floor((token + 2147483648) / 134217728) AS BIGINT) = i GROUP BY 1)"""
+
+
+def _station_shards(spark, sf):
+    return shards.shard_rows(bindings.weather(spark, sf), _even(spark), "station_id")
+
+
+@register("weather_shard_rows", f"WITH {STATIONS} SELECT shard, tenant_cnt, row_cnt FROM station_shards")
+def weather_shard_rows(spark, sf):
+    """Weather distributed by station: stations and rows of every shard."""
+    return _station_shards(spark, sf).select("shard", "tenant_cnt", "row_cnt")
+
+
+@register("weather_shard_skew", f"WITH {STATIONS} "
+          + SKEW_SQL.format("(SELECT row_cnt AS n FROM station_shards) r"))
+def weather_shard_skew(spark, sf):
+    return _skew(_station_shards(spark, sf))
+
+
+@register("weather_segment_rows")
+def weather_segment_rows(spark, sf):
+    """Rows per segment of the weather table spread by station and day."""
+    rows = bindings.weather(spark, sf).repartition(shards.SHARDS, "station_id", "dt")
+    return shards.segment_rows(rows)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import bindings
 from ledgerloom.functions import analytics
-from ledgerloom.functions.periods import cutoff, half_open, month_start, shift_months
+from ledgerloom.functions.periods import cutoff, half_open, month_start, months_interval, shift_months
 from ledgerloom.functions.tokens import ADDEND, DAY_STEP, MODULUS, REPEAT_STEP, ROUNDS, draw_rounds
 from ledgerloom.operators import audit
+from ledgerloom.operators.dictionary import replicate_if_small
 from ledgerloom.operators.keys import continued_key, dense_key
 from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.operators.union import filtered_view, full_view
@@ -18,7 +19,7 @@ from ledgerloom.plans.ledger import DRAWS, day_grid, generate, generated_rows
 from ledgerloom.registry import register
 from ledgerloom.registry.base import (
     ACC_AGGREGATE, ACC_DATA, AS_OF, DICTIONARIES, HEAD_COMPANY, KEEP_MONTHS, LABEL_SQL, SHOWN,
-    SHOWN_SQL, shown,
+    SHOWN_SQL, shown, stored_ledger,
 )
 from ledgerloom.schemas import FACT
 
@@ -37,6 +38,24 @@ def ledger_monthly_rollup(spark, sf):
     return totals.withColumn("amount", F.col("amount").cast("double"))
 
 
+@register("ledger_named_rollup", f"""
+WITH {ACC_DATA}, {DICTIONARIES}, {ACC_AGGREGATE}
+SELECT dc.company_name, da.parent_account_id, ag.period_dt, CAST(SUM(ag.amount) AS DOUBLE) AS amount
+FROM acc_aggregate ag
+JOIN dct_companies dc ON dc.company_id = ag.company_id
+JOIN dct_accounts  da ON da.account_id = ag.account_id
+GROUP BY 1, 2, 3""")
+def ledger_named_rollup(spark, sf):
+    """Monthly totals by company name and root account; a dictionary is replicated
+    if its size allows it."""
+    companies = replicate_if_small(bindings.companies(spark, sf).select("company_id", "company_name"))
+    accounts = replicate_if_small(bindings.accounts(spark, sf).select("account_id", "parent_account_id"))
+    named = monthly_rollup(bindings.fact(spark, sf)).join(companies, "company_id").join(accounts, "account_id")
+    return named.groupBy("company_name", "parent_account_id", "period_dt").agg(
+        F.sum("amount").cast("double").alias("amount")
+    )
+
+
 def _report_sql(days: str, where: str = "") -> str:
     return f"""
 WITH {ACC_DATA}, {DICTIONARIES}, {ACC_AGGREGATE}
@@ -201,12 +220,13 @@ SELECT part, COALESCE(h.n, 0) AS hot_rows, COALESCE(c.n, 0) AS cold_rows,
        COALESCE(v.n, 0) AS view_rows, COALESCE(a.n, 0) AS source_rows
 FROM h FULL JOIN c USING (part) FULL JOIN v USING (part) FULL JOIN a USING (part)""")
 def ledger_conservation(spark, sf):
-    from ledgerloom.functions.periods import partition_label
-
-    hot, cold = _parts(spark, sf)
-    named = {"hot": hot, "cold": cold, "view": full_view(hot, cold), "source": bindings.fact(spark, sf)}
-    label = partition_label(F.col("transaction_dt"))
-    return audit.conservation({n: d.withColumn("part", label) for n, d in named.items()}, ["part"])
+    """Hot, cold, view and source read from the stored ledger: its joins run once."""
+    stored = stored_ledger(spark, sf).select(*SHOWN, "part")
+    hot = stored.filter(F.col("transaction_dt") >= F.lit(cutoff(AS_OF, KEEP_MONTHS + 1)))
+    cold = stored.filter(F.col("transaction_dt") < F.lit(CUTOFF))
+    return audit.conservation(
+        {"hot": hot, "cold": cold, "view": full_view(hot, cold), "source": stored}, ["part"]
+    )
 
 
 # --- generator ---------------------------------------------------------------
@@ -301,6 +321,24 @@ def ledger_generated_keys(spark, sf):
     )
 
 
+@register("ledger_generated_append", f"""
+WITH {DRAWN_SQL}, n AS (SELECT COUNT(*) AS cnt FROM acc_data WHERE company_id = {HEAD_COMPANY}),
+m AS (SELECT MAX(l_orderkey * 8 + l_linenumber) AS last FROM lineitem)
+SELECT cnt, last + 1 AS first_key, last + cnt AS last_key, cnt AS distinct_keys FROM n, m""")
+def ledger_generated_append(spark, sf):
+    """Rows of one company, with keys that go on after those of the ledger."""
+    companies, accounts, first, last = _grid_input(spark, sf)
+    head = companies.filter(F.col("company_id") == HEAD_COMPANY)
+    lines = bindings.table(spark, sf, "lineitem")
+    existing = lines.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("transaction_id"))
+    return generate(head, accounts, first, last, SEED, existing=existing).agg(
+        F.count("*").alias("cnt"),
+        F.min("transaction_id").alias("first_key"),
+        F.max("transaction_id").alias("last_key"),
+        F.countDistinct("transaction_id").alias("distinct_keys"),
+    )
+
+
 @register("ledger_case_buckets", """
 WITH draws AS (
   SELECT ((l_orderkey * 7 + l_linenumber * 131) % 1000) / 1000.0::DOUBLE AS r FROM lineitem),
@@ -392,8 +430,6 @@ SELECT company_id, CAST(date_trunc('month', transaction_dt) AS DATE) AS period_d
 WHERE transaction_dt >= DATE '1999-01-01' AND transaction_dt < DATE '1999-01-01' + INTERVAL '6' MONTH
 GROUP BY 1, 2""")
 def ledger_month_rows(spark, sf):
-    from ledgerloom.functions.periods import months_interval
-
     rows = bindings.fact(spark, sf)
     low = F.lit(dt.date(1999, 1, 1))
     inside = half_open(F.col("transaction_dt"), low, low + months_interval(F.lit("6")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.keys import continued_key
 from ledgerloom.schemas import TableSpec
 from ledgerloom.sources.files import ZONELESS
 
@@ -47,6 +48,25 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*target.columns).write.insertInto(table)
 
 
+def append_with_identity(df: DataFrame, table: str, key: str) -> None:
+    """Insert rows without a key into a table that numbers its rows: the numbers go
+    on after the largest one in the table."""
+    append_rows(continued_key(df, key, df.sparkSession.table(table)), table)
+
+
+def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """Create or replace a view in the catalog and return it."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
+def plan_text(df: DataFrame) -> str:
+    """The physical plan as text, the way EXPLAIN FORMATTED shows it."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
 def create_as(df: DataFrame, table: str) -> DataFrame:
     """Create a table from a query and return it."""
     df.write.saveAsTable(table)

@@ -110,6 +110,17 @@ def test_cold_move_after_a_crash_and_with_late_rows(spark):
     assert spark.table(hot).count() + spark.table(cold).count() == len(DAYS) + 1
 
 
+def test_cold_move_after_a_crash_before_the_catalog_entry(spark):
+    hot, cold = hot_and_cold(spark)
+    p.backfill(spark, hot, "transaction_dt")
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {cold}").filter("col_name = 'Location'").first().data_type
+    # Files that were moved into place, in a folder the catalog has not entered.
+    spark.table(hot).filter("part = 'p20220101'").drop("part").write.parquet(f"{place}/part=p20220101")
+    assert p.list_partitions(spark, cold) == []
+    ledger.move_to_cold(spark, hot, cold, AS_OF, 23)
+    assert counts(spark, cold) == {"p20211201": 1, "p20220101": 2}
+
+
 def test_cold_move_keeps_a_month_that_does_not_agree(spark, monkeypatch):
     hot, cold = hot_and_cold(spark)
     real = p.append_rows
