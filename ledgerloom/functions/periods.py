@@ -29,9 +29,19 @@ def cutoff(as_of: dt.date, months: int) -> dt.date:
     return dt.date(index // 12, index % 12 + 1, 1)
 
 
+def moment(value: dt.datetime) -> Column:
+    """A zone-less time as a literal of that type. A plain literal would carry the
+    session's zone, shift with it, and keep the comparison from the scan."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _literal(value) -> Column:
+    return moment(value) if isinstance(value, dt.datetime) and value.tzinfo is None else F.lit(value)
+
+
 def half_open(column: Column, low, high) -> Column:
     """``low <= column < high``."""
-    return (column >= F.lit(low)) & (column < F.lit(high))
+    return (column >= _literal(low)) & (column < _literal(high))
 
 
 def partition_label(day: Column) -> Column:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REPLICATE_LIMIT = 64 * 1024 * 1024
+# Stored bytes; rows in memory may take a few times as much.
+REPLICATE_LIMIT = 32 * 1024 * 1024
 
 
 def size_estimate(df: DataFrame) -> int:
-    """Bytes the optimizer expects a plan to give: file sizes for a scan, an upper
-    bound for filters and aggregates. Joins multiply both sides, and a catalog table
-    without statistics counts as endless, so a wrong guess is never too small."""
+    """Bytes the optimizer expects a plan to give: the (compressed) file sizes for a
+    scan, an upper bound for filters and aggregates. Joins multiply both sides, and a
+    catalog table without statistics counts as endless: neither passes as small."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

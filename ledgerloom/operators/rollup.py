@@ -43,9 +43,14 @@ def monthly_cells(fact: DataFrame) -> DataFrame:
 
 
 def rollup_of_cells(cells: DataFrame) -> DataFrame:
-    """Monthly totals from cells."""
-    return cells.groupBy("company_id", "account_id", F.col("month").alias("period_dt"), "currency_code").agg(
-        F.sum("amount").alias("amount")
+    """Monthly totals from cells. They are brought together by the three columns the
+    report joins on: the sum and the join then need no further shuffle. A cell holds
+    one row per currency and code, however many fact rows it stands for."""
+    return (
+        cells.select("company_id", "account_id", F.col("month").alias("period_dt"), "currency_code", "amount")
+        .repartition(*CELL)
+        .groupBy(*CELL, "currency_code")
+        .agg(F.sum("amount").alias("amount"))
     )
 
 
@@ -59,6 +64,7 @@ def detail_of_cells(cells: DataFrame, inclusive: bool = True) -> DataFrame:
             "company_id", "account_id", "custom_1", "amount",
             F.explode(months if inclusive else own).alias("period_dt"),
         )
+        .repartition(*CELL)
         .groupBy(*CELL, "custom_1")
         .agg(F.sum("amount").alias("detail"))
     )

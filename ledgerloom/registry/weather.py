@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import bindings
+from ledgerloom.functions.periods import moment
 from ledgerloom.operators.layout import rewrite_columnar, stored_bytes
 from ledgerloom.operators.upsert import keep_last, upsert
 from ledgerloom.plans import weather as plans
@@ -99,8 +100,8 @@ def weather_upsert_batch(spark, sf):
         F.col("value").alias("avg_temp_c"),
     )
     key = ["city_name", "day"]
-    first = keep_last(rows.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 20))), key, ["event_id"])
-    late = rows.filter(F.col("ts") >= F.lit(dt.datetime(2024, 1, 10)))
+    first = keep_last(rows.filter(F.col("ts") < moment(dt.datetime(2024, 1, 20))), key, ["event_id"])
+    late = rows.filter(F.col("ts") >= moment(dt.datetime(2024, 1, 10)))
     second = keep_last(late.withColumn("avg_temp_c", -F.col("avg_temp_c")), key, ["event_id"])
     columns = [*key, "avg_temp_c"]
     return upsert(first.select(*columns), second.select(*columns), key)

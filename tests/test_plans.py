@@ -56,6 +56,7 @@ def test_weather_reads_only_its_columns(spark, sf_dir):
     assert "FileScan parquet [event_type#" in city
     point = plan(queries["weather_point"](spark, sf_dir))
     assert "Exchange" not in point
+    assert "GreaterThanOrEqual(ts," in point and "EqualTo(event_type,purchase)" in point
 
 
 def test_rollup_sums_before_the_shuffle(spark, sf_dir):
