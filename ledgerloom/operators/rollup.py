@@ -70,6 +70,19 @@ def detail_of_cells(cells: DataFrame, inclusive: bool = True) -> DataFrame:
     )
 
 
+def _one_month(
+    fact: DataFrame, rollup: DataFrame | None, period, inclusive: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Totals and detail sums of a single month, each a range of days."""
+    day, low, high = F.col("transaction_dt"), F.lit(period), shift_months(F.lit(period), 1)
+    from_month = fact.filter(day >= low)
+    own = from_month.filter(day < high)
+    totals = monthly_rollup(own) if rollup is None else rollup.filter(F.col("period_dt") == low)
+    within = from_month.filter(day <= high) if inclusive else own
+    detail = within.groupBy("company_id", "account_id", "custom_1").agg(F.sum("amount").alias("detail"))
+    return totals, detail.withColumn("period_dt", low)
+
+
 def report(
     fact: DataFrame,
     companies: DataFrame,
@@ -89,24 +102,19 @@ def report(
     tenant ever meet in one task. Without a stored ``rollup`` the totals come from
     the same sums as the detail, in one pass over the fact.
     """
-    months = None
     if company_id is not None:
         fact = fact.filter(F.col("company_id") == company_id)
-    if period is not None:
-        # The closed range also needs the first day of the next month.
-        fact = fact.filter(F.col("transaction_dt").between(F.lit(period), shift_months(F.lit(period), 1)))
-        months = F.col("period_dt") == F.lit(period)
+        rollup = rollup.filter(F.col("company_id") == company_id) if rollup is not None else None
     if parent_account is not None:
         accounts = accounts.filter(F.col("parent_account_id") == parent_account)
         fact = fact.join(accounts.select("account_id"), "account_id", "left_semi")
-    cells = monthly_cells(fact)
-    totals = rollup_of_cells(cells) if rollup is None else rollup
-    if rollup is not None and company_id is not None:
-        totals = totals.filter(F.col("company_id") == company_id)
-    detail = detail_of_cells(cells, inclusive)
+    if period is not None:
+        totals, detail = _one_month(fact, rollup, period, inclusive)
+    else:
+        cells = monthly_cells(fact)
+        totals = rollup_of_cells(cells) if rollup is None else rollup
+        detail = detail_of_cells(cells, inclusive)
     joined = totals.join(detail, CELL)
-    if months is not None:
-        joined = joined.filter(months)
     joined = joined.join(companies.select("company_id", "company_name"), "company_id").join(
         accounts.select("account_id", "account_description"), "account_id"
     )

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import analytics
-from ledgerloom.functions.periods import cutoff
+from ledgerloom.functions.periods import cutoff, label_of
 from ledgerloom.functions.tokens import cell_state, with_draws
 from ledgerloom.operators import partitions
 from ledgerloom.operators.dictionary import grid
 from ledgerloom.operators.keys import continued_key, dense_key
-from ledgerloom.operators.rollup import monthly_rollup
+from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.operators.union import full_view
 from ledgerloom.schemas import FACT, ROLLUP
 from ledgerloom.sinks.tables import append_rows, create_table, with_defaults
@@ -94,6 +94,26 @@ def load_rollup(spark: SparkSession, fact: str, rollup: str) -> None:
     partitions.write_monthly(totals, rollup, "period_dt")
 
 
+def month_report(
+    spark: SparkSession,
+    fact: str,
+    rollup: str,
+    companies: DataFrame,
+    accounts: DataFrame,
+    period: dt.date,
+    inclusive: bool = True,
+    **filters,
+) -> DataFrame:
+    """The report of one month from the stored tables. Only the month's partition of
+    the rollup is read, and of the fact that one and (closed bound) the next."""
+    days = partitions.read_days(spark.table(fact), "transaction_dt", period, cutoff(period, -1))
+    totals = spark.table(rollup).filter(F.col(partitions.PART) == label_of(period))
+    return report(
+        days.drop(partitions.PART), companies, accounts, rollup=totals.drop(partitions.PART),
+        inclusive=inclusive, period=period, **filters,
+    )
+
+
 def move_to_cold(
     spark: SparkSession, hot: str, cold: str, as_of: dt.date, months: int = 24, day: str = "transaction_dt"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import partitions as p
 from ledgerloom.plans import ledger
-from ledgerloom.schemas import FACT
+from ledgerloom.schemas import FACT, ROLLUP
 from ledgerloom.shared import scratch_namespace
 from ledgerloom.sinks.tables import create_table, with_defaults
 
@@ -195,15 +195,14 @@ def test_generated_year(spark, year):
 
 def test_rollup_and_report_of_the_year(spark, year):
     from ledgerloom import seeds
-    from ledgerloom.operators.rollup import report
 
-    rollup = create_table(spark, f"{scratch_namespace(spark)}.acc_aggregate", __import__("ledgerloom.schemas").schemas.ROLLUP, (p.PART,))
+    rollup = create_table(spark, f"{scratch_namespace(spark)}.acc_aggregate", ROLLUP, (p.PART,))
     p.backfill(spark, year, "transaction_dt")
     ledger.load_rollup(spark, year, rollup)
     assert spark.table(rollup).count() == 9240
-    answer = report(
-        spark.table(year).drop("part"), seeds.companies(spark), seeds.accounts(spark),
-        rollup=spark.table(rollup).drop("part"), company_id=5, parent_account="1", period=dt.date(2023, 10, 1),
+    answer = ledger.month_report(
+        spark, year, rollup, seeds.companies(spark), seeds.accounts(spark), dt.date(2023, 10, 1),
+        company_id=5, parent_account="1",
     ).collect()
     assert len(answer) == 56
     whole, parts = {}, {}
