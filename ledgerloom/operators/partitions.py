@@ -96,7 +96,7 @@ def digest(df: DataFrame, columns: list[str], day: str, by: str = PART) -> DataF
     )
 
 
-def copy_missing(source: DataFrame, table: str, day: str) -> DataFrame:
+def copy_missing(source: DataFrame, table: str, day: str, labels: list[str] | None = None) -> DataFrame:
     """Append the rows of ``source`` (with their target label) that the table does
     not hold yet, and return the check per label.
 
@@ -108,8 +108,9 @@ def copy_missing(source: DataFrame, table: str, day: str) -> DataFrame:
     columns = [c for c in source.columns if c != PART]
     recover_partitions(spark, table)
     known = set(list_partitions(spark, table))
-    # Labels to copy: one per month, which bounds what the driver holds.
-    labels = sorted(r[PART] for r in source.select(PART).distinct().collect())
+    # Labels to copy, unless given: one per month, which bounds what the driver holds.
+    if labels is None:
+        labels = sorted(r[PART] for r in source.select(PART).distinct().collect())
     shared = [label for label in labels if label in known]
     fresh = source.filter(~F.col(PART).isin(shared)) if shared else source
     target = spark.table(table).select(*source.columns)

@@ -36,9 +36,8 @@ def isolate(ranges: DataFrame, tenant: Column) -> DataFrame:
 
 
 def numbered(ranges: DataFrame) -> DataFrame:
-    """Shard numbers in token order: by slot, then by place within the slot. The
-    offset of a slot counts the pieces of the slots before it; the map has one row
-    per shard, so its size does not depend on the data."""
+    """Shard numbers in token order. The window has no partition, but the map has one
+    row per shard: its size does not depend on the data."""
     order = Window.orderBy("min_token")
     return ranges.withColumn("shard", (F.row_number().over(order) - 1).cast("bigint"))
 

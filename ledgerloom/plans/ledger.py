@@ -129,7 +129,7 @@ def move_to_cold(
     partitions.backfill(spark, hot, day)
     old = partitions.older_than(partitions.list_partitions(spark, hot), cutoff(as_of, months))
     moving = spark.table(hot).filter(F.col(partitions.PART).isin(old)).select(*FACT.columns, partitions.PART)
-    check = partitions.copy_missing(moving, cold, day).collect()
+    check = partitions.copy_missing(moving, cold, day, old).collect()
     agreed = sorted(r[partitions.PART] for r in check if r["same"])
     partitions.drop_partitions(spark, hot, agreed)
     schema = "part string, source_rows bigint, target_rows bigint, min_dt date, max_dt date, dropped boolean"
@@ -137,7 +137,22 @@ def move_to_cold(
     return spark.createDataFrame([tuple(r) for r in check], schema)
 
 
-def both_parts(spark: SparkSession, hot: str, cold: str, disjoint: bool = False) -> DataFrame:
-    """The reporting dataset over the hot and the cold table. It keeps the label
-    column, so :func:`ledgerloom.operators.partitions.read_days` prunes both."""
-    return full_view(spark.table(hot), spark.table(cold), disjoint)
+def both_parts(spark: SparkSession, hot: str, cold: str, keyed: bool = False) -> DataFrame:
+    """The reporting dataset over the hot and the cold table, each row once. It keeps
+    the label column, so :func:`ledgerloom.operators.partitions.read_days` prunes both.
+
+    ``keyed`` says that no table holds a row twice (its key is unique). Then a row can
+    only repeat in a month that lies in both tables, which the catalog tells: those
+    months, none after a finished move, are made distinct and all others are read
+    without a shuffle."""
+    hot_rows, cold_rows = spark.table(hot), spark.table(cold)
+    if not keyed:
+        return full_view(hot_rows, cold_rows)
+    shared = sorted(
+        set(partitions.list_partitions(spark, hot)) & set(partitions.list_partitions(spark, cold))
+    )
+    if not shared:
+        return full_view(hot_rows, cold_rows, disjoint=True)
+    both = F.col(partitions.PART).isin(shared)
+    apart = full_view(hot_rows.filter(~both), cold_rows.filter(~both), disjoint=True)
+    return apart.unionByName(full_view(hot_rows.filter(both), cold_rows.filter(both)))

@@ -143,10 +143,25 @@ def ledger_reunited(spark, sf):
     hot = new_ledger(spark, sf)
     cold = create_table(spark, f"{scratch_namespace(spark, 'cold')}.{FACT.name}", FACT, (partitions.PART,))
     move_to_cold(spark, hot, cold, AS_OF, KEEP_MONTHS)
-    rows = both_parts(spark, hot, cold)
+    rows = both_parts(spark, hot, cold, keyed=True)
     return shown(partitions.read_days(rows, "transaction_dt", dt.date(1999, 11, 20), dt.date(1999, 12, 10)))
 
 
+@register("ledger_reunited_overlap", f"""
+WITH {ACC_DATA} SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt, CAST(SUM(amount) AS DOUBLE) AS amount
+FROM acc_data GROUP BY 1""")
+def ledger_reunited_overlap(spark, sf):
+    """Hot and cold table with one month in both: each of its rows counts once."""
+    last = F.lit(cutoff(AS_OF, KEEP_MONTHS + 1))
+    rows, names = bindings.fact(spark, sf), []
+    for label, wanted in (("hot", F.col("transaction_dt") >= last), ("cold", F.col("transaction_dt") < F.lit(CUTOFF))):
+        names.append(create_table(spark, f"{scratch_namespace(spark, label)}.{FACT.name}", FACT, (partitions.PART,)))
+        partitions.write_monthly(rows.filter(wanted), names[-1], "transaction_dt")
+    return both_parts(spark, *names, keyed=True).groupBy("part").agg(
+        F.count("*").alias("row_cnt"), F.sum("amount").cast("double").alias("amount")
+    )
+
+
 @register("ledger_view", f"""
 WITH {ACC_DATA} SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt FROM acc_data GROUP BY 1""")
 def ledger_view(spark, sf):

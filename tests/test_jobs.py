@@ -154,11 +154,25 @@ def test_one_month_with_a_third_of_the_rows_is_written_whole(spark):
     hot, cold = table(spark, "hot"), table(spark, "cold")
     p.write_monthly(with_defaults(many, FACT), hot, "transaction_dt")
     ledger.move_to_cold(spark, hot, cold, dt.date(2024, 1, 1), 6)
-    both = ledger.both_parts(spark, hot, cold, disjoint=True)
+    both = ledger.both_parts(spark, hot, cold, keyed=True)
     assert both.agg(F.count("*"), F.countDistinct("transaction_id")).first() == (30000, 30000)
     assert spark.table(hot).agg(F.min("transaction_dt")).first()[0] == dt.date(2023, 7, 1)
 
 
+def test_both_parts_shuffles_only_months_in_both_tables(spark):
+    hot, cold = hot_and_cold(spark)
+    ledger.move_to_cold(spark, hot, cold, AS_OF, 23)
+    plan = ledger.both_parts(spark, hot, cold, keyed=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    # A month that came back: one row is in both tables, one is new.
+    again = spark.table(cold).filter("transaction_dt = date'2022-01-31'").drop("part")
+    p.write_monthly(again, hot, "transaction_dt")
+    p.write_monthly(rows(spark, ["2022-01-20"], first_id=100), hot, "transaction_dt")
+    for keyed in (True, False):
+        both = ledger.both_parts(spark, hot, cold, keyed)
+        assert both.agg(F.count("*"), F.countDistinct("transaction_id")).first() == (len(DAYS) + 1, len(DAYS) + 1)
+
+
 @pytest.fixture(scope="module")
 def year(spark):
     """The published data set: ten companies, seventy accounts, all days of 2023."""
