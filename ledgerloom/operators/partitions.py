@@ -7,6 +7,7 @@ A partitioned table has a text column ``part``: ``pYYYYMMDD`` for a month, or
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,69 +97,69 @@ def digest(df: DataFrame, columns: list[str], day: str, by: str = PART) -> DataF
     )
 
 
-def copy_missing(source: DataFrame, table: str, day: str, labels: list[str] | None = None) -> DataFrame:
+class MonthCheck(NamedTuple):
+    """What was to be copied into a partition and what lies there now."""
+
+    part: str
+    source_rows: int
+    target_rows: int
+    min_dt: dt.date | None
+    max_dt: dt.date | None
+    same: bool
+
+
+def _digests(df: DataFrame, columns: list[str], day: str) -> dict[str, tuple]:
+    """Digests by label: one row per month, which bounds what the driver holds."""
+    return {r[PART]: tuple(r)[1:] for r in digest(df, columns, day).collect()}
+
+
+def copy_missing(source: DataFrame, table: str, day: str) -> list[MonthCheck]:
     """Append the rows of ``source`` (with their target label) that the table does
-    not hold yet, and return the check per label.
+    not hold yet, and check every label against the table.
 
     It can be run again after a crash at any point: only labels the table already
-    has are compared row by row (as multisets), all others are copied as they are.
-    The check gives the rows to copy, the rows found, and whether they agree.
+    has are compared row by row (as multisets), all others are copied as they are
+    and compared by their digests.
     """
     spark = source.sparkSession
     columns = [c for c in source.columns if c != PART]
     recover_partitions(spark, table)
     known = set(list_partitions(spark, table))
-    # Labels to copy, unless given: one per month, which bounds what the driver holds.
-    if labels is None:
-        labels = sorted(r[PART] for r in source.select(PART).distinct().collect())
+    wanted = _digests(source, columns, day)
+    labels = sorted(wanted)
+    if not labels:
+        return []
     shared = [label for label in labels if label in known]
-    fresh = source.filter(~F.col(PART).isin(shared)) if shared else source
-    target = spark.table(table).select(*source.columns)
-    moving = fresh
+    in_shared = F.col(PART).isin(shared)
+    moving = source
     if shared:
-        old = source.filter(F.col(PART).isin(shared))
-        moving = fresh.unionByName(old.exceptAll(target.filter(F.col(PART).isin(shared))))
+        held = spark.table(table).select(*source.columns).filter(in_shared)
+        moving = source.filter(~in_shared).unionByName(source.filter(in_shared).exceptAll(held))
     append_rows(laid_out(moving), table)
 
     target = spark.table(table).select(*source.columns).filter(F.col(PART).isin(labels))
-    wanted = digest(source, columns, day)
-    found = digest(target, columns, day)
-    check = (
-        wanted.alias("w")
-        .join(found.alias("f"), PART, "left")
-        .select(
-            PART,
-            F.col("w.row_cnt").alias("source_rows"),
-            F.coalesce("f.row_cnt", F.lit(0)).alias("target_rows"),
-            F.col("f.min_dt").alias("min_dt"),
-            F.col("f.max_dt").alias("max_dt"),
-            (F.struct("w.row_cnt", "w.min_dt", "w.max_dt", "w.checksum").eqNullSafe(
-                F.struct("f.row_cnt", "f.min_dt", "f.max_dt", "f.checksum")
-            )).alias("same"),
-        )
-    )
+    found = _digests(target, columns, day)
+    missing = set()
     if shared:
-        # The table may rightly hold more than was copied: nothing may be missing.
-        left_over = (
-            source.filter(F.col(PART).isin(shared))
-            .exceptAll(target.filter(F.col(PART).isin(shared)))
-            .groupBy(PART)
-            .agg(F.count("*").alias("missing"))
-        )
-        check = check.join(left_over, PART, "left").withColumn(
-            "same", F.when(F.col(PART).isin(shared), F.col("missing").isNull()).otherwise(F.col("same"))
-        ).drop("missing")
-    return check
-
-
-def backfill(spark: SparkSession, table: str, day: str) -> list:
+        # The table may rightly hold more than was copied, but nothing may be missing.
+        left_over = source.filter(in_shared).exceptAll(target.filter(in_shared))
+        missing = {r[PART] for r in left_over.select(PART).distinct().collect()}
+    checks = []
+    for label in labels:
+        rows, first, last, _ = found.get(label, (0, None, None, None))
+        same = label not in missing if label in shared else found.get(label) == wanted[label]
+        checks.append(MonthCheck(label, wanted[label][0], rows, first, last, same))
+    return checks
+
+
+def backfill(spark: SparkSession, table: str, day: str) -> list[MonthCheck]:
     """Move the rows out of default into monthly partitions, making those that are
     missing. Default is dropped only when every row has been found again."""
     if DEFAULT not in list_partitions(spark, table):
         return []
     waiting = spark.table(table).filter(F.col(PART) == DEFAULT).withColumn(PART, partition_label(F.col(day)))
-    check = copy_missing(waiting, table, day).collect()
-    lost = [r[PART] for r in check if not r["same"]]
+    check = copy_missing(waiting, table, day)
+    lost = [c.part for c in check if not c.same]
     if lost:
         raise RuntimeError(f"backfill of {table} is incomplete, default is kept: {lost}")
     drop_partitions(spark, table, [DEFAULT])

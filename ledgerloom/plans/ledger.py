@@ -129,12 +129,10 @@ def move_to_cold(
     partitions.backfill(spark, hot, day)
     old = partitions.older_than(partitions.list_partitions(spark, hot), cutoff(as_of, months))
     moving = spark.table(hot).filter(F.col(partitions.PART).isin(old)).select(*FACT.columns, partitions.PART)
-    check = partitions.copy_missing(moving, cold, day, old).collect()
-    agreed = sorted(r[partitions.PART] for r in check if r["same"])
-    partitions.drop_partitions(spark, hot, agreed)
+    check = partitions.copy_missing(moving, cold, day)
+    partitions.drop_partitions(spark, hot, [c.part for c in check if c.same])
     schema = "part string, source_rows bigint, target_rows bigint, min_dt date, max_dt date, dropped boolean"
-    # One row per month: the check is as long as the list of partitions.
-    return spark.createDataFrame([tuple(r) for r in check], schema)
+    return spark.createDataFrame([tuple(c) for c in check], schema)
 
 
 def both_parts(spark: SparkSession, hot: str, cold: str, keyed: bool = False) -> DataFrame:

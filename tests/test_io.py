@@ -167,3 +167,19 @@ def test_shared_root_refuses_a_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         shared.shared_root(Cluster())
+
+
+def test_clustered_rewrite_keeps_a_city_in_few_files(spark, tmp_path):
+    rows = spark.range(20000).select(
+        F.concat(F.lit("city "), (F.col("id") * 31 % 40).cast("string")).alias("city_name"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 500).cast("int")).alias("dt"),
+    )
+    written = layout.rewrite_columnar(rows, str(tmp_path / "c"), ["city_name", "dt"], 8)
+    files = layout.stored_files(written, ["city_name"]).groupBy("city_name").agg(F.count("*").alias("n")).collect()
+    assert len(files) == 40 and max(r.n for r in files) <= 2
+    assert written.count() == 20000
+    # A city that holds a third of the rows is spread by its days.
+    hot = rows.withColumn("city_name", F.when(F.col("dt") < dt.date(2000, 6, 1), "hot").otherwise(F.col("city_name")))
+    written = layout.rewrite_columnar(hot, str(tmp_path / "h"), ["city_name", "dt"], 8)
+    files = layout.stored_files(written, ["city_name"]).filter("city_name = 'hot'").collect()
+    assert len(files) >= 2 and written.count() == 20000
