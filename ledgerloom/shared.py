@@ -6,29 +6,17 @@ so a lost executor costs a task retry and never the data.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Only a local-mode session, where
-    driver and executors are one process, may fall back to a temporary folder."""
+    """The folder in ``spark.checkpoint.dir``. Where it is unset, a folder inside the
+    warehouse, which every executor reaches as well. Never a machine-local folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder that every executor can reach"
-        )
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="ledgerloom-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
