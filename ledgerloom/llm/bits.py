@@ -27,12 +27,15 @@ class Bits:
     def holds(self, key: Column) -> Column:
         """True for every key put in, and for a few others. Null for a null key."""
         words = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")
-        found = None
-        for place in places(key, self.m, self.k, self.salt):
-            word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
-            bit = F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
-            found = bit if found is None else found & bit
-        return found
+
+        def probe(bound: Column) -> Column:
+            found = F.lit(True)
+            for place in places(bound, self.m, self.k, self.salt):
+                word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
+                found = found & (F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+            return found
+
+        return F.exists(F.array(key), probe)  # binds the key, so that it is computed once
 
 
 def places(key: Column, m: int, k: int, salt: int) -> list[Column]:

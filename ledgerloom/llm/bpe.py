@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -140,22 +140,11 @@ class _Pieces(dict):
 class Vocabulary:
     """Ranks of byte strings, and a bounded cache of merged words."""
 
-    most_cached = 400_000
+    most_cached = 200_000
     long_word = 64  # bytes; longer words are merged one by one with a heap
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
-        self.width = max(ranks.values(), default=0) + 1
-        pairs = {}
-        for token, rank in ranks.items():
-            for cut in range(1, len(token)):
-                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    pairs[a * self.width + b] = rank
-        keys = np.array(sorted(pairs), np.int64)
-        self.pair_keys = np.append(keys, np.int64(np.iinfo(np.int64).max))
-        self.pair_ranks = np.array([pairs[k] for k in keys.tolist()] + [self.width], np.int64)
         self._reset()
 
     def _reset(self) -> None:
@@ -169,11 +158,34 @@ class Vocabulary:
     def read(text: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in (line.split() for line in text.splitlines() if line)})
 
+    @cached_property
+    def width(self) -> int:
+        return max(self.ranks.values(), default=0) + 1
+
+    @cached_property
+    def byte_ids(self) -> np.ndarray:
+        return np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every two tokens that join to a third, as sorted keys, and the third."""
+        keys, joined = [], []
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    keys.append(a * self.width + b)
+                    joined.append(rank)
+        keys, joined = np.array(keys, np.int64), np.array(joined, np.int64)
+        order = np.argsort(keys)
+        return np.append(keys[order], np.iinfo(np.int64).max), np.append(joined[order], self.width)
+
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank two neighbours join to; ``width`` if none."""
+        keys, joined = self.pairs
         key = left * self.width + right
-        at = np.searchsorted(self.pair_keys, key)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], self.width)
+        at = np.searchsorted(keys, key)
+        return np.where(keys[at] == key, joined[at], self.width)
 
     def merge(self, word: bytes) -> list[int]:
         """Join the pair of lowest rank, the leftmost first, until no pair has a rank. A
@@ -268,16 +280,14 @@ class Vocabulary:
         total = int(ends[-1]) if len(ends) else 0
         return self.cached_ids[np.arange(total) + np.repeat(begins - (ends - counts), counts)], counts
 
-    @property
+    @cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """All tokens' bytes in a row, and where each id begins."""
-        if not hasattr(self, "_table"):
-            by_id = [b""] * (max(self.ranks.values(), default=-1) + 1)
-            for token, rank in self.ranks.items():
-                by_id[rank] = token
-            begins = np.concatenate([[0], np.cumsum([len(t) for t in by_id])]).astype(np.int64)
-            self._table = np.frombuffer(b"".join(by_id), np.uint8), begins
-        return self._table
+        by_id = [b""] * self.width
+        for token, rank in self.ranks.items():
+            by_id[rank] = token
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in by_id])]).astype(np.int64)
+        return np.frombuffer(b"".join(by_id), np.uint8), begins
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each."""
@@ -327,12 +337,12 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends
                 last = np.cumsum(begins[found + 1] - begins[found])
                 first = np.concatenate([[0], np.cumsum(counts)])[:-1]
                 base = np.where(first > 0, np.append(last, 0)[first - 1], 0)
-                made.append(_lists((last - np.repeat(base, counts)).astype(np.int64), counts))
+                made.append(_lists((last - np.repeat(base, counts)).astype(np.int32), counts))
             return made
 
         return run
 
-    adds = [(ids, T.ArrayType(T.IntegerType()))] + ([(ends, T.ArrayType(T.LongType()))] if ends else [])
+    adds = [(ids, T.ArrayType(T.IntegerType()))] + ([(ends, T.ArrayType(T.IntegerType()))] if ends else [])
     return with_columns(df.drop(*[n for n, _ in adds]), [text], adds, make)
 
 

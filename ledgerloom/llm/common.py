@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,12 +17,23 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed: they get the path
+    the driver has it at, unless the session names a PYTHONPATH of its own."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(df: DataFrame, *wanted: tuple[str, str]) -> DataFrame:
     """Just the named columns, cast; extra columns never get into an operator."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in wanted])
 
 
@@ -29,6 +41,7 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage, so a lost
     executor costs a re-read and not a recomputation. Removed when the application ends."""
     spark = df.sparkSession
+    importable(spark)
     path = scratch_path(spark, label)
     df.write.options(**options).parquet(path)
     forget_at_exit(spark, path)
@@ -58,6 +71,7 @@ def with_columns(
 ) -> DataFrame:
     """Append columns that Python computes from Arrow batches. ``make`` runs once per
     task and returns a function from the read arrays to the added arrays."""
+    importable(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(n, t) for n, t in adds])
     names = [f.name for f in schema.fields]
     places = [df.columns.index(c) for c in reads]
@@ -72,7 +86,7 @@ def with_columns(
     return df.mapInArrow(step, schema)
 
 
-def slices(batch: pa.RecordBatch, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a step holds a few MB of text at a time (one row at least)."""
     if not batch.num_rows:
         return

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, url_filter
+from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, url_filter
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -101,3 +101,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op5_ngram_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents"))
