@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, url_filter
+from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, toxicity, url_filter
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -106,3 +106,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_ngram_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_similar(table(spark, sf_dir, "documents"))
+
+
+@register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, labels).drop("passages")
