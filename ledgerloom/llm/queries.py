@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, toxicity, url_filter
+from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, url_filter
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -112,3 +112,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.classify(docs, labels).drop("passages")
+
+
+@register("op1_multi_index")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
