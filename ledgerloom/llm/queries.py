@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, url_filter
+from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, url_filter, warc
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -117,3 +117,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_multi_index")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@register("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
