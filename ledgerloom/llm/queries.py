@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, training_order, url_filter, warc
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -122,3 +122,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+END_OF_TEXT = 50256  # the id that is free in the rank file
+
+
+@register("op4_training_order")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sequence as read back from the shards; token_ids_sha256 is over the
+    little-endian ids, the end mark included."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    tokens = bpe.encode(docs, ranks(), ends=None).select("doc_id", "ids", "file", "row")
+    path, layout, n = training_order.materialise(tokens, key=4, end_id=END_OF_TEXT, vocabulary=END_OF_TEXT + 1)
+    schema = "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, token_ids_sha256 string"
+    if not n:
+        return spark.createDataFrame([], schema)
+    return training_order.read_shards(spark, path, layout).withColumn("token_ids_sha256", F.sha2("ids", 256)).drop("ids")
