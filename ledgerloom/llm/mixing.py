@@ -172,3 +172,22 @@ def mix(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("rounds") * F.col("size") + extra).cast("long").alias("taken"), "draw",
     )
+
+
+def repeated(docs: DataFrame, seed: int = 20, **options) -> DataFrame:
+    """The mix as documents: each row as many times as the mix takes it, all columns kept.
+
+    A fraction of a document becomes a whole one with that chance, by a seeded draw of
+    the row, so a source keeps its words on average; no row comes more than
+    ``most_repeats`` times. Rows of one id and text share what the mix takes of them.
+    """
+    share = mix(docs, seed=seed, **options).groupBy("draw").agg(
+        F.sum("taken").alias("__taken"), F.sum("size").alias("__size")
+    )
+    text, own = F.col("`text`"), F.col("`doc_id`").cast("long")
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64(own, text, F.lit(seed)).alias("__draw"))
+    met = keyed.join(share.withColumnRenamed("draw", "__draw"), "__draw")
+    chance = F.pmod(F.xxhash64("__draw", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
+    times = F.floor(F.col("__taken") / F.col("__size") + chance).cast("int")
+    some = met.filter(F.col("__size") > 0).withColumn("__times", times).filter("__times > 0")
+    return some.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])

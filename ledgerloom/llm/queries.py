@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, mixing, multi_index, ngram_join, toxicity, training_order, url_filter, warc
+from ledgerloom.llm import bpe, cotraining, exact_dedup, mixing, multi_index, ngram_join, toxicity, training_order, url_filter, warc
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -140,3 +140,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not n:
         return spark.createDataFrame([], schema)
     return training_order.read_shards(spark, path, layout).withColumn("token_ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
+@register("op6_cotrained_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
