@@ -37,14 +37,21 @@ def laid_out(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(PART))
 
 
+def _dated(label: Column, day: str) -> Column:
+    """A label, or an error for a row without a day: it belongs to no month, and no
+    retention or backfill could ever place it."""
+    missing = F.raise_error(F.lit(f"a row has no {day}")).cast("string")
+    return F.when(F.col(day).isNull(), missing).otherwise(label)
+
+
 def write_assigned(df: DataFrame, table: str, day: str, as_of: dt.date, premake: int = 4) -> None:
     """Insert rows as the database would: premade months, the rest to default."""
-    append_rows(laid_out(df.withColumn(PART, assigned_label(F.col(day), as_of, premake))), table)
+    append_rows(laid_out(df.withColumn(PART, _dated(assigned_label(F.col(day), as_of, premake), day))), table)
 
 
 def write_monthly(df: DataFrame, table: str, day: str) -> None:
     """Insert rows straight into their monthly partitions."""
-    append_rows(laid_out(df.withColumn(PART, partition_label(F.col(day)))), table)
+    append_rows(laid_out(df.withColumn(PART, _dated(partition_label(F.col(day)), day))), table)
 
 
 def list_partitions(spark: SparkSession, table: str) -> list[str]:
@@ -85,15 +92,19 @@ def backfill_report(df: DataFrame, day: str, as_of: dt.date, premake: int = 4) -
 
 
 def digest(df: DataFrame, columns: list[str], day: str, by: str = PART) -> DataFrame:
-    """Per partition: rows, first and last day, and a checksum of the contents that
-    does not depend on the order of the rows. Terms are 28 bits wide, so a long
-    holds the sum of over 30 billion rows."""
-    term = F.xxhash64(*columns).bitwiseAND(F.lit((1 << 28) - 1))
+    """Per partition: rows, first and last day, and two checksums of the contents that
+    do not depend on the order of the rows. Each hash takes in, beside every value,
+    whether it is null: a null alone leaves a hash unchanged, and a value that moved
+    to another column would not be seen. All 64 bits count; decimals hold the sum of
+    any number of rows a table can have."""
+    marked = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    terms = [F.xxhash64(F.lit(seed), *marked).cast("decimal(28,0)") for seed in (1, 2)]
     return df.groupBy(by).agg(
         F.count("*").alias("row_cnt"),
         F.min(day).alias("min_dt"),
         F.max(day).alias("max_dt"),
-        F.sum(term).alias("checksum"),
+        F.sum(terms[0]).alias("checksum"),
+        F.sum(terms[1]).alias("checksum_2"),
     )
 
 
@@ -106,6 +117,7 @@ class MonthCheck(NamedTuple):
     min_dt: dt.date | None
     max_dt: dt.date | None
     same: bool
+    mark: tuple = ()  # the digest of what was copied
 
 
 def _digests(df: DataFrame, columns: list[str], day: str) -> dict[str, tuple]:
@@ -113,6 +125,39 @@ def _digests(df: DataFrame, columns: list[str], day: str) -> dict[str, tuple]:
     return {r[PART]: tuple(r)[1:] for r in digest(df, columns, day).collect()}
 
 
+def _sum(one: tuple | None, other: tuple) -> tuple:
+    """The digest of two sets of rows together."""
+    if one is None:
+        return other
+    days = [[d for d in pair if d is not None] for pair in zip(one[1:3], other[1:3])]
+    first, last = min(days[0], default=None), max(days[1], default=None)
+    return (one[0] + other[0], first, last, *(a + b for a, b in zip(one[3:], other[3:])))
+
+
+def copy_all(source: DataFrame, table: str, day: str) -> list[MonthCheck]:
+    """Append every row of ``source`` (with its target label), also rows equal to rows
+    the table holds, and check that each label's digest is the sum of what lay there
+    and what came."""
+    spark = source.sparkSession
+    columns = [c for c in source.columns if c != PART]
+    recover_partitions(spark, table)
+    wanted = _digests(source, columns, day)
+    labels = sorted(wanted)
+    if not labels:
+        return []
+    target = spark.table(table).select(*source.columns).filter(F.col(PART).isin(labels))
+    held = _digests(target, columns, day) if set(labels) & set(list_partitions(spark, table)) else {}
+    append_rows(laid_out(source), table)
+    target = spark.table(table).select(*source.columns).filter(F.col(PART).isin(labels))
+    found = _digests(target, columns, day)
+    checks = []
+    for label in labels:
+        now = found.get(label, (0, None, None))
+        same = now == _sum(held.get(label), wanted[label])
+        checks.append(MonthCheck(label, wanted[label][0], now[0], now[1], now[2], same, wanted[label]))
+    return checks
+
+
 def copy_missing(source: DataFrame, table: str, day: str) -> list[MonthCheck]:
     """Append the rows of ``source`` (with their target label) that the table does
     not hold yet, and check every label against the table.
@@ -146,23 +191,41 @@ def copy_missing(source: DataFrame, table: str, day: str) -> list[MonthCheck]:
         missing = {r[PART] for r in left_over.select(PART).distinct().collect()}
     checks = []
     for label in labels:
-        rows, first, last, _ = found.get(label, (0, None, None, None))
+        rows, first, last = found.get(label, (0, None, None))[:3]
         same = label not in missing if label in shared else found.get(label) == wanted[label]
-        checks.append(MonthCheck(label, wanted[label][0], rows, first, last, same))
+        checks.append(MonthCheck(label, wanted[label][0], rows, first, last, same, wanted[label]))
     return checks
 
 
+# Table property: a backfill has begun; the rows the table has to hold at its end.
+RUNNING = "ledgerloom.backfill_rows"
+
+
 def backfill(spark: SparkSession, table: str, day: str) -> list[MonthCheck]:
     """Move the rows out of default into monthly partitions, making those that are
-    missing. Default is dropped only when every row has been found again."""
+    missing. Default is dropped only when every row has been found again.
+
+    Rows equal to rows of their month are rows of their own and are moved as well. A
+    table property marks a run that has begun: only a run that finds the mark of one
+    that died takes equal rows for rows moved already, and it drops default only if
+    the months then hold as many rows as the first run had counted.
+    """
     if DEFAULT not in list_partitions(spark, table):
         return []
     waiting = spark.table(table).filter(F.col(PART) == DEFAULT).withColumn(PART, partition_label(F.col(day)))
-    check = copy_missing(waiting, table, day)
+    begun = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(RUNNING)
+    if begun is None:
+        expected = spark.table(table).count()
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RUNNING}' = '{expected}')")
+        check = copy_all(waiting, table, day)
+    else:
+        expected = int(begun)
+        check = copy_missing(waiting, table, day)
     lost = [c.part for c in check if not c.same]
-    if lost:
+    if lost or spark.table(table).filter(F.col(PART) != DEFAULT).count() != expected:
         raise RuntimeError(f"backfill of {table} is incomplete, default is kept: {lost}")
     drop_partitions(spark, table, [DEFAULT])
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{RUNNING}')")
     return check
 
 
@@ -170,8 +233,12 @@ def older_than(labels: list[str], limit: dt.date) -> list[str]:
     return [label for label in labels if label != DEFAULT and label_month(label) < limit]
 
 
-def apply_retention(spark: SparkSession, table: str, as_of: dt.date, months: int) -> list[str]:
-    """Drop the monthly partitions older than ``months``; return their labels."""
+def apply_retention(
+    spark: SparkSession, table: str, as_of: dt.date, months: int, day: str = "transaction_dt"
+) -> list[str]:
+    """Drop the monthly partitions older than ``months``; return their labels. Rows that
+    wait in default are put into their months first, so that old ones go as well."""
+    backfill(spark, table, day)
     gone = older_than(list_partitions(spark, table), cutoff(as_of, months))
     drop_partitions(spark, table, gone)
     return gone

@@ -11,7 +11,9 @@ def keep_last(df: DataFrame, key: list[str], loaded: list[str]) -> DataFrame:
     not a window: each task keeps one candidate per key before the shuffle, so a
     key that holds a third of the rows costs no more than any other."""
     rest = [c for c in df.columns if c not in key]
-    order = F.col(loaded[0]) if len(loaded) == 1 else F.struct(*loaded)
+    # a struct is never null, so rows without a load order count, as the earliest;
+    # a hash of the row decides ties
+    order = F.struct(*loaded, F.xxhash64(*rest))
     last = df.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_last"))
     return last.select(*key, "_last.*").select(*df.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import analytics
-from ledgerloom.functions.periods import cutoff, label_of
+from ledgerloom.functions.periods import partition_label, cutoff, label_of
 from ledgerloom.functions.tokens import cell_state, with_draws
 from ledgerloom.operators import partitions
 from ledgerloom.operators.dictionary import grid
@@ -130,9 +130,14 @@ def move_to_cold(
     old = partitions.older_than(partitions.list_partitions(spark, hot), cutoff(as_of, months))
     moving = spark.table(hot).filter(F.col(partitions.PART).isin(old)).select(*FACT.columns, partitions.PART)
     check = partitions.copy_missing(moving, cold, day)
+    # rows that came in while the copy ran would be dropped with their month
+    spark.catalog.refreshTable(hot)
+    left = spark.table(hot).filter(F.col(partitions.PART).isin(old))
+    now = {r[partitions.PART]: tuple(r)[1:] for r in partitions.digest(left, list(FACT.columns), day).collect()}
+    check = [c._replace(same=c.same and now.get(c.part) == c.mark) for c in check]
     partitions.drop_partitions(spark, hot, [c.part for c in check if c.same])
     schema = "part string, source_rows bigint, target_rows bigint, min_dt date, max_dt date, dropped boolean"
-    return spark.createDataFrame([tuple(c) for c in check], schema)
+    return spark.createDataFrame([tuple(c)[:6] for c in check], schema)
 
 
 def both_parts(spark: SparkSession, hot: str, cold: str, keyed: bool = False) -> DataFrame:
@@ -143,14 +148,24 @@ def both_parts(spark: SparkSession, hot: str, cold: str, keyed: bool = False) ->
     only repeat in a month that lies in both tables, which the catalog tells: those
     months, none after a finished move, are made distinct and all others are read
     without a shuffle."""
-    hot_rows, cold_rows = spark.table(hot), spark.table(cold)
-    if not keyed:
+    named = [partitions.list_partitions(spark, t) for t in (hot, cold)]
+    waits = [partitions.DEFAULT in labels for labels in named]
+    hot_rows, cold_rows = (_in_months(spark.table(t), w) for t, w in zip((hot, cold), waits))
+    if not keyed or any(waits):  # a waiting row may lie in any month of the other table
         return full_view(hot_rows, cold_rows)
-    shared = sorted(
-        set(partitions.list_partitions(spark, hot)) & set(partitions.list_partitions(spark, cold))
-    )
+    shared = sorted(set(named[0]) & set(named[1]))
     if not shared:
         return full_view(hot_rows, cold_rows, disjoint=True)
     both = F.col(partitions.PART).isin(shared)
     apart = full_view(hot_rows.filter(~both), cold_rows.filter(~both), disjoint=True)
     return apart.unionByName(full_view(hot_rows.filter(both), cold_rows.filter(both)))
+
+
+def _in_months(rows: DataFrame, waits: bool, day: str = "transaction_dt") -> DataFrame:
+    """The rows under the label of their month, those that wait in default as well: a
+    row that waits here and lies in its month there is one row."""
+    if not waits:
+        return rows
+    waiting = rows.filter(F.col(partitions.PART) == partitions.DEFAULT)
+    relabelled = waiting.withColumn(partitions.PART, partition_label(F.col(day)))
+    return rows.filter(F.col(partitions.PART) != partitions.DEFAULT).unionByName(relabelled)

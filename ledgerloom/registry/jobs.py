@@ -80,6 +80,45 @@ def ledger_retention(spark, sf):
     return spark.table(name).groupBy("part").agg(F.count("*").alias("row_cnt"))
 
 
+@register("ledger_backfill_equal_rows", f"""
+WITH {ACC_DATA}
+SELECT {LABEL_SQL} AS part, 2 * COUNT(*) AS row_cnt, CAST(2 * SUM(amount) AS DOUBLE) AS amount
+FROM acc_data GROUP BY 1""")
+def ledger_backfill_equal_rows(spark, sf):
+    """Rows that wait in default beside equal rows of their months: all are kept."""
+    name = new_ledger(spark, sf)
+    waiting = bindings.fact(spark, sf).withColumn(partitions.PART, F.lit(partitions.DEFAULT))
+    append_rows(waiting, name)
+    partitions.backfill(spark, name, "transaction_dt")
+    return spark.table(name).groupBy("part").agg(
+        F.count("*").alias("row_cnt"), F.sum("amount").cast("double").alias("amount")
+    )
+
+
+@register("ledger_retention_default", f"""
+WITH {ACC_DATA} SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt FROM acc_data
+WHERE transaction_dt >= DATE '{CUTOFF}' GROUP BY 1""")
+def ledger_retention_default(spark, sf):
+    """Retention of a table most of whose rows wait in default: old ones go as well."""
+    name = create_table(spark, f"{scratch_namespace(spark)}.{FACT.name}", FACT, (partitions.PART,))
+    partitions.write_assigned(bindings.fact(spark, sf), name, "transaction_dt", PREMADE_AS_OF)
+    partitions.apply_retention(spark, name, AS_OF, KEEP_MONTHS)
+    return spark.table(name).groupBy("part").agg(F.count("*").alias("row_cnt"))
+
+
+@register("ledger_view_waiting", f"""
+WITH {ACC_DATA}, rows_once AS (SELECT DISTINCT * FROM acc_data)
+SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt, CAST(SUM(amount) AS DOUBLE) AS amount
+FROM rows_once GROUP BY 1""")
+def ledger_view_waiting(spark, sf):
+    """Hot and cold hold the same rows, one table in default: the view has each once."""
+    hot = create_table(spark, f"{scratch_namespace(spark)}.{FACT.name}", FACT, (partitions.PART,))
+    partitions.write_assigned(bindings.fact(spark, sf), hot, "transaction_dt", PREMADE_AS_OF)
+    return both_parts(spark, hot, new_ledger(spark, sf), keyed=True).groupBy("part").agg(
+        F.count("*").alias("row_cnt"), F.sum("amount").cast("double").alias("amount")
+    )
+
+
 @register("ledger_rollup_table", f"""
 WITH {ACC_DATA}, {ACC_AGGREGATE}
 SELECT company_id, account_id, period_dt, CAST(amount AS DOUBLE) AS amount, currency_code,

@@ -222,13 +222,17 @@ def _part_csv(rows: DataFrame) -> DataFrame:
 _loads: dict[tuple[str, str], LoadResult] = {}
 
 
-def _part_load(spark, sf, limit: int = 1 << 62) -> LoadResult:
+# Bad rows a load may have; one more and it is refused.
+ERROR_LIMIT = 1_000_000
+
+
+def _part_load(spark, sf) -> LoadResult:
     """The bulk load of the session, run once: its parts are read by three queries."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _loads:
         path = scratch_path(spark, "part-csv")
         write_csv(_part_csv(bindings.table(spark, sf, "part")), path)
-        _loads[key] = load_csv(spark, path, plans.load_columns(), limit)
+        _loads[key] = load_csv(spark, path, plans.load_columns(), ERROR_LIMIT)
     return _loads[key]
 
 
@@ -255,9 +259,9 @@ def weather_csv_rejects(spark, sf):
 @register("weather_load_report", f"""
 WITH {PART_CSV}
 SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE bad_column IS NULL) AS rows_loaded,
-       COUNT(bad_column) AS rows_rejected, CAST(1000000 AS BIGINT) AS error_limit FROM outcome""")
+       COUNT(bad_column) AS rows_rejected, CAST({ERROR_LIMIT} AS BIGINT) AS error_limit FROM outcome""")
 def weather_load_report(spark, sf):
-    return _part_load(spark, sf).report(1_000_000)
+    return _part_load(spark, sf).report()
 
 
 @register("weather_date_check", """

@@ -44,6 +44,7 @@ class LoadResult:
 
     staged: DataFrame
     columns: tuple[LoadColumn, ...]
+    error_limit: int
 
     @property
     def good(self) -> DataFrame:
@@ -53,14 +54,14 @@ class LoadResult:
     def rejects(self) -> DataFrame:
         return self.staged.filter("rejected").select("bad_column", F.col(RAW_LINE).alias("line"))
 
-    def report(self, limit: int) -> DataFrame:
-        """Rows in, loaded and rejected, and the limit."""
+    def report(self) -> DataFrame:
+        """Rows in, loaded and rejected, and the limit the load was held to."""
         bad = F.count_if(F.col("rejected"))
         return self.staged.agg(
             F.count("*").alias("rows_in"),
             F.count_if(~F.col("rejected")).alias("rows_loaded"),
             bad.alias("rows_rejected"),
-        ).withColumn("error_limit", F.lit(limit).cast("bigint"))
+        ).withColumn("error_limit", F.lit(self.error_limit).cast("bigint"))
 
 
 def load_csv(
@@ -106,8 +107,8 @@ def load_csv(
         [f for f in outcome.schema if f.name != "rejected"]
         + [T.StructField("rejected", T.BooleanType())]
     )
-    result = LoadResult(spark.read.schema(staged_schema).parquet(place), tuple(columns))
-    rejected = result.report(error_limit).first()["rows_rejected"]
+    result = LoadResult(spark.read.schema(staged_schema).parquet(place), tuple(columns), error_limit)
+    rejected = result.report().first()["rows_rejected"]
     if rejected > error_limit:
         raise TooManyRejects(f"{rejected} bad rows, the limit is {error_limit}")
     return result
