@@ -124,6 +124,13 @@ def boundaries(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_BEGINS[grid, states].T.ravel()[:n])
 
 
+_PLACES = 19  # bits of the pair table
+
+
+def _place(keys: np.ndarray) -> np.ndarray:
+    return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _PLACES)).view(np.int64)
+
+
 class _Pieces(dict):
     """Numbers words as they are first met, and lists the ones not merged yet."""
 
@@ -164,11 +171,12 @@ class Vocabulary:
 
     @cached_property
     def byte_ids(self) -> np.ndarray:
-        return np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        return np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
 
     @cached_property
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every two tokens that join to a third, as sorted keys, and the third."""
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """Every two tokens that join to a third: a hash table of keys and ranks, and the
+        few pairs whose place another one holds, sorted."""
         keys, joined = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -176,16 +184,27 @@ class Vocabulary:
                 if a is not None and b is not None:
                     keys.append(a * self.width + b)
                     joined.append(rank)
-        keys, joined = np.array(keys, np.int64), np.array(joined, np.int64)
-        order = np.argsort(keys)
-        return np.append(keys[order], np.iinfo(np.int64).max), np.append(joined[order], self.width)
+        keys, joined = np.array(keys, np.int64), np.array(joined, np.int32)
+        held, ranks = np.full(1 << _PLACES, -1, np.int64), np.full(1 << _PLACES, self.width, np.int32)
+        at = _place(keys)
+        held[at], ranks[at] = keys, joined  # of pairs with one place the last stays
+        rest = np.flatnonzero(held[at] != keys)
+        rest = rest[np.argsort(keys[rest])]
+        crowded = np.zeros(1 << _PLACES, bool)
+        crowded[at[rest]] = True
+        return held, ranks, crowded, np.append(keys[rest], np.iinfo(np.int64).max), np.append(joined[rest], np.int32(self.width))
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank two neighbours join to; ``width`` if none."""
-        keys, joined = self.pairs
-        key = left * self.width + right
-        at = np.searchsorted(keys, key)
-        return np.where(keys[at] == key, joined[at], self.width)
+        held, ranks, crowded, rest_keys, rest_ranks = self.pairs
+        key = left.astype(np.int64) * self.width + right
+        at = _place(key)
+        found = np.where(held[at] == key, ranks[at], np.int32(self.width))
+        again = np.flatnonzero(crowded[at] & (found == self.width))
+        if len(again):
+            place = np.searchsorted(rest_keys, key[again])
+            found[again] = np.where(rest_keys[place] == key[again], rest_ranks[place], self.width)
+        return found
 
     def merge(self, word: bytes) -> list[int]:
         """Join the pair of lowest rank, the leftmost first, until no pair has a rank. A
@@ -216,8 +235,8 @@ class Vocabulary:
         still has a pair with a rank, the leftmost pair of its lowest rank."""
         done_ids, done_words = [], []
         token = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        rank = np.full(len(token), self.width, np.int64)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words)))
+        rank = np.full(len(token), self.width, np.int32)
         inner = np.flatnonzero(word[1:] == word[:-1])
         rank[inner] = self.pair_rank(token[inner], token[inner + 1])
         while len(token):
@@ -318,8 +337,16 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends: str | None = "token_ends") -> DataFrame:
+def _packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts * values.itemsize)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def encode(
+    df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends: str | None = "token_ends", packed: str | None = None
+) -> DataFrame:
     """Append the token ids of a text column, and the byte offset each token ends at.
+    ``packed`` gives the ids as the bytes of a number type instead of an array.
 
     ``ranks`` is the content of a rank file (about a megabyte, shipped with the task).
     A null text counts as empty; an empty one has no tokens. Texts are whole: a very
@@ -331,7 +358,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends
 
         def run(texts: pa.Array) -> list[pa.Array]:
             found, counts = vocabulary.encode([t or "" for t in texts.to_pylist()])
-            made = [_lists(found, counts)]
+            made = [_lists(found, counts) if packed is None else _packed(found.astype(packed), counts)]
             if ends:
                 begins = vocabulary.table[1]
                 last = np.cumsum(begins[found + 1] - begins[found])
@@ -342,7 +369,7 @@ def encode(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends
 
         return run
 
-    adds = [(ids, T.ArrayType(T.IntegerType()))] + ([(ends, T.ArrayType(T.IntegerType()))] if ends else [])
+    adds = [(ids, T.ArrayType(T.IntegerType()) if packed is None else T.BinaryType())] + ([(ends, T.ArrayType(T.IntegerType()))] if ends else [])
     return with_columns(df.drop(*[n for n, _ in adds]), [text], adds, make)
 
 

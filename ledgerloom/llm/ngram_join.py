@@ -1,10 +1,17 @@
 """Jaccard self-join of word n-gram sets with signature trees.
 
 Sets of equal content are one node from the start. Nodes that could reach the threshold
-are brought together by parts: the n-gram universe is split by hash into more parts than
-a linked pair can differ in, so the two agree in a whole part that is not empty. A node
-gives one key per part (and size class); nodes that share a key are candidates, and
-chains of candidates are clusters. This step loses no pair.
+are brought together by keys; nodes that share a key are candidates, and chains of
+candidates are clusters. Neither kind of key loses a pair:
+
+* Parts (high thresholds): the n-gram universe is split by hash into more parts than a
+  linked pair can differ in, so the two agree in a whole part that is not empty.
+* Prefixes (thresholds below PART_LEAST, where parts would be too short to tell texts
+  apart): in any fixed order of the n-grams, a linked pair shares one among the first
+  |x| - ceil(t |x|) + 1 of each. N-grams that two sets share, by a bitmap over all
+  documents, come last in the order, so passages that some documents share make few
+  candidates. The bitmap has a fixed size: the fuller it is, the more candidates there
+  are, and never fewer links.
 
 Inside a cluster (a block of it, if it is large) the sets become leaves of a signature
 tree: a leaf has a bitmap of its n-grams, an inner node the OR of its children's bitmaps
@@ -20,6 +27,8 @@ candidates only.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,6 +47,10 @@ PART_ROOM = 1.15
 # Sets, and n-grams, in a block of a cluster.
 BLOCK_SETS, BLOCK_GRAMS = 1024, 2_000_000
 FAN = 32
+# Threshold from which parts serve as keys; bits (as a power) of the bitmap of shared
+# n-grams: 16 MB, whatever the input.
+PART_LEAST = 0.9
+SHARED_BITS = 27
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -137,6 +150,31 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     return keys[use], owner[row[use]]
 
 
+def prefix_keys(sets: list[np.ndarray], num: int, den: int, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first n-grams of all sets, those that may be shared last, and the position of
+    the set each belongs to. One that may be shared is a key for each size class the
+    set can find a partner in, so that only sets of like size meet by it."""
+    keys, owner = [np.zeros(0, np.uint64)], []
+    for i, own in enumerate(sets):
+        n = len(own)
+        if not n:
+            continue
+        place = bit_of(own)
+        often = (shared[place >> 3] >> (place & 7).astype(np.uint8)) & np.uint8(1) == 1
+        ordered = np.concatenate([own[~often], own[often]])[: n - -(-num * n // den) + 1]
+        alone = min(len(ordered), int((~often).sum()))
+        level = int(np.searchsorted(_STARTS, n, "right")) - 1
+        levels = [level] + [level + 1] * (n * den >= num * int(_STARTS[level + 1]))
+        made = [_mix(ordered[:alone] + _Q)] + [_mix(_mix(ordered[alone:] + _P) + np.array([x], np.uint64) * _Q) for x in levels]
+        keys.extend(made)
+        owner.extend([i] * sum(map(len, made)))
+    return np.concatenate(keys), np.array(owner, np.int64)
+
+
+def bit_of(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+
+
 def need(num: int, den: int, sizes: np.ndarray) -> np.ndarray:
     """The least overlap of two sets with this sum of sizes that links them."""
     return -((-num * sizes) // (num + den))
@@ -242,10 +280,61 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
     return with_columns(docs, ["text"], [("n_shingles", T.LongType()), ("set_id", T.BinaryType())], make)
 
 
+def shared_grams(docs: DataFrame, width: int) -> np.ndarray:
+    """A bitmap of the hash places that the n-grams of two different sets or more fall on,
+    over all documents. Tasks keep two bits a place, met once and met again; two
+    tasks' bits merge into the bits of both, so chunks of the bitmaps are merged by a
+    grouping. Its size is fixed; an n-gram of one set alone may be taken for a shared one,
+    never the reverse."""
+    chunk = 1 << 16  # bytes
+
+    def collect(batches):
+        shingler, met = Shingler(width), set()
+        once, again = (np.zeros(1 << (SHARED_BITS - 3), np.uint8) for _ in range(2))
+        for batch in batches:
+            for part in slices(batch):
+                for grams in shingler.sets(part.column(0).to_pylist()):
+                    if len(grams) and (own := identity(grams)) not in met:
+                        met.add(own)
+                        place, n = np.unique(bit_of(grams), return_counts=True)
+                        at, bit = place >> 3, np.uint8(1) << (place & 7).astype(np.uint8)
+                        seen = (once[at] & bit != 0) | (n > 1)
+                        np.bitwise_or.at(again, at[seen], bit[seen])
+                        np.bitwise_or.at(once, at, bit)
+        if met:
+            for i in range(0, len(once), chunk):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i // chunk], pa.int32()), *(pa.array([zlib.compress(x[i : i + chunk].tobytes(), 1)], pa.binary()) for x in (once, again))],
+                    ["chunk", "once", "again"],
+                )
+
+    def merge(key: tuple, batches):
+        once, again = (np.zeros(chunk, np.uint8) for _ in range(2))
+        for batch in batches:
+            for o, g in zip(*(batch.column(i).to_pylist() for i in (1, 2))):
+                o, g = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (o, g))
+                again |= g | (once & o)
+                once |= o
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([again.tobytes()], pa.binary())], ["chunk", "again"])
+
+    def merge_table(key: tuple, rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(merge(key, rows.to_batches()))
+
+    parts = docs.select("text").mapInArrow(collect, "chunk int, once binary, again binary")
+    rows = parts.groupBy("chunk").applyInArrow(merge_table, "chunk int, again binary").toArrow()
+    made = np.zeros(1 << (SHARED_BITS - 3), np.uint8)
+    for at, data in zip(rows.column("chunk").to_pylist(), rows.column("again").to_pylist()):
+        made[at * chunk : (at + 1) * chunk] = np.frombuffer(data, np.uint8)
+    return made
+
+
 def keyed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(key, node): the part keys of every distinct set a task meets. A node is half of
+    """(key, node): the keys of every distinct set a task meets. A node is half of
     the set's id; should two sets share it, both are compared."""
 
+    parts = num >= PART_LEAST * den
+    shared = None if parts else shared_grams(docs, width)
+
     def step(batches):
         shingler, met = Shingler(width), set()
         for batch in batches:
@@ -255,7 +344,8 @@ def keyed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     if len(grams) and (own := identity(grams)) not in met:
                         met.add(own)
                         sets.append((int.from_bytes(own[:8], "big", signed=True), grams))
-                keys, owner = part_keys([g for _, g in sets], num, den)
+                grams = [g for _, g in sets]
+                keys, owner = part_keys(grams, num, den) if parts else prefix_keys(grams, num, den, shared)
                 nodes = np.array([n for n, _ in sets], np.int64)[owner]
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes)], ["key", "node"])
 
@@ -263,7 +353,7 @@ def keyed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 def candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(node, cluster) of the nodes that share a part key with another one."""
+    """(node, cluster) of the nodes that share a key with another one."""
     edges = (
         keyed(docs, width, num, den)
         .withColumn("first", F.expr("min(node) OVER (PARTITION BY key)"))

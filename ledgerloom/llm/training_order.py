@@ -86,6 +86,12 @@ class Layout:
         self.record = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("used", "<i4"), ("ids", self.kind, (length,)), ("end", "u1")])
 
 
+def binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """Consecutive pieces of some bytes."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
 def numbered(tokens: DataFrame, layout: Layout, end_id: int) -> DataFrame:
     """Stage (doc_id, ids, slice, before): the ids as bytes with the end mark, and the
     number of sequences before the row in its slice. A slice is a run of rows of one
@@ -96,27 +102,26 @@ def numbered(tokens: DataFrame, layout: Layout, end_id: int) -> DataFrame:
         file, last, first, before = None, None, 0, 0
         for batch in batches:
             doc_ids, ids, files, rows = (batch.column(i) for i in range(4))
-            offsets = ids.offsets.to_numpy()
-            flat = ids.values.to_numpy(zero_copy_only=False).astype(layout.kind)
+            end = layout.kind.type(end_id).tobytes()
             out: list = [[], [], [], [], []]
-            for i, (doc, name, row) in enumerate(zip(doc_ids.to_pylist(), files.to_pylist(), rows.to_pylist())):
+            for doc, own, name, row in zip(doc_ids.to_pylist(), ids, files.to_pylist(), rows.to_pylist()):
                 if name != file or row != last + 1:
                     file, first, before = name, row, 0
                 last = row
-                own = flat[offsets[i] : offsets[i + 1]] if ids[i].is_valid else flat[:0]
-                body = np.append(own, layout.kind.type(end_id))
-                for column, value in zip(out, (doc, body.tobytes(), file, first, before)):
+                body = (own.as_py() or b"") + end
+                for column, value in zip(out, (doc, body, file, first, before)):
                     column.append(value)
-                before += -(-len(body) // layout.length)
+                before += -(-len(body) // (layout.length * layout.kind.itemsize))
             kinds = (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "ids", "file", "first", "before"])
 
     made = tokens.select("doc_id", "ids", "file", "row").mapInArrow(count, "doc_id long, ids binary, file string, first long, before long")
-    return staged(made, "sequences", compression="zstd")
+    return staged(made, "sequences", **{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"})
 
 
 def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, length: int = 256, waves: int = 4, path: str | None = None) -> tuple[str, Layout, int]:
-    """Write the shards of (doc_id, ids, file, row); return folder, layout and N.
+    """Write the shards of (doc_id, ids, file, row); return folder, layout and N. ``ids``
+    are the bytes of the layout's number type.
 
     A document without ids (or null ids) is one sequence that holds the end mark. Equal
     rows are sequences of their own. An empty table writes nothing. ``file`` and ``row``
@@ -153,16 +158,19 @@ def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, lengt
             start = np.array([base[f, r] + b for f, r, b in zip(files, firsts, befores)], np.int64)
             slot = permutation.slots(start[owner] + part)
             mine = np.flatnonzero((slot >= low) & (slot < high))
+            flat = np.frombuffer(b"".join(bodies), layout.kind)
+            sizes = np.array([len(b) // size for b in bodies], np.int64)
+            begins = (np.cumsum(sizes) - sizes)[owner[mine]] + part[mine] * length
+            used = np.minimum(length, sizes[owner[mine]] - part[mine] * length)
             made = np.zeros(len(mine), layout.record)
-            made["ids"] = end_id
-            for i, at in enumerate(mine.tolist()):
-                doc, p = owner[at], int(part[at])
-                ids = np.frombuffer(bodies[doc], layout.kind)[p * length : (p + 1) * length]
-                made[i] = (NO_ID if docs[doc] is None else docs[doc], p, len(ids), made[i]["ids"], 0)
-                made["ids"][i, : len(ids)] = ids
+            made["doc_id"] = np.array([NO_ID if d is None else d for d in docs], np.int64)[owner[mine]]
+            made["part"], made["used"] = part[mine], used
+            place = np.arange(length)[None]
+            inside = place < used[:, None]
+            made["ids"] = np.where(inside, flat[np.where(inside, begins[:, None] + place, 0)], layout.kind.type(end_id))
             raw = made.view(np.uint8).reshape(len(mine), layout.stride)[:, :-1]
-            bodies_out = pa.array([r.tobytes() for r in raw], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(slot[mine]), bodies_out], ["slot", "body"])
+            body = binaries(raw.tobytes(), np.full(len(mine), layout.stride - 1))
+            return pa.RecordBatch.from_arrays([pa.array(slot[mine]), body], ["slot", "body"])
 
         return step
 
@@ -198,10 +206,11 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int =
                     place = np.arange(begin, begin + len(rows))
                     keep = place + shard * layout.per_shard >= from_slot
                     rows, place = rows[keep], place[keep]
-                    ids = [r["ids"][: r["used"]].tobytes() for r in rows]
+                    inside = np.arange(layout.length)[None] < rows["used"][:, None]
+                    ids = binaries(rows["ids"][inside].tobytes(), rows["used"] * layout.kind.itemsize)
                     doc = pa.array(rows["doc_id"], mask=rows["doc_id"] == NO_ID)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(place + shard * layout.per_shard), pa.array(np.full(len(rows), shard)), pa.array(place * layout.stride), doc, pa.array(rows["part"]), pa.array(rows["used"]), pa.array(ids, pa.binary())],
+                        [pa.array(place + shard * layout.per_shard), pa.array(np.full(len(rows), shard)), pa.array(place * layout.stride), doc, pa.array(rows["part"]), pa.array(rows["used"]), ids],
                         names,
                     )
 
