@@ -140,8 +140,10 @@ def test_retention_drops_old_months_only(spark):
     name = table(spark)
     p.write_assigned(rows(spark, DAYS), name, "transaction_dt", AS_OF)
     p.write_monthly(rows(spark, ["2022-01-05"], first_id=50), name, "transaction_dt")
-    assert p.apply_retention(spark, name, AS_OF, 12) == ["p20220101"]
-    assert counts(spark, name)["default"] == 5
+    # rows that wait in default go into their months first, and the old ones go
+    assert p.apply_retention(spark, name, AS_OF, 12) == ["p20211201", "p20220101"]
+    left = counts(spark, name)
+    assert "default" not in left and min(left) == "p20230801" and sum(left.values()) == 5
 
 
 def test_one_month_with_a_third_of_the_rows_is_written_whole(spark):
