@@ -128,6 +128,8 @@ def parse(data: bytes, at: int) -> Found:
         if not colon:
             raise ValueError("header line without a name")
         header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if not header.get("warc-type") or not header.get("warc-record-id"):
+        raise ValueError("a mandatory field is missing")
     length = header.get("content-length", "")
     if not length.isdigit():
         raise ValueError("no length")
