@@ -5,7 +5,8 @@ one record per row with those two line ends as its separator, so that archives a
 WARC 1.1 files, written and committed by Spark on any file system. Of records with
 equal payloads one is a response and the others revisit it. Digests are computed
 without Python. Equal payloads meet by digest in an equi-join against one row per
-repeated payload, whose large partitions Spark splits.
+repeated payload, whose large partitions Spark splits; a filter of the repeated digests
+keeps the other payloads out of that shuffle.
 
 Reading. An archive (plain records, or gzip members of one record or more) is read
 from its first byte. A record that fails a check - version line, header, length, end
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import forget_at_exit, importable
+from ledgerloom.llm import bits
+from ledgerloom.llm.common import forget_at_exit, importable, staged
 from ledgerloom.shared import scratch_path
 
 ARCHIVE_BYTES = 16 << 20  # about; what a reading task holds
@@ -59,7 +61,11 @@ def records(pages: DataFrame, least_bytes: int) -> DataFrame:
         marked.filter(F.col("size") >= least_bytes).groupBy("digest", "size")
         .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").drop("n")
     )
-    met = marked.join(groups, ["digest", "size"], "left")
+    groups = staged(groups, "warc-repeats")
+    own = F.xxhash64("digest", "size")
+    likely = bits.prefilter(groups.select(own.alias("h")), "h", groups.count()).holds(own)
+    met = marked.filter(likely).join(groups, ["digest", "size"], "left")
+    met = met.unionByName(marked.filter(~likely).withColumn("first", F.lit(None).cast("long")))
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
 
     def line(name: str, value: Column) -> Column:
