@@ -10,25 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKEN_SPAN = 1 << 32
-TOKEN_LOW = -(1 << 31)
-
 
 def _hex_number(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("bigint")
 
 
-def shard_token(key: Column) -> Column:
-    """Signed 32-bit token of a key, spread over the whole int32 range."""
-    return _hex_number(F.substring(F.md5(key.cast("string")), 1, 8)) + F.lit(TOKEN_LOW)
-
-
-def shard_slot(token: Column, shards: int) -> Column:
-    """Index of the even token range that holds the token."""
-    width = TOKEN_SPAN // shards
-    return F.floor((token - F.lit(TOKEN_LOW)) / F.lit(width)).cast("bigint")
-
-
 # Multipliers of the mixing rounds, the added constant and the modulus. The first
 # draw takes three rounds, each further one two.
 ROUNDS = (48271, 69621, 39373, 33614, 95071, 62089, 742938, 950706, 25214, 63073, 40692)

@@ -17,6 +17,7 @@ from ledgerloom.sinks.tables import append_rows
 
 PART = "part"
 DEFAULT = "default"
+TENANT = "company_id"
 
 
 def premade_window(as_of: dt.date, premake: int = 4) -> tuple[dt.date, dt.date]:
@@ -33,8 +34,10 @@ def assigned_label(day: Column, as_of: dt.date, premake: int = 4) -> Column:
 
 def laid_out(df: DataFrame) -> DataFrame:
     """Bring the rows of a partition together for few, full-sized files. REBALANCE
-    splits a month that is too large for one task and merges small ones."""
-    return df.hint("rebalance", F.col(PART))
+    splits a month that is too large for one task and merges small ones. Inside a file
+    the rows are sorted by tenant, so that a filter on it skips row groups."""
+    order = [c for c in (PART, TENANT) if c in df.columns]
+    return df.hint("rebalance", F.col(PART)).sortWithinPartitions(*order)
 
 
 def _dated(label: Column, day: str) -> Column:

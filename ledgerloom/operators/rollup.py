@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import month_start, shift_months
 
-CELL = ["company_id", "account_id", "period_dt"]
+PAIR = ["company_id", "account_id"]
+CELL = [*PAIR, "period_dt"]
 
 
 def monthly_rollup(fact: DataFrame) -> DataFrame:
@@ -73,14 +74,29 @@ def detail_of_cells(cells: DataFrame, inclusive: bool = True) -> DataFrame:
 def _one_month(
     fact: DataFrame, rollup: DataFrame | None, period, inclusive: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """Totals and detail sums of a single month, each a range of days."""
+    """Totals and detail sums of a single month, each a range of days. Without a stored
+    rollup both follow from one set of cell sums: the fact is read once."""
     day, low, high = F.col("transaction_dt"), F.lit(period), shift_months(F.lit(period), 1)
-    from_month = fact.filter(day >= low)
-    own = from_month.filter(day < high)
-    totals = monthly_rollup(own) if rollup is None else rollup.filter(F.col("period_dt") == low)
-    within = from_month.filter(day <= high) if inclusive else own
-    detail = within.groupBy("company_id", "account_id", "custom_1").agg(F.sum("amount").alias("detail"))
-    return totals, detail.withColumn("period_dt", low)
+    within = fact.filter((day >= low) & (day <= high if inclusive else day < high))
+    if rollup is not None:
+        detail = within.groupBy(*PAIR, "custom_1").agg(F.sum("amount").alias("detail"))
+        return rollup.filter(F.col("period_dt") == low), detail
+    known = F.col("company_id").isNotNull() & F.col("account_id").isNotNull()
+    cells = (
+        within.filter(known)
+        .groupBy(*PAIR, "currency_code", "custom_1", (day < high).alias("own_month"))
+        .agg(F.sum("amount").alias("amount"))
+    )
+    # The condition is on the sums: a filter on the cells would make the two plans differ.
+    totals = (
+        cells.repartition(*PAIR)
+        .groupBy(*PAIR, "currency_code")
+        .agg(F.expr("sum(amount) FILTER (WHERE own_month)").alias("amount"), F.max("own_month").alias("held"))
+        .filter("held")
+        .drop("held")
+    )
+    detail = cells.repartition(*PAIR).groupBy(*PAIR, "custom_1").agg(F.sum("amount").alias("detail"))
+    return totals, detail
 
 
 def report(
@@ -114,7 +130,7 @@ def report(
         cells = monthly_cells(fact)
         totals = rollup_of_cells(cells) if rollup is None else rollup
         detail = detail_of_cells(cells, inclusive)
-    joined = totals.join(detail, CELL)
+    joined = totals.join(detail, CELL if period is None else PAIR)
     joined = joined.join(companies.select("company_id", "company_name"), "company_id").join(
         accounts.select("account_id", "account_description"), "account_id"
     )

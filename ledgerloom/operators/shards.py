@@ -1,76 +1,10 @@
-"""Shards of a table distributed by tenant: map, lookup, isolation and skew."""
+"""How evenly the rows of a table lie over the pieces it is stored in."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.tokens import TOKEN_LOW, TOKEN_SPAN, shard_slot, shard_token
-
-SHARDS = 32
-
-
-def shard_map(spark: SparkSession, shards: int = SHARDS) -> DataFrame:
-    """Even, contiguous token ranges. ``slot`` is the even range a shard lies in."""
-    width = TOKEN_SPAN // shards
-    low = F.col("id") * width + TOKEN_LOW
-    return spark.range(shards).select(
-        F.col("id").alias("slot"),
-        low.alias("min_token"),
-        (low + width - 1).alias("max_token"),
-    )
-
-
-def isolate(ranges: DataFrame, tenant: Column) -> DataFrame:
-    """Give a tenant a shard of its own: its range is split in the part below, the
-    token itself, and the part above. Parts without a token fall away."""
-    token = shard_token(tenant)
-    hit = (F.col("min_token") <= token) & (token <= F.col("max_token"))
-    whole = F.array(F.struct("min_token", "max_token"))
-    below = F.struct(F.col("min_token"), (token - 1).alias("max_token"))
-    exact = F.struct(token.alias("min_token"), token.alias("max_token"))
-    above = F.struct((token + 1).alias("min_token"), F.col("max_token"))
-    split = F.filter(F.array(below, exact, above), lambda r: r["min_token"] <= r["max_token"])
-    pieces = F.explode(F.when(hit, split).otherwise(whole)).alias("r")
-    return ranges.select("slot", pieces).select("slot", "r.min_token", "r.max_token")
-
-
-def numbered(ranges: DataFrame) -> DataFrame:
-    """Shard numbers in token order. The window has no partition, but the map has one
-    row per shard: its size does not depend on the data."""
-    order = Window.orderBy("min_token")
-    return ranges.withColumn("shard", (F.row_number().over(order) - 1).cast("bigint"))
-
-
-def tenant_shards(tenants: DataFrame, ranges: DataFrame, key: str, shards: int = SHARDS) -> DataFrame:
-    """The shard of each tenant. The even slot is an equi key; only the pieces of
-    one slot are compared by range."""
-    keyed = tenants.withColumn("token", shard_token(F.col(key)))
-    keyed = keyed.withColumn("slot", shard_slot(F.col("token"), shards))
-    within = (keyed["slot"] == ranges["slot"]) & keyed["token"].between(
-        ranges["min_token"], ranges["max_token"]
-    )
-    return keyed.join(F.broadcast(ranges), within).drop(ranges["slot"])
-
-
-def shard_rows(fact: DataFrame, ranges: DataFrame, key: str, shards: int = SHARDS) -> DataFrame:
-    """Tenants and rows of every shard, empty ones included. Rows are counted per
-    tenant first, so the token is computed once per tenant and a large tenant is
-    already a single row when it meets the map."""
-    counts = fact.groupBy(key).agg(F.count("*").alias("row_cnt"))
-    held = (
-        tenant_shards(counts, ranges, key, shards)
-        .groupBy("shard")
-        .agg(F.count("*").alias("tenant_cnt"), F.sum("row_cnt").alias("row_cnt"))
-    )
-    return ranges.join(held, "shard", "left").select(
-        "shard",
-        "min_token",
-        "max_token",
-        F.coalesce("tenant_cnt", F.lit(0)).alias("tenant_cnt"),
-        F.coalesce("row_cnt", F.lit(0)).alias("row_cnt"),
-    )
-
 
 def skew(counts: DataFrame, rows: str = "row_cnt") -> DataFrame:
     """Skew coefficient (sample deviation over mean, in percent) and idle fraction
@@ -83,6 +17,12 @@ def skew(counts: DataFrame, rows: str = "row_cnt") -> DataFrame:
     )
 
 
-def segment_rows(df: DataFrame) -> DataFrame:
-    """Rows per physical segment (partition of the running plan)."""
-    return df.groupBy(F.spark_partition_id().alias("segment")).agg(F.count("*").alias("row_cnt"))
+def bucket_rows(files: DataFrame) -> DataFrame:
+    """Files, rows and bytes of every bucket that has rows, from the stored files of a
+    bucketed table (their names end in the bucket's number)."""
+    number = F.regexp_extract("file_path", r"_(\d+)\.c\d+[^/]*$", 1).cast("int")
+    return files.groupBy(number.alias("bucket")).agg(
+        F.count("*").alias("file_cnt"),
+        F.sum("row_cnt").alias("row_cnt"),
+        F.sum("file_size").alias("size_bytes"),
+    )

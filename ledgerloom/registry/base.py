@@ -18,7 +18,7 @@ AS_OF = dt.date(2001, 12, 1)
 KEEP_MONTHS = 24
 # "Now" of the partition assignment: months 2000-02 … 2000-10 are premade.
 PREMADE_AS_OF = dt.date(2000, 6, 15)
-# The tenant that gets a shard of its own.
+# The tenant that single-tenant queries ask for.
 HEAD_COMPANY = 1
 
 # Columns of a ledger row that are set in the test tables.
@@ -57,7 +57,29 @@ SHOWN_SQL = """transaction_id, transaction_dt, company_id, account_id, operation
 
 LABEL_SQL = "'p' || strftime(transaction_dt, '%Y%m01')"
 
-TOKEN_SQL = "CAST('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8) AS BIGINT) - 2147483648"
+
+def report_sql(inclusive: bool, where: str = "") -> str:
+    """Month totals beside code sums. A table of days says which months a day counts
+    for: its own and, where the upper bound is closed, on a first the month before."""
+    counted = "SELECT DISTINCT transaction_dt AS on_day, CAST(date_trunc('month', transaction_dt) AS DATE) AS in_month FROM acc_data"
+    if inclusive:
+        counted += " UNION SELECT transaction_dt, CAST(transaction_dt - INTERVAL 1 MONTH AS DATE) FROM acc_data WHERE day(transaction_dt) = 1"
+    return f"""
+WITH {ACC_DATA}, {DICTIONARIES},
+month_total AS (
+  SELECT company_id, account_id, currency_code, CAST(date_trunc('month', transaction_dt) AS DATE) AS in_month,
+         SUM(amount) AS total FROM acc_data GROUP BY 1, 2, 3, 4),
+counted AS ({counted}),
+code_sum AS (
+  SELECT company_id, account_id, in_month, custom_1, SUM(amount) AS code_total
+  FROM acc_data JOIN counted ON on_day = transaction_dt GROUP BY 1, 2, 3, 4)
+SELECT company_name, account_description, custom_1,
+       CAST(total AS DOUBLE) AS amount_all, CAST(SUM(code_total) AS DOUBLE) AS amount_custom_1
+FROM month_total JOIN code_sum USING (company_id, account_id, in_month)
+JOIN dct_companies USING (company_id) JOIN dct_accounts USING (account_id)
+{where}
+GROUP BY company_name, account_description, custom_1, total
+ORDER BY 1, 2, 3"""
 
 
 def shown(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Layout queries: partitions, shards, skew, sizes and co-location."""
+"""Layout queries: partitions, skew, sizes, buckets and co-location."""
 
 from __future__ import annotations
 
@@ -10,11 +10,10 @@ from pyspark.sql import types as T
 from ledgerloom import bindings
 from ledgerloom.functions.periods import partition_label
 from ledgerloom.functions.sizes import pretty_size
-from ledgerloom.functions.tokens import shard_slot, shard_token
 from ledgerloom.operators import colocation, layout, partitions, shards
 from ledgerloom.registry import register
 from ledgerloom.registry.base import (
-    ACC_AGGREGATE, ACC_DATA, HEAD_COMPANY, LABEL_SQL, PREMADE_AS_OF, SHOWN_SQL, TOKEN_SQL,
+    ACC_AGGREGATE, ACC_DATA, HEAD_COMPANY, LABEL_SQL, PREMADE_AS_OF, SHOWN_SQL,
     shown, stored_ledger, stored_ledger_name,
 )
 from ledgerloom.shared import scratch_namespace
@@ -70,66 +69,9 @@ def ledger_read_days(spark, sf):
     return shown(partitions.read_days(stored_ledger(spark, sf), "transaction_dt", low, high))
 
 
-# --- shards ------------------------------------------------------------------
-
-SHARD_SQL = f"""tenants AS (
-  SELECT company_id, token, CAST(floor((token + 2147483648) / 134217728) AS BIGINT) AS shard
-  FROM (SELECT n_nationkey AS company_id, {TOKEN_SQL.format('n_nationkey')} AS token FROM nation) t)"""
-
-HEAD_TOKEN = f"(SELECT {TOKEN_SQL.format(HEAD_COMPANY)})"
-
-ISOLATED_SQL = f"""even AS (
-  SELECT i * 134217728 - 2147483648 AS lo, i * 134217728 - 2147483648 + 134217727 AS hi
-  FROM (SELECT unnest(range(32)) AS i) s),
-head AS (SELECT {TOKEN_SQL.format(HEAD_COMPANY)} AS t),
-pieces AS (
-  SELECT lo, hi FROM even, head WHERE NOT (t BETWEEN lo AND hi)
-  UNION ALL SELECT lo, t - 1 FROM even, head WHERE t BETWEEN lo AND hi AND lo <= t - 1
-  UNION ALL SELECT t, t      FROM even, head WHERE t BETWEEN lo AND hi
-  UNION ALL SELECT t + 1, hi FROM even, head WHERE t BETWEEN lo AND hi AND t + 1 <= hi),
-isolated AS (SELECT row_number() OVER (ORDER BY lo) - 1 AS shard, lo AS min_token, hi AS max_token FROM pieces)"""
-
-TENANT_ROWS = f"""tenant_rows AS (
-  SELECT company_id, COUNT(*) AS n, {TOKEN_SQL.format('company_id')} AS token FROM acc_data GROUP BY company_id)"""
-
-ISOLATED_ROWS = f"""isolated_rows AS (
-  SELECT shard, min_token, max_token, COUNT(company_id) AS tenant_cnt,
-         CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_cnt
-  FROM isolated LEFT JOIN tenant_rows ON token BETWEEN min_token AND max_token GROUP BY 1, 2, 3)"""
-
-EVEN_ROWS = """even_rows AS (
-  SELECT CAST(i AS BIGINT) AS shard, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_cnt
-  FROM (SELECT unnest(range(32)) AS i) s LEFT JOIN tenant_rows
-    ON CAST(floor((token + 2147483648) / 134217728) AS BIGINT) = i GROUP BY 1)"""
-
-
-def _even(spark):
-    return shards.numbered(shards.shard_map(spark))
-
-
-def _isolated(spark):
-    return shards.numbered(shards.isolate(shards.shard_map(spark), F.lit(HEAD_COMPANY)))
-
-
-@register("ledger_shard_of_tenant", f"WITH {SHARD_SQL} SELECT company_id, token, shard FROM tenants")
-def ledger_shard_of_tenant(spark, sf):
-    tenants = bindings.companies(spark, sf).select("company_id")
-    token = shard_token(F.col("company_id"))
-    return tenants.select("company_id", token.alias("token"), shard_slot(token, shards.SHARDS).alias("shard"))
-
-
-@register("ledger_shard_rows", f"""
-WITH {ACC_DATA}, {TENANT_ROWS}, {EVEN_ROWS} SELECT shard, row_cnt FROM even_rows""")
-def ledger_shard_rows(spark, sf):
-    held = shards.shard_rows(bindings.fact(spark, sf), _even(spark), "company_id")
-    return held.select("shard", "row_cnt")
-
-
-@register("ledger_isolated_shards", f"""
-WITH {ACC_DATA}, {TENANT_ROWS}, {ISOLATED_SQL}, {ISOLATED_ROWS} SELECT * FROM isolated_rows""")
-def ledger_isolated_shards(spark, sf):
-    return shards.shard_rows(bindings.fact(spark, sf), _isolated(spark), "company_id")
+# --- skew ------------------------------------------------------------------
 
+TENANT_ROWS = """tenant_rows AS (SELECT company_id, COUNT(*) AS n FROM acc_data GROUP BY company_id)"""
 
 SKEW_SQL = """SELECT COUNT(*) AS segments, CAST(SUM(n) AS BIGINT) AS row_cnt,
        ROUND(stddev_samp(n) / AVG(n) * 100, 9) AS skew_coefficient,
@@ -148,159 +90,16 @@ def ledger_skew(spark, sf):
     return _skew(bindings.fact(spark, sf).groupBy("company_id").agg(F.count("*").alias("row_cnt")))
 
 
-@register("ledger_shard_skew", f"WITH {ACC_DATA}, {TENANT_ROWS}, {ISOLATED_SQL}, {ISOLATED_ROWS} "
-          + SKEW_SQL.format("(SELECT row_cnt AS n FROM isolated_rows) r"))
-def ledger_shard_skew(spark, sf):
-    return _skew(shards.shard_rows(bindings.fact(spark, sf), _isolated(spark), "company_id"))
-
-
-@register("ledger_segment_rows")
-def ledger_segment_rows(spark, sf):
-    """Rows per physical segment of the ledger spread over 32 hash partitions."""
-    rows = bindings.fact(spark, sf).repartition(shards.SHARDS, "company_id", "transaction_id")
-    return shards.segment_rows(rows)
-
-
-# --- shard list: one row per partition and shard -----------------------------
-
 # Bytes of a row: fixed-width columns, then the texts.
 ROW_BYTES_SQL = """36 + length(account_id) + length(operation_type) + length(currency_code)
        + COALESCE(length(custom_1), 0) + COALESCE(length(custom_2), 0)"""
 
-SHARD_LIST_SQL = f"""{ACC_DATA}, sized AS (
-  SELECT 'acc_data_' || {ASSIGNED_SQL} AS table_name, {TOKEN_SQL.format('company_id')} AS token,
-         {ROW_BYTES_SQL} AS bytes FROM acc_data),
-shard_list AS (
-  SELECT table_name, CAST(floor((token + 2147483648) / 134217728) AS BIGINT) AS shardid,
-         CAST(SUM(bytes) AS BIGINT) AS shard_size FROM sized GROUP BY 1, 2),
-head AS (SELECT CAST(floor(({HEAD_TOKEN} + 2147483648) / 134217728) AS BIGINT) AS shardid)"""
-
 
 def _row_bytes():
     texts = ["account_id", "operation_type", "currency_code", "custom_1", "custom_2"]
     return sum((F.coalesce(F.char_length(c), F.lit(0)) for c in texts), F.lit(36)).cast("bigint")
 
 
-def _shard_list(spark, sf):
-    """Table, shard and bytes: summed per tenant first, so that the token is
-    computed on one row per tenant and partition."""
-    label = partitions.assigned_label(F.col("transaction_dt"), PREMADE_AS_OF)
-    sized = (
-        bindings.fact(spark, sf)
-        .groupBy(F.concat(F.lit("acc_data_"), label).alias("table_name"), "company_id")
-        .agg(F.sum(_row_bytes()).alias("bytes"))
-    )
-    slot = shard_slot(shard_token(F.col("company_id")), shards.SHARDS)
-    return sized.groupBy("table_name", slot.alias("shardid")).agg(F.sum("bytes").alias("shard_size"))
-
-
-def _head_slot():
-    return shard_slot(shard_token(F.lit(HEAD_COMPANY)), shards.SHARDS)
-
-
-@register("shard_list", f"""
-WITH {SHARD_LIST_SQL} SELECT table_name, shardid, shard_size FROM shard_list
-WHERE table_name LIKE 'acc_data%' ORDER BY shard_size DESC""")
-def shard_list(spark, sf):
-    rows = _shard_list(spark, sf).filter(F.col("table_name").like("acc_data%"))
-    return rows.orderBy(F.desc_nulls_first("shard_size"))
-
-
-@register("shard_list_prefix", f"""
-WITH {SHARD_LIST_SQL} SELECT table_name, shardid, shard_size FROM shard_list
-WHERE table_name LIKE 'acc_data_def%' AND shard_size > 25000
-  AND shardid <> (SELECT shardid FROM head) ORDER BY shard_size DESC""")
-def shard_list_prefix(spark, sf):
-    rows = _shard_list(spark, sf)
-    wanted = (
-        F.col("table_name").like("acc_data_def%")
-        & (F.col("shard_size") > 25000)
-        & (F.col("shardid") != _head_slot())
-    )
-    return rows.filter(wanted).orderBy(F.desc_nulls_first("shard_size"))
-
-
-@register("shard_list_not_in", f"""
-WITH {SHARD_LIST_SQL} SELECT table_name, shardid, shard_size FROM shard_list
-WHERE table_name NOT IN ('acc_data_default', 'acc_data_p20000201', 'acc_data_p20001001')""")
-def shard_list_not_in(spark, sf):
-    left_out = ["acc_data_default", "acc_data_p20000201", "acc_data_p20001001"]
-    return _shard_list(spark, sf).filter(~F.col("table_name").isin(left_out))
-
-
-@register("shard_counts", f"""
-WITH {SHARD_LIST_SQL} SELECT table_name, COUNT(*) AS shards_cnt FROM shard_list
-WHERE table_name LIKE 'acc_data%' GROUP BY 1 ORDER BY 1""")
-def shard_counts(spark, sf):
-    rows = _shard_list(spark, sf).filter(F.col("table_name").like("acc_data%"))
-    return rows.groupBy("table_name").agg(F.count("*").alias("shards_cnt")).orderBy("table_name")
-
-
-@register("shard_tables", f"WITH {SHARD_LIST_SQL} SELECT DISTINCT table_name FROM shard_list")
-def shard_tables(spark, sf):
-    return _shard_list(spark, sf).select("table_name").distinct()
-
-
-# Workers and their group; even shards lie in group 1, odd in group 2.
-NODES = [(1, "worker-1", "primary"), (2, "worker-2", "primary"), (1, "worker-1-standby", "secondary")]
-
-
-def _layout(spark, sf, tables):
-    """Partition → shard → node → size of the head company's shard."""
-    nodes = literal_rows(spark, NODES, T.StructType([
-        T.StructField("groupid", T.IntegerType()),
-        T.StructField("nodename", T.StringType()),
-        T.StructField("noderole", T.StringType()),
-    ]))
-    sizes = _shard_list(spark, sf)
-    placed = sizes.withColumn("groupid", (F.col("shardid") % 2 + 1).cast("int"))
-    named = tables.withColumn("shardid", _head_slot())
-    on_node = (placed["groupid"] == nodes["groupid"]) & (nodes["noderole"] == "primary")
-    return (
-        named.join(placed, (named["partition_tablename"] == placed["table_name"]) & (named["shardid"] == placed["shardid"]))
-        .join(F.broadcast(nodes), on_node)
-        .select("partition_tablename", named["shardid"], "nodename", "shard_size")
-        .orderBy("partition_tablename")
-    )
-
-
-def _layout_sql(tables: str) -> str:
-    return f"""
-WITH {SHARD_LIST_SQL},
-nodes(groupid, nodename, noderole) AS (
-  VALUES (1, 'worker-1', 'primary'), (2, 'worker-2', 'primary'), (1, 'worker-1-standby', 'secondary')),
-parts AS (SELECT t.partition_tablename, h.shardid FROM ({tables}) t, head h)
-SELECT p.partition_tablename, p.shardid, n.nodename, s.shard_size
-FROM parts p
-JOIN shard_list s ON s.shardid = p.shardid AND s.table_name = p.partition_tablename
-JOIN nodes n ON n.groupid = s.shardid % 2 + 1 AND n.noderole = 'primary'
-ORDER BY 1"""
-
-
-MONTHLY_TABLES = "SELECT DISTINCT table_name AS partition_tablename FROM shard_list WHERE table_name <> 'acc_data_default'"
-
-
-def _monthly_tables(spark, sf):
-    """Names of the monthly partitions that hold rows."""
-    label = partitions.assigned_label(F.col("l_shipdate").cast("date"), PREMADE_AS_OF)
-    lines = bindings.table(spark, sf, "lineitem")
-    names = lines.select(F.concat(F.lit("acc_data_"), label).alias("partition_tablename")).distinct()
-    return names.filter(F.col("partition_tablename") != "acc_data_default")
-
-
-@register("layout_report", _layout_sql(MONTHLY_TABLES))
-def layout_report(spark, sf):
-    return _layout(spark, sf, _monthly_tables(spark, sf))
-
-
-@register("layout_report_default", _layout_sql(MONTHLY_TABLES + " UNION SELECT 'acc_data_default'"))
-def layout_report_default(spark, sf):
-    default = literal_rows(
-        spark, [("acc_data_default",)], T.StructType([T.StructField("partition_tablename", T.StringType())])
-    )
-    return _layout(spark, sf, _monthly_tables(spark, sf).union(default).distinct())
-
-
 # --- sizes and statistics ----------------------------------------------------
 
 @register("ledger_partition_sizes", f"""
@@ -308,7 +107,7 @@ WITH {ACC_DATA}, sizes AS (
   SELECT 'acc_data_' || {LABEL_SQL} AS name, COUNT(*) AS row_cnt,
          CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) AS size_bytes FROM acc_data GROUP BY 1
   UNION ALL
-  SELECT 'acc_data', COUNT(*), CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) * 1024 FROM acc_data)
+  SELECT 'acc_data', COUNT(*), CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) FROM acc_data)
 SELECT name, row_cnt, size_bytes,
        CASE WHEN size_bytes < 10240 THEN size_bytes || ' bytes'
             WHEN (size_bytes >> 9)  < 20479 THEN (((size_bytes >> 9)  + 1) >> 1) || ' kB'
@@ -316,15 +115,15 @@ SELECT name, row_cnt, size_bytes,
             WHEN (size_bytes >> 29) < 20479 THEN (((size_bytes >> 29) + 1) >> 1) || ' GB'
             WHEN (size_bytes >> 39) < 20479 THEN (((size_bytes >> 39) + 1) >> 1) || ' TB'
             ELSE (((size_bytes >> 49) + 1) >> 1) || ' PB' END AS size
-FROM sizes WHERE name LIKE 'acc_data%' ORDER BY size_bytes DESC""")
+FROM sizes WHERE name LIKE 'acc_data_p199%' ORDER BY size_bytes DESC""")
 def ledger_partition_sizes(spark, sf):
-    """Bytes per partition as text; the parent's are scaled up, to reach other units."""
+    """Bytes of the partitions of the nineties, as numbers and text."""
     sized = bindings.fact(spark, sf).select(partition_label(F.col("transaction_dt")).alias("part"), _row_bytes().alias("b"))
     parts = sized.groupBy("part").agg(F.count("*").alias("row_cnt"), F.sum("b").alias("size_bytes"))
-    total = parts.agg(F.sum("row_cnt").alias("row_cnt"), (F.sum("size_bytes") * 1024).alias("size_bytes"))
+    total = parts.agg(F.sum("row_cnt").alias("row_cnt"), F.sum("size_bytes").alias("size_bytes"))
     both = parts.withColumn("part", F.concat(F.lit("acc_data_"), "part")).withColumnRenamed("part", "name")
     both = both.unionByName(total.withColumn("name", F.lit("acc_data")))
-    sizes = both.filter(F.col("name").like("acc_data%")).withColumn("size", pretty_size(F.col("size_bytes")))
+    sizes = both.filter(F.col("name").like("acc_data_p199%")).withColumn("size", pretty_size(F.col("size_bytes")))
     return sizes.orderBy(F.desc_nulls_first("size_bytes"))
 
 
@@ -343,6 +142,55 @@ def layout_rows(spark, sf):
     return layout.partition_sizes(files, ["part"]).select("part", "row_cnt")
 
 
+HELD_SQL = f"""{ACC_DATA}, held AS (SELECT {LABEL_SQL} AS part, COUNT(*) AS row_cnt FROM acc_data GROUP BY 1)"""
+LEFT_OUT = ("p19980301", "p19980401", "p19980501")
+
+
+def _held(spark, sf, **options):
+    files = layout.stored_files(stored_ledger(spark, sf), ["part"])
+    return layout.partition_sizes(files, ["part"], **options)
+
+
+@register("layout_sized_parts", f"WITH {HELD_SQL} SELECT part, row_cnt, true AS sized, true AS labelled FROM held")
+def layout_sized_parts(spark, sf):
+    """Every partition has files with bytes and a size text; their rows are all rows."""
+    sized, labelled = F.col("size_bytes") > 0, F.col("size").rlike("^[0-9]+ (bytes|kB|MB|GB|TB|PB)$")
+    return _held(spark, sf).select("part", "row_cnt", sized.alias("sized"), labelled.alias("labelled"))
+
+
+@register("layout_like", f"WITH {HELD_SQL} SELECT part, row_cnt FROM held WHERE part LIKE 'p1998%'")
+def layout_like(spark, sf):
+    """Stored partitions of one year."""
+    return _held(spark, sf, prefix="p1998").select("part", "row_cnt")
+
+
+@register("layout_not_in", f"WITH {HELD_SQL} SELECT part, row_cnt FROM held WHERE part NOT IN {LEFT_OUT}")
+def layout_not_in(spark, sf):
+    """Stored partitions but for three months."""
+    return _held(spark, sf).filter(~F.col("part").isin(*LEFT_OUT)).select("part", "row_cnt")
+
+
+@register("layout_head_company", f"""
+WITH {HELD_SQL}, own AS (SELECT {LABEL_SQL} AS part, company_id, COUNT(*) AS n FROM acc_data GROUP BY 1, 2)
+SELECT held.part, COALESCE(own.n, 0) AS row_cnt
+FROM held LEFT JOIN own ON own.part = held.part AND own.company_id = {HEAD_COMPANY}""")
+def layout_head_company(spark, sf):
+    """Every stored partition, and the rows one tenant has there (none count as 0)."""
+    listed = ledger_partitions(spark, sf)
+    own = stored_ledger(spark, sf).groupBy("part", "company_id").agg(F.count("*").alias("n"))
+    met = (listed["part"] == own["part"]) & (own["company_id"] == F.lit(HEAD_COMPANY))
+    return listed.join(own, met, "left").select(listed["part"], F.coalesce("n", F.lit(0)).alias("row_cnt"))
+
+
+@register("layout_with_default", f"WITH {HELD_SQL} SELECT part FROM held UNION SELECT 'default'")
+def layout_with_default(spark, sf):
+    """The stored partitions, and default whether or not rows wait there."""
+    default = literal_rows(
+        spark, [(partitions.DEFAULT,)], T.StructType([T.StructField("part", T.StringType())])
+    )
+    return ledger_partitions(spark, sf).union(default).distinct()
+
+
 @register("layout_estimated_count", f"""
 WITH {ACC_DATA} SELECT CAST(COUNT(*) AS DOUBLE) AS estimated_count FROM acc_data""")
 def layout_estimated_count(spark, sf):
@@ -410,34 +258,23 @@ def ledger_colocated_report(spark, sf):
     return rows.withColumns({c: F.col(c).cast("double") for c in ("amount_all", "amount_custom_1")})
 
 
-# --- weather shards ----------------------------------------------------------
-
-STATIONS = f"""stations AS (
-  SELECT user_id, COUNT(*) AS n, {TOKEN_SQL.format('user_id')} AS token FROM events GROUP BY user_id),
-station_shards AS (
-  SELECT CAST(i AS BIGINT) AS shard, COUNT(user_id) AS tenant_cnt, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_cnt
-  FROM (SELECT unnest(range(32)) AS i) s LEFT JOIN stations
-    ON CAST(floor((token + 2147483648) / 134217728) AS BIGINT) = i GROUP BY 1)"""
-
+def _buckets_held(spark, sf):
+    fact, _ = bucketed_ledger(spark, sf)
+    return shards.bucket_rows(layout.stored_files(spark.table(fact), []))
 
-def _station_shards(spark, sf):
-    return shards.shard_rows(bindings.weather(spark, sf), _even(spark), "station_id")
 
+@register("layout_buckets")
+def layout_buckets(spark, sf):
+    """Files, rows and bytes of every stored bucket."""
+    return _buckets_held(spark, sf).orderBy("bucket")
 
-@register("weather_shard_rows", f"WITH {STATIONS} SELECT shard, tenant_cnt, row_cnt FROM station_shards")
-def weather_shard_rows(spark, sf):
-    """Weather distributed by station: stations and rows of every shard."""
-    return _station_shards(spark, sf).select("shard", "tenant_cnt", "row_cnt")
 
-
-@register("weather_shard_skew", f"WITH {STATIONS} "
-          + SKEW_SQL.format("(SELECT row_cnt AS n FROM station_shards) r"))
-def weather_shard_skew(spark, sf):
-    return _skew(_station_shards(spark, sf))
-
-
-@register("weather_segment_rows")
-def weather_segment_rows(spark, sf):
-    """Rows per segment of the weather table spread by station and day."""
-    rows = bindings.weather(spark, sf).repartition(shards.SHARDS, "station_id", "dt")
-    return shards.segment_rows(rows)
+@register("layout_bucket_total", f"""
+WITH {ACC_DATA} SELECT COUNT(*) AS row_cnt, true AS sized, true AS numbered FROM acc_data""")
+def layout_bucket_total(spark, sf):
+    """The rows of all bucket files are the rows of the ledger; none is without bytes."""
+    return _buckets_held(spark, sf).agg(
+        F.sum("row_cnt").alias("row_cnt"),
+        (F.min("size_bytes") > 0).alias("sized"),
+        (F.count("bucket") == F.count("*")).alias("numbered"),
+    )

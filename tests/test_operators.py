@@ -155,28 +155,6 @@ def test_replication_depends_on_the_size(spark):
     assert "broadcast" in plan(small) and "broadcast" not in plan(large)
 
 
-def test_isolation_splits_one_range_in_three(spark):
-    even = shards.shard_map(spark)
-    split = shards.numbered(shards.isolate(even, F.lit(1))).orderBy("min_token").collect()
-    assert even.count() == 32 and len(split) == 34
-    assert split[0].min_token == -(2**31) and split[-1].max_token == 2**31 - 1
-    assert all(a.max_token + 1 == b.min_token for a, b in zip(split, split[1:]))
-    assert [r.shard for r in split] == list(range(34))
-    own = [r for r in split if r.min_token == r.max_token]
-    assert len(own) == 1
-    tenants = spark.range(200).select(F.col("id").cast("int").alias("company_id"))
-    placed = shards.tenant_shards(tenants, shards.numbered(shards.isolate(even, F.lit(1))), "company_id").collect()
-    assert len(placed) == 200
-    assert [r.company_id for r in placed if r.shard == own[0].shard] == [1]
-
-
-def test_isolating_a_range_end_gives_two_parts(spark):
-    token = spark.range(1).select(shards.shard_token(F.lit(1)).alias("t")).first().t
-    ends = spark.createDataFrame([(0, token, token + 5), (1, token + 6, token + 9)], "slot bigint, min_token bigint, max_token bigint")
-    pieces = sorted((r.min_token - token, r.max_token - token) for r in shards.isolate(ends, F.lit(1)).collect())
-    assert pieces == [(0, 0), (1, 5), (6, 9)]
-
-
 # Published segment counts and the two figures computed from them.
 SEGMENTS = [3043484, 3046116, 3042351, 3045318, 3043230, 3040703, 3046047, 3041808, 3041737]
 

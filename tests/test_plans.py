@@ -28,6 +28,22 @@ def test_report_scans_the_fact_once(spark, sf_dir):
     assert "ReusedExchange" in text
 
 
+def test_report_of_one_month_scans_the_fact_once(spark, sf_dir):
+    for name in ("ledger_report_month", "ledger_report_month_half_open"):
+        text = plan(entry.queries()[name](spark, sf_dir), run=True)
+        assert sum("l_extendedprice" in s for s in scans(text)) == 1
+
+
+def test_tenant_filter_reaches_the_scan_of_sorted_files(spark, sf_dir):
+    text = plan(entry.queries()["ledger_tenant_rows"](spark, sf_dir))
+    assert "EqualTo(company_id,1)" in text and "Exchange" not in text and "Join" not in text
+    files = stored_ledger(spark, sf_dir).select("company_id", "_metadata.file_path", "_metadata.row_index")
+    by_file: dict = {}
+    for r in files.orderBy("file_path", "row_index").collect():
+        by_file.setdefault(r.file_path, []).append(r.company_id)
+    assert all(c == sorted(c) for c in by_file.values())
+
+
 def test_joins_fall_back_to_shuffles_when_nothing_is_small(spark, sf_dir):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
