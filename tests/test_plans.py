@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from ledgerloom import bindings
 from ledgerloom.operators import colocation, partitions
-from ledgerloom.operators.rollup import monthly_rollup
+from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.registry.base import stored_ledger
 from ledgerloom.registry.layout import bucketed_ledger
 
@@ -29,8 +29,11 @@ def test_report_scans_the_fact_once(spark, sf_dir):
 
 
 def test_report_of_one_month_scans_the_fact_once(spark, sf_dir):
-    for name in ("ledger_report_month", "ledger_report_month_half_open"):
-        text = plan(entry.queries()[name](spark, sf_dir), run=True)
+    import datetime as dt
+
+    sides = [f(spark, sf_dir) for f in (bindings.fact, bindings.companies, bindings.accounts)]
+    for inclusive in (True, False):
+        text = plan(report(*sides, inclusive=inclusive, period=dt.date(1998, 3, 1)), run=True)
         assert sum("l_extendedprice" in s for s in scans(text)) == 1
 
 
