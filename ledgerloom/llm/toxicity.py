@@ -11,7 +11,8 @@ segments. Under clean text the best of them follows an extreme-value law with a
 ``lam``, the root of E[exp(lam * score)] = 1, and a constant K fitted to clean training
 documents; a segment is significant if its E-value K * n * exp(-lam * S) is small. A
 document's evidence is that of its best segment plus what further significant ones add,
-and a logistic curve fitted to the training labels turns it into a score.
+and a logistic curve fitted to the training labels, weighted to the class ratio of all
+labels, turns it into a score.
 """
 
 from __future__ import annotations
@@ -102,16 +103,22 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(b, e, float(h - l)) for b, e, l, h, _ in found]
 
 
-def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
     """(text, toxic) of the training documents: labelled, not held out, at most
     TRAIN_DOCS of each class by a hash of the id (all of them, if fewer). That bound is
-    what makes the label side small enough to broadcast."""
+    what makes the label side small enough to broadcast. Beside it, the weight of a
+    document of each class that gives the sample the class ratio of all labels of the
+    fold, whatever the bound left out; weights have a mean of 1."""
     fold = labels.filter("doc_id is not null and toxic is not null").filter(~is_held_out(F.col("doc_id")))
-    named = fold.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    named = staged(fold.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-fold")
     order = F.xxhash64("doc_id", F.lit(11))
     few = [staged(named.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(TRAIN_DOCS), "toxic-labels") for c in (0, 1)]
     picked = few[0].unionByName(few[1]).withColumnRenamed("doc_id", "__id")
-    return docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("text", "toxic")
+    there = {r["toxic"]: r["n"] for r in named.filter("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    taken = {c: min(n, TRAIN_DOCS) for c, n in there.items()}
+    mean = sum(there.values()) / max(1, sum(taken.values()))
+    weights = {c: n / taken[c] / mean for c, n in there.items()}
+    return docs.join(F.broadcast(picked), F.col("doc_id") == F.col("__id")).select("text", "toxic"), weights
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -179,7 +186,8 @@ def lexicon(counts: DataFrame) -> dict[str, float]:
 def train_model(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit lexicon, extreme-value law and curve. Without labels of both classes the model
     knows nothing: every document gets the same low score."""
-    train = staged(sampled(docs, labels), "toxic-train")
+    train, weights = sampled(docs, labels)
+    train = staged(train, "toxic-train")
     model = Model(lexicon(count_words(train)))
     if not model.scores:
         return model
@@ -226,7 +234,8 @@ def train_model(docs: DataFrame, labels: DataFrame) -> Model:
         train.select("text", "toxic").mapInArrow(felt, "toxic int, x double")
         .groupBy(F.round("x", 1).alias("x")).agg(F.sum("toxic").alias("ones"), F.count("*").alias("n")).collect()
     )  # at most 701 rows
-    model.slope, model.offset = fit_curve([(r["x"], r["ones"], r["n"]) for r in bins])
+    weighted = [(r["x"], weights[1] * r["ones"], weights[0] * (r["n"] - r["ones"])) for r in bins]
+    model.slope, model.offset = fit_curve([(x, ones, ones + zeros) for x, ones, zeros in weighted])
     return model
 
 
@@ -244,7 +253,7 @@ def solve_rate(values: np.ndarray, counts: np.ndarray) -> float:
     return max(0.05, high)
 
 
-def fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
+def fit_curve(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
     """Slope (not negative) and offset of a logistic curve by damped Newton steps."""
     x, ones, n = (np.array(c, float) for c in zip(*bins))
     ones = ones + 0.5 * n / n.sum()  # keeps a perfect separation finite

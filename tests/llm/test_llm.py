@@ -151,6 +151,23 @@ def test_toxicity_of_edge_rows(docs, no_docs, labels):
     assert toxicity.classify(docs, labels.filter("1 = 0")).count() == 11
 
 
+def test_toxicity_keeps_the_class_ratio_of_all_labels(spark, monkeypatch):
+    """Classes overlap: a sample with as many toxic documents as clean ones scores too high."""
+    rng, rows = random.Random(5), []
+    for i in range(6000):
+        toxic = int(rng.random() < 0.06)
+        words = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(20)]
+        if rng.random() < (0.8 if toxic else 0.1):
+            words[rng.randrange(20)] = "vileness"
+        rows.append((i, " ".join(words), toxic))
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    share = sum(t for _, _, t in rows) / len(rows)
+    for most in (toxicity.TRAIN_DOCS, 150):
+        monkeypatch.setattr(toxicity, "TRAIN_DOCS", most)
+        found = toxicity.classify(data, data).agg(F.avg("score"), F.avg("predicted")).first()
+        assert abs(found[0] - share) < 0.02 and found[1] < 0.02, (most, found, share)
+
+
 # n-gram join -----------------------------------------------------------------------------
 
 
