@@ -406,17 +406,9 @@ def verify(docs: DataFrame, reps: DataFrame, width: int, num: int, den: int) ->
     return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
-def join_similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Documents link when the Jaccard similarity of their sets of ``width``-word n-grams is
-    at least ``num / den``; component_id is the smallest doc_id that links reach. Null
-    and empty texts have no n-grams and no links: their component is their own id. Rows
-    of equal text are linked; rows that share an id keep their own texts and sets. A null
-    id is larger than any other; a component of null ids alone has a null id. An empty
-    table gives no rows; other columns are ignored.
-    """
-    plain = pick(docs, ("doc_id", "long"), ("text", "string"))
+def grouped(plain: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of (doc_id, text) as doc_id, n_shingles, set_id, and the sets that are
+    linked or have several rows: set_id, doc_id (the smallest), docs, root."""
     described = staged(describe(plain, width).drop("text"), "join-sets")
     sets = staged(
         described.filter("set_id is not null").groupBy("set_id")
@@ -427,7 +419,20 @@ def join_similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100)
     reps = sets.withColumn("node", node_of(F.col("set_id"))).join(clusters, "node")
     roots = components(verify(plain, reps, width, num, den)).withColumnRenamed("node", "set_id")
     linked = sets.join(roots, "set_id", "left").filter("root is not null or docs > 1")
-    linked = linked.withColumn("root", F.coalesce("root", "set_id"))
+    return described, linked.select("set_id", "doc_id", "docs", F.coalesce("root", "set_id").alias("root"))
+
+
+def join_similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when the Jaccard similarity of their sets of ``width``-word n-grams is
+    at least ``num / den``; component_id is the smallest doc_id that links reach. Null
+    and empty texts have no n-grams and no links: their component is their own id. Rows
+    of equal text are linked; rows that share an id keep their own texts and sets. A null
+    id is larger than any other; a component of null ids alone has a null id. An empty
+    table gives no rows; other columns are ignored.
+    """
+    described, linked = grouped(pick(docs, ("doc_id", "long"), ("text", "string")), width, num, den)
     least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = staged(linked.join(least, "root").select("set_id", "component_id"), "join-components")
     return described.join(named, "set_id", "left").select(
@@ -436,12 +441,38 @@ def join_similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100)
 
 
 def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents whose id is the smallest of their component, with all columns. Rows
-    of one id stay or go together; null ids stay."""
-    found = join_similar(docs, width, num, den)
-    gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "join-gone")
-    likely = bits.prefilter(gone.select(F.xxhash64("__gone").alias("h")), "h", gone.count())
+    """One row of each component, with all columns, and all rows without words.
+
+    Of a component that row stays which has the smallest id (a null id is larger than any
+    other), then the smallest set, then the smallest text. What a row is removed for is
+    its set, never its id: rows without an id go like others, and rows that share an id
+    stay or go by their own texts.
+    """
+    described, linked = grouped(pick(docs, ("doc_id", "long"), ("text", "string")), width, num, den)
+    linked = staged(linked, "join-linked")
+    best = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")).alias("best"))
+    named = staged(
+        linked.join(best, "root").select(
+            F.col("set_id").alias("__set"), F.col("doc_id").alias("__least"), F.col("docs").alias("__docs"),
+            (F.col("set_id") == F.col("best.set_id")).alias("__best"),
+        ),
+        "join-best",
+    )
+    # only rows whose id occurs in a component are looked at again
+    ids = described.join(linked.select("set_id"), "set_id").select(F.xxhash64("doc_id").alias("h")).distinct()
+    ids = staged(ids, "join-ids")
     own = F.col("`doc_id`").cast("long")
-    maybe = likely.holds(F.xxhash64(own))
-    stay = docs.filter(maybe).join(gone, own == F.col("__gone"), "left_anti")
-    return docs.filter(~maybe).unionByName(stay)
+    maybe = bits.prefilter(ids, "h", ids.count()).holds(F.xxhash64(own))
+
+    def make():
+        shingler = Shingler(width)
+        return lambda texts: [pa.array([identity(s) if len(s) else None for s in shingler.sets(texts.to_pylist())], pa.binary())]
+
+    met = with_columns(docs.filter(maybe), ["text"], [("__own", T.BinaryType())], make).join(named, F.col("__own") == F.col("__set"), "left")
+    stay = staged(met.filter(F.col("__set").isNull() | F.col("__best") & own.eqNullSafe(F.col("__least"))).drop("__own", "__least", "__best"), "join-stay")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = F.col("__set").isNull() | (F.col("__docs") == 1)
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = F.struct(F.col("text"), F.xxhash64(*plain))  # of rows of one id and set
+    ones = stay.filter(~single).groupBy("__set").agg(F.min_by(F.struct(*columns), order).alias("__row")).select("__row.*")
+    return docs.filter(~maybe).unionByName(stay.filter(single).select(*columns)).unionByName(ones)

@@ -218,6 +218,28 @@ def test_join_of_edge_rows(docs, no_docs):
     assert kept.columns == docs.columns and kept.filter("doc_id in (1, 2, 3, 8)").count() == 1
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(3)
+
+    def text(key, last):
+        words = random.Random(key)
+        return " ".join(f"{key}{words.randrange(10**6)}" for _ in range(60)) + f" {last}"
+
+    rows = [(None, text("a", x), x) for x in "pqr"]  # near copies without an id
+    rows += [(1, text("b", "p"), "b"), (2, text("b", "q"), "c"), (2, text("c", "p"), "d")]  # id 2: a near copy, and a text of its own
+    rows += [(3, text("d", "p"), "e"), (3, text("d", "q"), "f"), (3, text("d", "q"), "f"), (4, text("d", "p"), "g")]  # copies under the smallest id
+    rows += [(None, text("e", "p"), "h"), (9, text("e", "q"), "i"), (None, "", "j"), (None, None, "k"), (5, " ", "l"), (5, " ", "l")]
+    rows += [(7, text("f", "p"), "m"), (7, text("f", "p"), "m"), (None, text("g", "p"), "n"), (None, text("g", "p"), "n")]  # equal rows
+    rng.shuffle(rows)
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, mark string").repartition(parts)
+        kept = [tuple(r) for r in ngram_join.keep_one(df).collect()]
+        assert sorted(i if i is not None else -1 for i, _, _ in kept) == sorted([-1, 1, 2, 3, 9, -1, -1, 5, 5, 7, -1])
+        marks = [m for _, _, m in kept]
+        assert set("bdijklmn") <= set(marks) and len(set("pqr") & set(marks)) == 1 and len(set("ef") & set(marks)) == 1
+        assert set(kept) <= set(rows) and (2, text("c", "p"), "d") in kept
+
+
 def test_components_of_any_shape(spark):
     edges = [(5, 2), (7, 5), (9, 7), (-3, -4), (-3, -3), (1, 9)] + [(100 + i, 101 + i) for i in range(30)]
     found = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
