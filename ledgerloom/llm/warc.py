@@ -12,7 +12,11 @@ Reading. An archive (plain records, or gzip members of one record or more) is re
 from its first byte. A record that fails a check - version line, header, length, end
 mark, digest - begins a gap. The reader looks for the next version line or member
 mark from which a valid record can be read, goes on there, and reports the bytes
-between as quarantined. An archive is one row for one task; writers bound its size.
+between as quarantined. Inside a member it does the same over the inflated bytes, which
+it reads in pieces, whatever their number; of a member that is cut off or fails a check
+it keeps the records inflated before that. If such a member holds wrong bytes (and is
+not only cut off), records count that their block digest proves. An archive is one row
+for one task; writers bound its size.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -40,6 +44,8 @@ DATE = "2024-01-01T00:00:00Z"
 _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MOST_HEADER = 1 << 20
+PIECE = 1 << 14  # compressed bytes that are inflated at a time
+CUT_OFF = "member does not end"
 
 
 def base32_sha1(data: Column) -> Column:
@@ -111,22 +117,36 @@ def write_archives(pages: DataFrame, path: str | None = None, least_bytes: int =
 
 @dataclass
 class Found:
-    """A record, or a gap, of an archive: bytes [begin, end) of the file."""
+    """A record, or a gap, of an archive: bytes [begin, end) of the file, and [inner_begin,
+    inner_end) of what they inflate to, if they are a gzip member."""
 
     begin: int
     end: int
     header: dict[str, str] | None = None
     block: bytes = b""
     reason: str = ""
+    inner_begin: int | None = None
+    inner_end: int | None = None
 
 
-def parse(data: bytes, at: int) -> Found:
-    """The record at ``at`` of uncompressed data; ValueError with the check it fails."""
+class Short(Exception):
+    """The data at hand ends before the record can be told."""
+
+
+def parse(data: bytes, at: int, size: int | None = None, proven: bool = False) -> Found:
+    """The record at ``at`` of uncompressed data; ValueError with the check it fails.
+    ``data`` may be the first part of ``size`` bytes: Short, if more of them are needed.
+    ``proven``: a record without a block digest that can be checked fails."""
+    size = len(data) if size is None else size
     version = _VERSION.match(data, at)
     if not version:
+        if len(data) - at < 10 and len(data) < size:
+            raise Short
         raise ValueError("no version line")
     stop = data.find(END, version.end() - 2, version.end() + MOST_HEADER)
     if stop < 0:
+        if len(data) < min(size, version.end() + MOST_HEADER):
+            raise Short
         raise ValueError("header does not end")
     header: dict[str, str] = {}
     for line in data[version.end() : stop].split(b"\r\n"):
@@ -140,12 +160,17 @@ def parse(data: bytes, at: int) -> Found:
     if not length.isdigit():
         raise ValueError("no length")
     begin, end = stop + 4, stop + 4 + int(length)
+    if len(data) < end + 4 <= size:
+        raise Short
     if data[end : end + 4] != END:
         raise ValueError("record does not end where its length says")
     block = data[begin:end]
     digest = header.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and digest[5:] != base32_of(block):
-        raise ValueError("block digest differs")
+    if digest.startswith("sha1:"):
+        if digest[5:] != base32_of(block):
+            raise ValueError("block digest differs")
+    elif proven:
+        raise ValueError("no digest to check a record of a damaged member by")
     return Found(at, end + 4, header, block)
 
 
@@ -153,49 +178,131 @@ def base32_of(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def member(data: bytes, at: int, most: int) -> list[Found]:
-    """The records of the gzip member at ``at``, all with the member's place."""
+def pieces(data: bytes, at: int) -> Iterator[tuple[bytes, int]]:
+    """What the gzip member at ``at`` inflates to, piece by piece, each with the place in
+    ``data`` after it. All that can be inflated comes before the ValueError."""
     inflate = zlib.decompressobj(31)
-    try:
-        plain = inflate.decompress(memoryview(data)[at:], most)
-    except zlib.error as bad:
-        raise ValueError(f"member: {bad}") from None
-    if not inflate.eof:
-        raise ValueError("member does not end")
-    end, found, place = len(data) - len(inflate.unused_data), [], 0
-    while place < len(plain):
-        one = parse(plain, place)
-        place = one.end
-        found.append(Found(at, end, one.header, one.block))
-    if not found:
-        raise ValueError("empty member")
-    return found
-
-
-def salvage(data: bytes, most: int = 1 << 30) -> Iterator[Found]:
-    """Records and gaps of an archive, in order; together they cover every byte."""
+    for place in range(at, len(data), PIECE):
+        chunk, saved = data[place : place + PIECE], inflate.copy()
+        try:
+            out = inflate.decompress(chunk)
+        except zlib.error as bad:
+            reason = f"member: {bad}"
+        else:
+            yield out, place + len(chunk) - len(inflate.unused_data)
+            if inflate.eof:
+                return
+            continue
+        for i in range(len(chunk)):  # byte by byte up to the damage
+            try:
+                out = saved.decompress(chunk[i : i + 1])
+            except zlib.error:
+                break
+            yield out, place + i + 1
+        raise ValueError(reason)
+    raise ValueError(CUT_OFF)
 
-    def read(at: int) -> list[Found]:
-        return member(data, at, most) if data[at : at + 3] == b"\x1f\x8b\x08" else [parse(data, at)]
 
-    at = 0
+def place_of(data: bytes, at: int, wanted: int) -> int:
+    """The place after the bytes that the first ``wanted`` inflated ones need."""
+    inflate = zlib.decompressobj(31)
+    for place in range(at, len(data), PIECE):
+        chunk, saved = data[place : place + PIECE], inflate.copy()
+        try:
+            made = len(inflate.decompress(chunk))
+        except zlib.error:
+            made = wanted
+        if made < wanted:
+            wanted -= made
+            continue
+        for i in range(len(chunk)):
+            wanted -= len(saved.decompress(chunk[i : i + 1]))
+            if wanted <= 0:
+                return place + i + 1
+    return len(data)
+
+
+def inside(data: bytes, at: int, end: int, size: int, proven: bool) -> Iterator[Found]:
+    """Records and gaps of the first ``size`` bytes that the member [at, end) inflates to.
+    Held in memory: a record, and the pieces it lies in."""
+    source = (piece for piece, _ in pieces(data, at))
+    held, base, here, gap, reason = b"", 0, 0, None, ""  # held[here] is inner byte base + here
+    while base + here < size:
+        try:
+            one = parse(held, here, size - base, proven)
+        except Short:
+            more, wanted = [held[here:]], max(1, len(held) - here)
+            while wanted > 0 and base + here + sum(map(len, more)) < size:
+                more.append(next(source))
+                wanted -= len(more[-1])
+            base, here = base + here, 0
+            held = b"".join(more)[: size - base]
+            continue
+        except ValueError as failed:
+            if gap is None:
+                gap, reason = base + here, str(failed)
+            mark = _VERSION.search(held, here + 1)
+            if mark:
+                here = mark.start()
+            else:  # its last bytes may begin a version line
+                here = max(here + 1, len(held) - 9) if base + len(held) < size else len(held)
+            continue
+        if gap is not None:
+            yield Found(at, end, reason=reason, inner_begin=gap, inner_end=base + here)
+            gap = None
+        yield Found(at, end, one.header, one.block, "", base + here, base + one.end)
+        here = one.end
+    if gap is not None:
+        yield Found(at, end, reason=reason, inner_begin=gap, inner_end=size)
+
+
+def read(data: bytes, at: int) -> tuple[Iterable[Found], int, Found | None]:
+    """What lies at ``at``: records (and gaps inside a member), the place after them, and
+    what is wrong with the rest of a damaged member (its end is not known). ValueError if
+    no record can be read."""
+    if data[at : at + 3] != b"\x1f\x8b\x08":
+        one = parse(data, at)
+        return [one], one.end, None
+    size, end, reason = 0, at, ""
+    try:
+        for piece, end in pieces(data, at):
+            size += len(piece)
+    except ValueError as failed:
+        reason = str(failed)
+    proven = reason not in ("", CUT_OFF)
+    last = next((f.inner_end for f in inside(data, at, end, size, proven) if f.header), None)
+    if last is None:
+        raise ValueError(reason or ("no record in the member" if size else "empty member"))
+    if not reason:
+        return inside(data, at, end, size, False), end, None
+    for one in inside(data, at, end, size, proven):
+        last = one.inner_end if one.header else last
+    end = place_of(data, at, last)
+    return inside(data, at, end, last, proven), end, Found(end, end, reason=reason, inner_begin=last, inner_end=size)
+
+
+def salvage(data: bytes) -> Iterator[Found]:
+    """Records and gaps of an archive, in order; together they cover every byte."""
+    at, known = 0, None
     while at < len(data):
         try:
-            found = read(at)
+            found, after, rest = known or read(data, at)
         except ValueError as failed:
-            gap, reason, found = at, str(failed), []
-            at = len(data)
-            for mark in _START.finditer(data, gap + 1):
+            found, after, rest = [], at + 1, Found(at, at, reason=str(failed))
+        yield from found
+        known = None
+        if rest:
+            after, start = len(data), after
+            for mark in _START.finditer(data, start):
                 try:
-                    found = read(mark.start())
+                    known = read(data, mark.start())
                 except ValueError:
                     continue
-                at = mark.start()
+                after = mark.start()
                 break
-            yield Found(gap, at, reason=reason)
-        yield from found
-        if found:
-            at = found[-1].end
+            rest.end = after
+            yield rest
+        at = after
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -204,19 +311,20 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Records: archive, begin, end, kind 'record', record_type, record_id, target_uri,
     refers_to, payload (null for revisits), payload_bytes and payload_digest (of the
     payload itself, or as a revisit states them). Gaps: archive, begin, end, kind 'gap'
-    and the reason. An empty file gives no rows.
+    and the reason. In a gzip member, begin and end are the member's, and inner_begin and
+    inner_end the place in what it inflates to. An empty file gives no rows.
     """
     importable(spark)
     schema = (
         "archive string, begin long, end long, kind string, reason string, record_type string, record_id string, "
-        "target_uri string, refers_to string, payload binary, payload_bytes long, payload_digest string"
+        "target_uri string, refers_to string, payload binary, payload_bytes long, payload_digest string, inner_begin long, inner_end long"
     )
     names = [c.strip().split()[0] for c in schema.split(",")]
-    kinds = [pa.string(), pa.int64(), pa.int64()] + [pa.string()] * 6 + [pa.binary(), pa.int64(), pa.string()]
+    kinds = [pa.string(), pa.int64(), pa.int64()] + [pa.string()] * 6 + [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
 
     def row(archive: str, one: Found) -> tuple:
         if one.header is None:
-            return (archive, one.begin, one.end, "gap", one.reason) + (None,) * 7
+            return (archive, one.begin, one.end, "gap", one.reason) + (None,) * 7 + (one.inner_begin, one.inner_end)
         get = one.header.get
         head, split, body = one.block.partition(END)
         stated = re.search(rb"(?im)^content-length:\s*(\d+)", head) if split else None
@@ -226,7 +334,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             digest = (get("warc-payload-digest") or "").removeprefix("sha1:") or None
         else:
             size, digest = len(payload), base32_of(payload)
-        return (archive, one.begin, one.end, "record", None, get("warc-type"), get("warc-record-id"), get("warc-target-uri"), get("warc-refers-to"), payload, size, digest)
+        return (archive, one.begin, one.end, "record", None, get("warc-type"), get("warc-record-id"), get("warc-target-uri"), get("warc-refers-to"), payload, size, digest, one.inner_begin, one.inner_end)
 
     def step(batches):
         for batch in batches:

@@ -416,6 +416,58 @@ def test_salvage_recovers_what_follows_any_damage(zipped):
         assert all(f.reason for f in found if f.header is None)
 
 
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_inside_a_member_of_many_records(spark, tmp_path, level):
+    def pack(data):
+        maker = zlib.compressobj(level, wbits=31)
+        return maker.compress(data) + maker.flush()
+
+    def names(found):
+        return [int(f.header["warc-record-id"][10:-1]) for f in found if f.header]
+
+    rng = random.Random(8)
+    whole = [record(i, rng.randbytes(3000) + b" WARC/1.1\r\n ") for i in range(40)]
+    plain, tail = b"".join(whole), pack(record(99, b"next"))
+    assert names(warc.salvage(pack(plain) + tail)) == [*range(40), 99]
+    at = plain.index(whole[7]) + 1500
+    bad = plain[:at] + b"??" + plain[at + 2 :]  # a sound member with a bad record
+    found = list(warc.salvage(pack(bad) + tail))
+    assert names(found) == [*range(7), *range(8, 40), 99]
+    gap = next(f for f in found if not f.header)
+    assert (gap.begin, gap.end) == (0, len(pack(bad))) and bad[gap.inner_begin : gap.inner_end] == whole[7][:1500] + b"??" + whole[7][1502:]
+    packed = pack(plain)
+    for cut in [len(packed) - 1, *rng.sample(range(6000, len(packed)), 12)]:  # cut off
+        inflated = len(zlib.decompressobj(31).decompress(packed[:cut]))
+        want = [i for i in range(40) if plain.index(whole[i]) + len(whole[i]) <= inflated]
+        for after in (b"", tail):
+            found = list(warc.salvage(packed[:cut] + after))
+            assert [x for x in names(found) if x != 99] == want and (99 in names(found)) == bool(after)
+            assert sum(f.end - f.begin for f in found if f.inner_begin is None or not f.header) <= len(packed) + len(after)
+    hurt = packed[:-8] + b"\0\0\0\0" + packed[-4:]  # its check sum is wrong
+    found = list(warc.salvage(hurt + tail))
+    assert names(found) == [*range(40), 99] and any(not f.header and "incorrect data check" in f.reason for f in found)
+    for place in rng.sample(range(8000, len(packed) - 20), 12):  # wrong bytes somewhere
+        found = list(warc.salvage(packed[:place] + b"\xff\0\xff" + packed[place + 3 :] + tail))
+        got = names(found)
+        assert got == sorted(set(got)) and 99 in got and len(got) >= 2 and any(not f.header for f in found)
+        assert all(f.block == warc.parse(whole[i], 0).block for i, f in zip(got, (f for f in found if f.header)) if i < 40)
+    (tmp_path / "a.warc.gz").write_bytes(pack(bad) + tail)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert len(rows) == 41 and [r.inner_begin for r in rows if r.kind == "gap"] == [plain.index(whole[7])]
+
+
+def test_members_are_inflated_in_pieces():
+    """A member that inflates to more than is ever held: 1,100 records of 1 MiB."""
+    one = record(5, b"x" * (1 << 20))
+    maker = zlib.compressobj(1, wbits=31)
+    data = b"".join([maker.compress(one) for _ in range(1100)] + [maker.flush()])
+    n = 0
+    for f in warc.salvage(data):
+        assert f.header and f.inner_end - f.inner_begin == len(one)
+        n += 1
+    assert n == 1100 and n * len(one) > 1 << 30
+
+
 # shared ----------------------------------------------------------------------------------
 
 
