@@ -43,7 +43,6 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
-MOST_HEADER = 1 << 20
 PIECE = 1 << 14  # compressed bytes that are inflated at a time
 CUT_OFF = "member does not end"
 
@@ -143,13 +142,17 @@ def parse(data: bytes, at: int, size: int | None = None, proven: bool = False) -
         if len(data) - at < 10 and len(data) < size:
             raise Short
         raise ValueError("no version line")
-    stop = data.find(END, version.end() - 2, version.end() + MOST_HEADER)
-    if stop < 0:
-        if len(data) < min(size, version.end() + MOST_HEADER):
-            raise Short
-        raise ValueError("header does not end")
     header: dict[str, str] = {}
-    for line in data[version.end() : stop].split(b"\r\n"):
+    begin = version.end()
+    while True:  # line by line, so that most of what is no header is told early
+        stop = data.find(b"\r\n", begin)
+        if stop < 0:
+            if len(data) < size:
+                raise Short
+            raise ValueError("header does not end")
+        line, begin = data[begin:stop], stop + 2
+        if not line:
+            break
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("header line without a name")
@@ -159,7 +162,7 @@ def parse(data: bytes, at: int, size: int | None = None, proven: bool = False) -
     length = header.get("content-length", "")
     if not length.isdigit():
         raise ValueError("no length")
-    begin, end = stop + 4, stop + 4 + int(length)
+    end = begin + int(length)
     if len(data) < end + 4 <= size:
         raise Short
     if data[end : end + 4] != END:

@@ -468,6 +468,20 @@ def test_members_are_inflated_in_pieces():
     assert n == 1100 and n * len(one) > 1 << 30
 
 
+def test_a_page_with_a_url_of_several_megabytes_comes_back(spark):
+    url = "https://example.org/" + "é/" * 1_500_000
+    df = spark.createDataFrame([(1, url, "long"), (2, "short", "page")], "page_id long, url string, html string")
+    path = warc.write_archives(df)
+    found = {r.record_id: r for r in warc.read_archives(spark, path).collect()}
+    assert {k: (r.kind, r.target_uri) for k, r in found.items()} == {"<urn:page:1>": ("record", url), "<urn:page:2>": ("record", "short")}
+    assert sorted(r.page_id for r in warc.round_trip(df).collect()) == [1, 2]
+    # in a member, and behind a version line that begins no record
+    one = record(3, b"body").replace(b"WARC-Type", b"WARC-Target-URI: " + url.encode() + b"\r\nWARC-Type", 1)
+    maker = zlib.compressobj(wbits=31)
+    for data in (b"WARC/1.1\r\n" + one, maker.compress(b"WARC/1.1\r\n" + one) + maker.flush()):
+        assert [bool(f.header) for f in warc.salvage(data)] == [False, True]
+
+
 # shared ----------------------------------------------------------------------------------
 
 
