@@ -40,7 +40,7 @@ from ledgerloom.llm import bits
 from ledgerloom.llm.common import pick, slices, staged, with_columns
 from ledgerloom.llm.graph import components
 
-# Size classes grow by this factor; a set near the upper end joins the next class too.
+# Size classes grow by this factor; a set joins all classes it may find a partner in.
 CLASS_STEP = 1.4
 # Parts per difference a pair may have: a few more, so that empty parts do no harm.
 PART_ROOM = 1.15
@@ -126,10 +126,11 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     sizes = np.array([len(s) for s in sets], np.int64)
     own = np.searchsorted(_STARTS, sizes, "right") - 1
     who = np.arange(len(sets))[sizes > 0]
-    lists, levels = [who], [own[who]]
-    upper = who[sizes[who] * den >= num * _STARTS[own[who] + 1]]  # may reach a set of the next class
-    lists.append(upper)
-    levels.append(own[upper] + 1)
+    lists, levels, up = [who], [own[who]], 1
+    while len(upper := who[sizes[who] * den >= num * _STARTS[own[who] + up]]):  # may reach a set so many classes up
+        lists.append(upper)
+        levels.append(own[upper] + up)
+        who, up = upper, up + 1
     owner, level = np.concatenate(lists), np.concatenate(levels)
     # a pair differs in at most (1 - t) / t of the smaller set, which is below the class end
     differ = (_STARTS[level + 1] - 1) * (den - num) // num
@@ -164,7 +165,8 @@ def prefix_keys(sets: list[np.ndarray], num: int, den: int, shared: np.ndarray)
         ordered = np.concatenate([own[~often], own[often]])[: n - -(-num * n // den) + 1]
         alone = min(len(ordered), int((~often).sum()))
         level = int(np.searchsorted(_STARTS, n, "right")) - 1
-        levels = [level] + [level + 1] * (n * den >= num * int(_STARTS[level + 1]))
+        top = int(np.searchsorted(_STARTS, n * den // num, "right")) - 1  # the class of the largest partner
+        levels = range(level, top + 1)
         made = [_mix(ordered[:alone] + _Q)] + [_mix(_mix(ordered[alone:] + _P) + np.array([x], np.uint64) * _Q) for x in levels]
         keys.extend(made)
         owner.extend([i] * sum(map(len, made)))

@@ -218,6 +218,19 @@ def test_join_of_edge_rows(docs, no_docs):
     assert kept.columns == docs.columns and kept.filter("doc_id in (1, 2, 3, 8)").count() == 1
 
 
+def test_join_below_the_step_of_the_size_classes(spark, monkeypatch):
+    rng, rows = random.Random(11), []
+    for i in range(30):  # sets of n n-grams inside sets of up to 2 n
+        words = [f"v{i}x{j}" for j in range(90)]
+        n = rng.randrange(5, 45)
+        rows += [(3 * i, " ".join(words[: n + 2])), (3 * i + 1, " ".join(words[: rng.randrange(n, 2 * n + 1) + 2])), (3 * i + 2, " ".join(words[: 2 * n + 2]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (ngram_join.PART_LEAST, 0.0):  # by prefixes, by parts
+        monkeypatch.setattr(ngram_join, "PART_LEAST", least)
+        found = ngram_join.join_similar(df, 3, 50, 100).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_join(rows, 3, 50, 100)
+
+
 def test_one_row_of_each_component_stays(spark):
     rng = random.Random(3)
 
