@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, cotraining, exact_dedup, mixing, multi_index, ngram_join, toxicity, training_order, url_filter, warc
+from ledgerloom.llm import (
+    bpe, chat_format, cotraining, exact_dedup, lexical, mixing, multi_index, ngram_join, repair, toxicity, training_order, url_filter, warc,
+)
 from ledgerloom.llm.common import pick, table
 
 QUERIES: dict = {}
@@ -145,3 +147,74 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_cotrained_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_structure_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(table(spark, sf_dir, "conversations"))
+
+
+CHAT_TEST = "</s>[INST] ok [/INST]"  # fixed value: the text of the conversation that is added
+
+
+@register(
+    "op12_prefix_targets",
+    r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, floor(turn / 64) AS page,
+         length(text) + len(regexp_extract_all(text, '[\[<]\\*(/?(INST|OUT|ROLE|TEXT)\]|/?s>)')) AS size,
+         length(role) + len(regexp_extract_all(role, '[\[<]\\*(/?(INST|OUT|ROLE|TEXT)\]|/?s>)')) AS role_size
+  FROM t),
+m AS (
+  SELECT *, size + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 19 + role_size END AS marked FROM e),
+x AS (
+  SELECT *, sum(marked) OVER (w ROWS UNBOUNDED PRECEDING) AS upto,
+         row_number() OVER (PARTITION BY conv_id, page ORDER BY turn DESC, role DESC, text DESC) = 1 AS whole
+  FROM m WINDOW w AS (PARTITION BY conv_id, page ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (role = 'assistant' OR whole)::BIGINT AS formatted_chars
+FROM x GROUP BY conv_id""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = [F.struct(F.lit(-1).alias("conv_id"), F.lit(n).alias("turn"), F.lit(role).alias("role"), F.lit(CHAT_TEST).alias("text")) for n, role in enumerate(("user", "assistant"))]
+    return chat_format.digests(rows.unionByName(spark.range(1).select(F.inline(F.array(*added)))))
+
+
+@register(
+    "op13_lexical_search",
+    r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, terms, len(terms)::BIGINT AS n FROM t WHERE len(terms) > 0),
+s AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM d),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+p AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM p, s GROUP BY term, all_docs),
+g AS (
+  SELECT item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM p JOIN i USING (term) JOIN w USING (term), s GROUP BY item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM g WHERE score > 0
+QUALIFY rank <= 10""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
