@@ -6,17 +6,22 @@ so a lost executor costs a task retry and never the data.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Where it is unset, a folder inside the
-    warehouse, which every executor reaches as well. Never a machine-local folder."""
+    warehouse, but only if all work is done on this machine: on a cluster the warehouse
+    may be a folder of the driver's disk, so there the setting is asked for."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -11,21 +11,32 @@ from ledgerloom.sources.files import ZONELESS
 
 
 def create_table(
-    spark: SparkSession, name: str, spec: TableSpec, partition_by: tuple[str, ...] = ()
+    spark: SparkSession,
+    name: str,
+    spec: TableSpec,
+    partition_by: tuple[str, ...] = (),
+    bucket_by: tuple[str, ...] = (),
+    buckets: int = 0,
 ) -> str:
-    """Create an empty parquet table with the declared columns and comments.
-    ``partition_by`` may name a declared column or the text column ``part``."""
+    """Create an empty parquet table with the declared columns, comments and defaults.
+    ``partition_by`` may name a declared column or the text column ``part``; with
+    ``bucket_by`` the rows are distributed over that many buckets by those columns."""
     def quoted(text: str) -> str:
         return text.replace("\\", "\\\\").replace("'", "\\'")
 
     fields = []
     for f in spec.schema:
         comment = quoted(f.metadata.get("comment", ""))
-        fields.append(f"`{f.name}` {f.dataType.simpleString()} COMMENT '{comment}'")
+        default = f.metadata.get("default")
+        given = "" if default is None else f" DEFAULT CAST('{quoted(str(default))}' AS {f.dataType.simpleString()})"
+        fields.append(f"`{f.name}` {f.dataType.simpleString()}{given} COMMENT '{comment}'")
     for extra in partition_by:
         if extra not in spec.columns:
             fields.append(f"`{extra}` string COMMENT 'partition label'")
     clause = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    if bucket_by:
+        by = ", ".join(f"`{c}`" for c in bucket_by)
+        clause += f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
     spark.sql(
         f"CREATE TABLE {name} ({', '.join(fields)}) USING parquet{clause}"
         f" COMMENT '{quoted(spec.comment)}'"
@@ -48,6 +59,42 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*target.columns).write.insertInto(table)
 
 
+def insert_omitting(df: DataFrame, table: str) -> None:
+    """``INSERT INTO table (columns of the rows)``: the columns that the rows lack get the
+    default the catalog declares for them, or null."""
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    df.sparkSession.sql(f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {{rows}}", rows=df)
+
+
+def declared_defaults(spark: SparkSession, table: str) -> dict[str, str]:
+    """The default expressions that the catalog holds, by column."""
+    found = {}
+    for field in spark.table(table).schema:
+        if "CURRENT_DEFAULT" in field.metadata:
+            found[field.name] = field.metadata["CURRENT_DEFAULT"]
+    return found
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return held.get(key)
+
+
+def set_property(spark: SparkSession, table: str, key: str, value: str | None) -> None:
+    """Set a table property, or remove it."""
+    if value is None:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
+    else:
+        text = value.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{text}')")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library has written and that has no reader left."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def append_with_identity(df: DataFrame, table: str, key: str) -> None:
     """Insert rows without a key into a table that numbers its rows: the numbers go
     on after the largest one in the table."""
