@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import half_open
-from ledgerloom.schemas import WEATHER
-from ledgerloom.sources.rejects import LoadColumn, zoned_timestamp
+from ledgerloom.schemas import LOADED_WEATHER, WEATHER
+from ledgerloom.sinks.tables import append_bucketed, create_table
+from ledgerloom.sources.rejects import LoadColumn, LoadResult, load_csv, zoned_timestamp
 
 
 def clean(raw: DataFrame) -> DataFrame:
@@ -45,6 +46,31 @@ def load_columns(station: str = "int", day: Callable = zoned_timestamp) -> list[
     return columns
 
 
+# Buckets of the bulk load's target, and the columns that deal its rows.
+BUCKETS = 16
+DISTRIBUTED_BY = ("station_id", "dt")
+
+
+def create_loaded(spark: SparkSession, namespace: str, buckets: int = BUCKETS) -> str:
+    """The empty target of the bulk load, its rows distributed by station and day."""
+    return create_table(spark, f"{namespace}.{LOADED_WEATHER.name}", LOADED_WEATHER, (), DISTRIBUTED_BY, buckets)
+
+
+def bulk_load(spark: SparkSession, path: str, table: str, **limits) -> LoadResult:
+    """Load CSV files into the distributed table: good rows are inserted, bad ones logged.
+    A load that is refused for its rejects inserts nothing."""
+    result = load_csv(spark, path, load_columns(), **limits)
+    append_bucketed(result.good, table)
+    return result
+
+
+def by_station_and_day(weather: DataFrame) -> DataFrame:
+    """Rows and measures per station and day; the rows are summed in their buckets."""
+    return weather.groupBy(*DISTRIBUTED_BY).agg(
+        F.count("*").alias("cnt"), F.max("city_name").alias("city_name"), F.sum("avg_temp_c").alias("avg_temp_sum")
+    )
+
+
 def count_rows(weather: DataFrame) -> DataFrame:
     return weather.agg(F.count("*").alias("cnt"))
 

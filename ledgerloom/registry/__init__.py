@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from ledgerloom.registry import jobs, layout, ledger, weather  # noqa: F401
+    from ledgerloom.registry import jobs, layout, ledger, loads, weather  # noqa: F401

@@ -127,3 +127,19 @@ WEATHER = TableSpec(
     ("city_name", "dt"),
     "daily observations",
 )
+
+# The target of the bulk load: an integer station, a time with a zone, single precision.
+LOADED_WEATHER = TableSpec(
+    "weather",
+    T.StructType(
+        [
+            _field("station_id", T.IntegerType(), True, "station"),
+            _field("city_name", T.StringType(), True, "city", 250),
+            _field("dt", T.TimestampType(), True, "day of observation"),
+            _field("season", T.StringType(), True, "season", 50),
+        ]
+        + [_field(m, T.FloatType()) for m in MEASURES]
+    ),
+    ("station_id", "dt"),
+    "daily observations, distributed by station and day",
+)

@@ -101,6 +101,20 @@ def append_with_identity(df: DataFrame, table: str, key: str) -> None:
     append_rows(continued_key(df, key, df.sparkSession.table(table)), table)
 
 
+def bucket_layout(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets of a stored table and the columns they go by."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    columns = rows["Bucket Columns"].strip("[]").replace("`", "")
+    return int(rows["Num Buckets"]), [c.strip() for c in columns.split(",")]
+
+
+def append_bucketed(df: DataFrame, table: str) -> None:
+    """Insert into a table that lies in buckets. The rows are dealt by the function that
+    decides the bucket, so a load adds one file to each bucket and no more."""
+    buckets, columns = bucket_layout(df.sparkSession, table)
+    append_rows(df.repartition(buckets, *columns), table)
+
+
 def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
     """Create or replace a view in the catalog and return it."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

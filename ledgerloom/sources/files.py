@@ -25,23 +25,18 @@ def read_parquet(spark: SparkSession, path: str, legacy_dates: bool = False) ->
     )
 
 
+def csv_options() -> dict[str, str]:
+    """How CSV text is read: an empty field is null, a quoted empty field an empty
+    string, and a doubled quote stands for one quote."""
+    return {"sep": ",", "quote": '"', "escape": '"', "nullValue": NULL_MARK, "emptyValue": "", "timestampNTZFormat": ZONELESS}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, **options
 ) -> DataFrame:
-    """CSV scan with a declared schema: an empty field is null, a quoted empty
-    field is an empty string, and a doubled quote stands for one quote."""
-    reader = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", NULL_MARK)
-        .option("emptyValue", "")
-        .option("enforceSchema", True)
-        .option("timestampNTZFormat", ZONELESS)
-    )
-    for key, value in options.items():
+    """CSV scan with a declared schema."""
+    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+    for key, value in (csv_options() | options).items():
         reader = reader.option(key, value)
     return reader.csv(path)
 

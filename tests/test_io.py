@@ -85,6 +85,60 @@ def test_load_parts_good_rows_from_bad_ones(spark, tmp_path):
     assert tuple(result.report().first()) == (8, 3, 5, 5)
     with pytest.raises(TooManyRejects):
         load_csv(spark, str(file), COLUMNS, error_limit=4)
+    with pytest.raises(TooManyRejects):
+        load_csv(spark, str(file), COLUMNS, error_share=0.6)
+    assert load_csv(spark, str(file), COLUMNS, error_share=0.63).error_limit == 5
+
+
+def test_rejects_are_the_lines_of_the_files(spark, tmp_path):
+    head, stamp = "station_id,city_name,dt", "2000-01-01T00:00:00.000+03:00"
+    files = {
+        "a.csv": [head, f'1,"x, ""y""",{stamp}', "", f'x,"a, ""b""",{stamp}', "   ", f'2,"open,{stamp}', f"3,p,{stamp}", "4,p,never"],
+        "b.csv": [f"9,the head is a row,{stamp}", f"8,q,{stamp}", f'y1,"",{stamp}'],
+        "c.csv": [head],
+        "d.csv": [head] + [f"{'z' if i % 100 == 7 else ''}{i},city {i},{stamp}" for i in range(2000)],
+    }
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + ("\n" if name != "b.csv" else ""))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "8k")  # a file of many splits
+    try:
+        result = load_csv(spark, str(tmp_path), COLUMNS)
+        rejects = [(r.file.rsplit("/", 1)[1], r.line_no, r.bad_column, r.line) for r in result.rejects.collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert all(files[f][n - 1] == line for f, n, _, line in rejects)
+    want = [("a.csv", 4, "station_id"), ("a.csv", 6, "(line)"), ("a.csv", 8, "dt"), ("b.csv", 3, "station_id")]
+    want += [("d.csv", i + 2, "station_id") for i in range(7, 2000, 100)]
+    assert sorted(r[:3] for r in rejects) == sorted(want)
+    good = {(r.station_id, r.city_name) for r in result.good.collect()}
+    assert {(1, 'x, "y"'), (3, "p"), (8, "q")} <= good and len(good) == 3 + 1980
+    assert tuple(result.report().first())[:3] == (4 + 1 + 2 + 2000, 1983, 24)
+
+
+def test_bulk_loads_append_to_the_buckets(spark, tmp_path):
+    stamp = "2000-01-%02dT00:00:00.000+03:00"
+    line = lambda i: f"{i % 40},city,{stamp % (i % 20 + 1)},winter,{i}" + "," * 9
+    name = weather.create_loaded(spark, shared.scratch_namespace(spark), buckets=4)
+    for load in range(2):
+        (tmp_path / f"{load}.csv").write_text("head\n" + "\n".join(line(i) for i in range(load * 500, load * 500 + 500)) + "\n")
+        weather.bulk_load(spark, str(tmp_path / f"{load}.csv"), name, error_limit=0)
+    (tmp_path / "bad.csv").write_text("head\n" + line(1) + "\nno line\n")
+    with pytest.raises(TooManyRejects):
+        weather.bulk_load(spark, str(tmp_path / "bad.csv"), name, error_limit=0)
+    assert spark.table(name).count() == 1000
+    assert len(spark.table(name).inputFiles()) == 8  # a file a bucket and load
+    rows = weather.by_station_and_day(spark.table(name))
+    found = {(r.station_id, r.dt.day if r.dt.hour == 0 else r.dt.day + 1): (r.cnt, r.avg_temp_sum) for r in rows.collect()}
+    want = {}
+    for i in range(1000):
+        n, total = want.get((i % 40, i % 20), (0, 0))
+        want[i % 40, i % 20] = (n + 1, total + i)
+    assert sorted(found.values()) == sorted(want.values()) and len(found) == len(want)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Bucketed: true" in text
 
 
 def test_declared_table(spark):
