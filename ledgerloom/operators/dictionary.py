@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +25,41 @@ def replicate_if_small(df: DataFrame, limit: int = REPLICATE_LIMIT) -> DataFrame
     return F.broadcast(df) if size_estimate(df) <= limit else df
 
 
-def grid(left: DataFrame, right: DataFrame, blocks: int = 16) -> DataFrame:
+# Rows of a product that one task should make, and the fewest worth a task of their own.
+TASK_ROWS = 1 << 21
+LEAST_ROWS = 1 << 16
+MOST_BLOCKS = 1 << 20
+
+
+def fragments(left: int, right: int, rows: int, task_rows: int = TASK_ROWS, least_tasks: int = 1) -> tuple[int, int]:
+    """Into how many parts each side of a product is cut, so that a block of one part each
+    makes about ``task_rows`` of all ``rows``. The parts are made of near equal size: then
+    the copies of both sides together are fewest. A side is cut at most into its rows."""
+    wanted = max(-(-rows // task_rows), min(least_tasks, rows // LEAST_ROWS), 1)
+    wanted = min(wanted, MOST_BLOCKS, max(1, left * right))
+    own = min(left, max(1, math.isqrt(wanted * left // max(1, right))))
+    other = min(right, -(-wanted // max(1, own)))
+    return max(1, min(left, -(-wanted // max(1, other)))), max(1, other)
+
+
+def grid(left: DataFrame, right: DataFrame, weight: int = 1, sizes: tuple[int, int] | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """Every row of ``left`` with every row of ``right`` (their columns differ).
 
-    The product is planned as an equi-join: each right row lies in one block and
-    each left row is copied to all blocks, so a pair meets exactly once and the
-    work spreads over ``blocks`` keys whatever the two sizes are."""
-    # The block has to be the same if a task runs again, so it hashes the row.
-    blocked = right.withColumn("_block", F.pmod(F.xxhash64(*right.columns), F.lit(blocks)).cast("int"))
-    copied = left.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return copied.join(blocked, "_block").drop("_block")
+    Fragment and replicate: both sides are counted, cut into parts, and every pair of parts
+    meets in a block, so a pair of rows meets exactly once. A left row is copied once per
+    part of the right side and the other way round. The number of blocks, and with it that
+    of the tasks, follows the size of the product; ``weight`` is the number of rows that
+    later steps make of a pair. ``sizes`` are the counts, where they are known.
+    """
+    count, other = sizes or (left.count(), right.count())
+    least = left.sparkSession.sparkContext.defaultParallelism
+    rows, columns = fragments(count, other, count * other * weight, task_rows, least)
+    # A part has to be the same if a task runs again, so it goes by the hash of the row.
+    part = lambda df, n: F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = (F.col("_row_part") * columns + F.col("_column_part")).cast("int")
+    cut = left.withColumn("_row_part", part(left, rows)).withColumn("_column_part", each(columns))
+    other_cut = right.withColumn("_column_part", part(right, columns)).withColumn("_row_part", each(rows))
+    blocks = [df.withColumn("_block", block).drop("_row_part", "_column_part") for df in (cut, other_cut)]
+    dealt = [df.repartitionById(rows * columns, F.col("_block")) for df in blocks]
+    return dealt[0].join(dealt[1], "_block").drop("_block")

@@ -20,6 +20,10 @@ from ledgerloom.sinks.tables import append_rows, create_table, with_defaults
 from ledgerloom.sources.literals import days_between, numbers
 
 
+# The two words of a pair's counter state.
+STATE = ("state_1", "state_2")
+
+
 def day_grid(
     companies: DataFrame,
     accounts: DataFrame,
@@ -28,18 +32,24 @@ def day_grid(
     per_day: int = 10,
     seed: int | None = None,
 ) -> DataFrame:
-    """Companies × accounts × days × numbers. The days are spread over the cluster
-    before the last step, so that a small dictionary does not mean few tasks. With
-    a seed every pair carries the state its draws start from."""
-    pairs = grid(companies.select("company_id"), accounts.select("account_id"))
+    """Companies × accounts × days × numbers, in as many tasks as the product is large:
+    the pairs and the days are each cut into parts that meet in blocks. With a seed every
+    pair carries the state its draws start from."""
+    spark = companies.sparkSession
+    counts = companies.count(), accounts.count()
+    pairs = grid(companies.select("company_id"), accounts.select("account_id"), sizes=counts)
     if seed is not None:
-        pairs = pairs.withColumn("state", cell_state(seed, F.col("company_id"), F.col("account_id")))
+        pairs = pairs.withColumns(dict(zip(STATE, cell_state(seed, F.col("company_id"), F.col("account_id")))))
     low, high = (d if isinstance(d, Column) else F.lit(d) for d in (first, last))
-    days = pairs.withColumn("transaction_dt", days_between(low, high))
-    width = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return days.repartition(width, "company_id", "account_id", "transaction_dt").withColumn(
-        "repeat", numbers(1, per_day)
-    )
+    # the bounds are fixed here: they may be subqueries, and the days are counted
+    ends = spark.range(1).select(low.alias("low"), high.alias("high")).first()
+    if not all(counts) or None in ends:
+        width = (0, 1)
+    else:
+        width = (counts[0] * counts[1], (ends["high"] - ends["low"]).days + 1)
+    days = spark.range(1).select(days_between(F.lit(ends["low"]), F.lit(ends["high"])).alias("transaction_dt"))
+    cells = grid(pairs, days, weight=per_day, sizes=width)
+    return cells.withColumn("repeat", numbers(1, per_day))
 
 
 # The draws of a row: whether it is kept, its amount, and its three codes.
@@ -49,7 +59,7 @@ DRAWS = ["ok", "r", "ar1", "ar2", "ar3"]
 def generated_rows(cells: DataFrame) -> DataFrame:
     """Draw an amount and analytic codes for every cell and keep three in four.
     The draws are a function of the cell, so a lost task gives the same rows again."""
-    drawn = with_draws(cells, "state", "transaction_dt", "repeat", DRAWS)
+    drawn = with_draws(cells, STATE, "transaction_dt", "repeat", DRAWS)
     return drawn.filter(analytics.kept(F.col("ok")) == 1).select(
         "transaction_dt",
         "company_id",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom import bindings
 from ledgerloom.functions import analytics
 from ledgerloom.functions.periods import cutoff, half_open, month_start, months_interval, shift_months
-from ledgerloom.functions.tokens import ADDEND, DAY_STEP, MODULUS, REPEAT_STEP, ROUNDS, draw_rounds
+from ledgerloom.functions.tokens import ADDEND, DAY_STEP, MASK, REPEAT_STEP, ROUNDS, draw_rounds
 from ledgerloom.operators import audit
 from ledgerloom.operators.dictionary import replicate_if_small
 from ledgerloom.operators.keys import continued_key, dense_key
@@ -250,30 +250,32 @@ def ledger_grid_days(spark, sf):
 
 
 def _drawn_sql() -> str:
-    """The mixing rounds, each step named once and used by the next."""
-    steps, last, taken = [], "x", draw_rounds(DRAWS)
+    """The mixing rounds, a table each: a word is made of the two before it."""
+    tables, last, taken = [], "started", draw_rounds(DRAWS)
+    words = {-1: "word_1", 0: "word_2"} | {i: f"x{i}" for i in range(1, len(ROUNDS) + 1)}
     for i, multiplier in enumerate(ROUNDS, start=1):
-        steps.append(f"({last} * {multiplier} + {ADDEND}) % {MODULUS} AS y{i}")
-        steps.append(f"xor(y{i}, y{i} >> 15) AS x{i}")
+        tables.append(f"y{i} AS (SELECT *, ({words[i - 2]} * {multiplier} + {words[i - 1]} + {ADDEND}) & {MASK} AS z FROM {last})")
+        draw = f", xor(z, z >> 15) / 2147483648.0::DOUBLE AS {taken[i]}" if i in taken else ""
+        tables.append(f"x{i} AS (SELECT * EXCLUDE z, xor(z, z >> 15) AS x{i}{draw} FROM y{i})")
         last = f"x{i}"
-        if i in taken:
-            steps.append(f"{last} / 2147483648.0::DOUBLE AS {taken[i]}")
-    return ", ".join(steps)
+    return ",\n".join(tables)
 
 
 DRAWN_SQL = f"""{GRID_SQL},
+hashed AS (SELECT *, md5(concat_ws('|', '{SEED}', CAST(company_id AS VARCHAR), account_id)) AS digest FROM grid),
 started AS (
-  SELECT *, (CAST('0x' || substr(md5(concat_ws('|', '{SEED}', CAST(company_id AS VARCHAR), account_id)), 1, 7) AS BIGINT)
-         + CAST(transaction_dt - DATE '1970-01-01' AS BIGINT) * {DAY_STEP} + repeat * {REPEAT_STEP}) % {MODULUS} AS x
-  FROM grid),
-drawn AS (SELECT *, {_drawn_sql()} FROM started),
+  SELECT *, ((CAST('0x' || substr(digest, 1, 8) AS BIGINT) & {MASK})
+             + CAST(transaction_dt - DATE '1970-01-01' AS BIGINT) * {DAY_STEP}) & {MASK} AS word_1,
+         ((CAST('0x' || substr(digest, 9, 8) AS BIGINT) & {MASK}) + repeat * {REPEAT_STEP}) & {MASK} AS word_2
+  FROM hashed),
+{_drawn_sql()},
 first_codes(slot, code) AS (VALUES (0, 'A'), (1, 'B'), (2, 'C')),
 second_codes(slot, code) AS (VALUES (6, 'XX'), (7, 'XX'), (8, 'XX'), (9, 'XX')),
 acc_data AS (
   SELECT company_id, account_id, transaction_dt,
          CAST(round_even(r * 1000000, 0) * 100 AS DECIMAL(18,2)) AS amount,
          one.code AS custom_1, two.code AS custom_2, CAST(NULL AS VARCHAR) AS custom_3
-  FROM drawn LEFT JOIN first_codes one ON one.slot = floor(ar1 * 4)
+  FROM x{len(ROUNDS)} LEFT JOIN first_codes one ON one.slot = floor(ar1 * 4)
              LEFT JOIN second_codes two ON two.slot = floor(ar2 * 10)
   WHERE ok > 0.25)"""
 

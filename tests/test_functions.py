@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import analytics, periods, tokens
@@ -73,12 +74,38 @@ def test_pretty_size(spark, size, text):
 def test_draws_do_not_depend_on_the_partitioning(spark):
     rows = spark.range(500).select(
         (F.col("id") * 7919).alias("state"),
+        (F.col("id") * 104729 % 1000).alias("state_2"),
         F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 365).cast("int")).alias("day"),
         (F.col("id") % 10 + 1).cast("int").alias("n"),
     )
     names = ["a", "b"]
-    first = tokens.with_draws(rows, "state", "day", "n", names).orderBy("state").collect()
-    again = tokens.with_draws(rows.repartition(5, "day"), "state", "day", "n", names).orderBy("state").collect()
+    first = tokens.with_draws(rows, ("state", "state_2"), "day", "n", names).orderBy("state").collect()
+    again = tokens.with_draws(rows.repartition(5, "day"), ("state", "state_2"), "day", "n", names).orderBy("state").collect()
     assert first == again
     assert all(0 <= r.a < 1 and 0 <= r.b < 1 for r in first)
     assert 0.4 < sum(r.a for r in first) / 500 < 0.6
+
+
+def test_draws_repeat_no_more_than_random_numbers_of_60_bits(spark):
+    """2 million rows: 28 bits of state would repeat some 7,000 times, 60 bits never."""
+    cells = spark.range(4000).withColumns(dict(zip(("s1", "s2"), tokens.cell_state(5, F.col("id")))))
+    days = cells.withColumn("day", F.explode(F.expr("sequence(date'2023-01-01', date'2023-02-19')")))
+    rows = days.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10))))
+    names = ["a", "b", "c"]
+    drawn = tokens.with_draws(rows, ("s1", "s2"), "day", "n", names)
+    found = drawn.agg(
+        F.count("*"), F.count_distinct(F.xxhash64(*names)), *[F.avg(n) for n in names], *[F.stddev_pop(n) for n in names],
+        F.corr("a", "b"), F.corr("b", "c"), F.corr("a", F.col("n").cast("double")), F.corr("b", F.unix_date("day").cast("double")),
+        *[F.count_distinct(n) for n in names],
+    ).first()
+    assert found[0] == found[1] == 2_000_000
+    assert all(abs(x - 0.5) < 0.002 for x in found[2:5]) and all(abs(x - 12**-0.5) < 0.002 for x in found[5:8])
+    assert all(abs(x) < 0.003 for x in found[8:12])
+    # single words repeat as 31 random bits do: about 931 times in 2 million
+    assert all(500 < 2_000_000 - x < 1500 for x in found[12:])
+    own = Window.partitionBy("id", "day").orderBy("n")
+    lags = drawn.select(*names, *[F.lag(n).over(own).alias(f"{n}_before") for n in names])
+    assert all(abs(x) < 0.004 for x in lags.agg(*[F.corr(n, f"{n}_before") for n in names]).first())
+    own = Window.partitionBy("id", "n").orderBy("day")
+    lags = drawn.select(*names, *[F.lag(n).over(own).alias(f"{n}_before") for n in names])
+    assert all(abs(x) < 0.004 for x in lags.agg(*[F.corr(n, f"{n}_before") for n in names]).first())

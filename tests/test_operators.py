@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import audit, shards
-from ledgerloom.operators.dictionary import grid, replicate_if_small
+from ledgerloom.operators.dictionary import MOST_BLOCKS, fragments, grid, replicate_if_small
 from ledgerloom.operators.keys import continued_key, dense_key
 from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.operators.union import filtered_view, full_view
@@ -89,18 +89,46 @@ def test_report_equals_nested_loops(spark, ledger, inclusive):
 
 def test_dense_key_follows_the_order_without_gaps(spark):
     rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 17 % 5000).alias("k"), F.lit("x").alias("v"))
-    keyed = dense_key(rows, "n", ["k"], partitions=5).collect()
+    keyed = dense_key(rows, "n", ["k"], slice_rows=1000).collect()
     assert sorted((r.n, r.k) for r in keyed) == [(i + 1, i) for i in range(5000)]
 
 
 def test_dense_key_with_one_hot_order_value(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("hot"), "id")
-    keyed = dense_key(rows, "n", ["hot", "id"], partitions=6)
+    keyed = dense_key(rows, "n", ["hot", "id"], slice_rows=500)
     assert keyed.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 3000, 3000)
     expected = sorted((r.hot, r.id) for r in keyed.collect())
     assert [(r.hot, r.id) for r in sorted(keyed.collect(), key=lambda r: r.n)] == expected
 
 
+@pytest.mark.parametrize("partitions", ["3", "64"])
+def test_slices_follow_the_rows_even_with_a_single_order_value(spark, partitions):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, partitions)
+    try:
+        for rows, slices in ((4000, 4), (16000, 16)):
+            one = spark.range(rows).select(F.lit(7).alias("k"), "id")
+            keyed = dense_key(one, "n", ["k"], slice_rows=1000)
+            sizes = [r["count"] for r in keyed.groupBy(F.ceil(F.col("n") / 10**9)).count().collect()]
+            files = keyed.inputFiles()
+            assert len(files) == slices and sizes == [rows]
+            held = spark.read.parquet(*files).groupBy(F.col("_metadata.file_name")).count().collect()
+            assert max(r["count"] for r in held) < 2000
+            assert keyed.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, rows, rows)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_offsets_of_many_files_add_up_over_groups(spark, monkeypatch):
+    from ledgerloom.operators import keys
+
+    monkeypatch.setattr(keys, "GROUP", 4)
+    rows = spark.range(0, 3000, 1, 23).filter("id % 7 <> 0")
+    found = sorted((r.n, r.id) for r in dense_key(rows, "n").collect())
+    assert found == [(i + 1, x) for i, x in enumerate(x for x in range(3000) if x % 7)]
+
+
 def test_dense_key_unordered_and_continued(spark):
     first = dense_key(spark.range(0, 1000, 1, 9).toDF("id"), "n")
     assert first.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 1000, 1000)
@@ -141,9 +169,26 @@ def test_union_keeps_each_row_once(spark):
 def test_grid_is_the_full_product(spark):
     left = spark.range(7).select(F.col("id").alias("a"))
     right = spark.range(11).select(F.col("id").cast("string").alias("b"))
-    for blocks in (1, 4, 16):
-        got = sorted((r.a, r.b) for r in grid(left, right, blocks).collect())
+    for task_rows in (1, 5, 20, 1000):
+        got = sorted((r.a, r.b) for r in grid(left, right, task_rows=task_rows).collect())
         assert got == sorted((a, str(b)) for a, b in itertools.product(range(7), range(11)))
+    assert grid(left, right.filter("b = 'none'")).count() == 0 and grid(left.filter("a < 0"), right).count() == 0
+
+
+def test_tasks_of_a_product_grow_with_it(spark):
+    assert fragments(10, 50, 500) == (1, 1) and fragments(0, 5, 0) == (1, 1)
+    for left, right, weight in ((1000, 1000, 1), (10, 100_000, 4), (1, 10**7, 1), (10**6, 10**6, 1), (3, 5, 10**9)):
+        a, b = fragments(left, right, left * right * weight, task_rows=1000)
+        wanted = min(MOST_BLOCKS, left * right, left * right * weight // 1000)
+        assert a <= left and b <= right and wanted <= a * b <= 2 * wanted + a + b
+    sizes = []
+    for n in (100, 200, 400):
+        left, right = spark.range(n).toDF("a"), spark.range(n).toDF("b")
+        product = grid(left, right, task_rows=5000)
+        counts = [r["count"] for r in product.groupBy(F.spark_partition_id()).count().collect()]
+        sizes.append(len(counts))
+        assert sum(counts) == n * n and max(counts) < 4 * 5000
+    assert sizes[0] >= 2 and 3 <= sizes[1] / sizes[0] <= 5 and 3 <= sizes[2] / sizes[1] <= 5
 
 
 def test_replication_depends_on_the_size(spark):
