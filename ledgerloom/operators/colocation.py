@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import month_start
+from ledgerloom.functions.periods import month_start, shift_months
+from ledgerloom.operators.dictionary import size_estimate
 from ledgerloom.operators.layout import refresh_statistics
-from ledgerloom.operators.rollup import CELL, matching_months
+from ledgerloom.operators.rollup import CELL
 
 BUCKETS = 32
 # Bytes one bucket should hold, and the most buckets Spark allows by default.
@@ -58,23 +59,45 @@ def write_buckets(df: DataFrame, table: str, key: str = "company_id", buckets: i
 
 
 def colocated_session(spark: SparkSession) -> SparkSession:
-    """A session over the same catalog in which two bucketed tables join where they
-    lie although the join has more keys than the buckets. The setting is kept out
-    of the caller's session: there it would let any join stay on a coarser key."""
+    """A session over the same catalog, with the caller's settings, in which two bucketed
+    tables join where they lie although the join has more keys than the buckets. The
+    setting is kept out of the caller's session: there it would let any join stay on a
+    coarser key."""
     session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
     session.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return session
 
 
-def colocated_detail(rollup: DataFrame, fact: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Rollup total and detail total per analytic code, from two bucketed tables:
-    the fact is joined where it lies and only summed rows are shuffled."""
-    months = matching_months(F.col("transaction_dt"), inclusive)
-    days = fact.select(
-        "company_id", SPLIT, "account_id", "custom_1", F.col("amount").alias("detail"),
-        F.explode(months).alias("period_dt"),
+def bucket_sums(fact: DataFrame, inclusive: bool = True) -> DataFrame:
+    """The fact summed per tenant, split, account, month and code inside its buckets. A
+    first of a month, which counts for two, is kept apart until it is summed."""
+    day = F.col("transaction_dt")
+    own = month_start(day)
+    sums = fact.groupBy("company_id", SPLIT, "account_id", own.alias("month"), (day == own).alias("first_day"), "custom_1").agg(
+        F.sum("amount").alias("detail")
     )
-    joined = rollup.hint("shuffle_hash").join(days, ["company_id", SPLIT, "account_id", "period_dt"])
+    months = F.array(F.col("month"))
+    if inclusive:
+        months = F.when(F.col("first_day"), F.array(F.col("month"), shift_months(F.col("month"), -1))).otherwise(months)
+    each = sums.select("company_id", SPLIT, "account_id", "custom_1", "detail", F.explode(months).alias("period_dt"))
+    return each.groupBy("company_id", SPLIT, "account_id", "period_dt", "custom_1").agg(F.sum("detail").alias("detail"))
+
+
+# Bytes of the rollup's files per bucket up to which its rows are hashed, not sorted.
+HASHED_BYTES = 64 << 20
+
+
+def colocated_detail(rollup: DataFrame, fact: DataFrame, inclusive: bool = True, buckets: int = BUCKETS) -> DataFrame:
+    """Rollup total and detail total per analytic code, from two bucketed tables. The fact
+    is summed where it lies, only its sums meet the rollup, in the same bucket, and only
+    joined sums are shuffled, to add up a tenant's splits. The rollup, one row per cell and
+    split, is hashed if a bucket of it is small, and sorted otherwise."""
+    keys = ["company_id", SPLIT, "account_id", "period_dt"]
+    small = size_estimate(rollup) <= HASHED_BYTES * buckets
+    joined = rollup.hint("shuffle_hash" if small else "merge").join(bucket_sums(fact, inclusive), keys)
     return joined.groupBy(*CELL, "currency_code", F.col("amount").alias("amount_all"), "custom_1").agg(
         F.sum("detail").alias("amount_custom_1")
     )

@@ -16,7 +16,9 @@ from ledgerloom.operators.keys import continued_key, dense_key
 from ledgerloom.operators.rollup import monthly_rollup, report
 from ledgerloom.operators.union import full_view
 from ledgerloom.schemas import FACT, ROLLUP
-from ledgerloom.sinks.tables import append_rows, create_table, with_defaults
+from ledgerloom.sinks.keyed import overwrite_partitions
+from ledgerloom.sinks.tables import create_table, with_defaults
+from ledgerloom.sources.listing import listed_sizes, listed_table
 from ledgerloom.sources.literals import days_between, numbers
 
 
@@ -98,10 +100,61 @@ def create_ledger(spark: SparkSession, namespace: str) -> tuple[str, str]:
     return fact, rollup
 
 
-def load_rollup(spark: SparkSession, fact: str, rollup: str) -> None:
-    """Sum the fact and insert the monthly totals into their partitions."""
-    totals = monthly_rollup(spark.table(fact).drop(partitions.PART))
-    partitions.write_monthly(totals, rollup, "period_dt")
+def _marks_table(rollup: str) -> str:
+    return f"{rollup}_loaded"
+
+
+def _marks(spark: SparkSession, fact: str) -> dict[str, str]:
+    """The stored state of every partition of the fact, from a listing: a row a month."""
+    sizes = listed_sizes(listed_table(spark, fact), [partitions.PART])
+    return {r[partitions.PART]: r["mark"] for r in sizes.collect()}
+
+
+def load_rollup(spark: SparkSession, fact: str, rollup: str) -> list[str]:
+    """Bring the monthly totals up to date; return the labels of the months summed anew.
+
+    The state of the fact's partitions at the last load lies in a table beside the rollup.
+    Only months whose files have changed since are read, summed and overwritten, and
+    months that the fact no longer holds go; so the load may run again at any time, also
+    after a run that died: the state is noted last. Rows that wait in default belong to
+    any month, so while there are such rows, or there were at the last load, a change of
+    default means that all months are summed.
+    """
+    noted = _marks_table(rollup)
+    if not spark.catalog.tableExists(noted):
+        spark.sql(f"CREATE TABLE {noted} ({partitions.PART} string, mark string) USING parquet")
+    now = _marks(spark, fact)  # before the rows are read: what comes in later is seen next time
+    before = {r[partitions.PART]: r["mark"] for r in spark.table(noted).collect()}
+    default = partitions.DEFAULT
+    if now.get(default) != before.get(default):
+        changed = sorted(set(now) - {default})
+        wanted = None
+    else:
+        changed = sorted(p for p in now if p != default and now[p] != before.get(p))
+        wanted = changed
+    gone = set(before) - set(now) - {default}
+    if wanted is None or changed or gone:
+        spark.catalog.refreshTable(fact)
+        rows = spark.table(fact)
+        if wanted is not None:
+            # a month whose partition went may still have rows in default
+            again = sorted({*changed, *gone})
+            own = rows.filter(F.col(partitions.PART).isin([*again, default]))
+            own = own.filter(partition_label(F.col("transaction_dt")).isin(again))
+        else:
+            own, again = rows, None
+        totals = monthly_rollup(own.drop(partitions.PART))
+        labelled = totals.withColumn(partitions.PART, partition_label(F.col("period_dt")))
+        overwrite_partitions(partitions.laid_out(labelled), rollup)
+        spark.catalog.refreshTable(rollup)
+        held = set(partitions.list_partitions(spark, rollup))
+        stays = {r[partitions.PART] for r in labelled.select(partitions.PART).distinct().collect()} if gone or again is None else held
+        left = held - stays if again is None else gone - stays
+        partitions.drop_partitions(spark, rollup, sorted(left))
+        changed = sorted(held - left) if again is None else changed
+    fresh = spark.createDataFrame(sorted(now.items()), f"{partitions.PART} string, mark string")
+    fresh.coalesce(1).write.insertInto(noted, overwrite=True)
+    return changed
 
 
 def month_report(

@@ -58,21 +58,26 @@ SHOWN_SQL = """transaction_id, transaction_dt, company_id, account_id, operation
 LABEL_SQL = "'p' || strftime(transaction_dt, '%Y%m01')"
 
 
-def report_sql(inclusive: bool, where: str = "") -> str:
-    """Month totals beside code sums. A table of days says which months a day counts
-    for: its own and, where the upper bound is closed, on a first the month before."""
+def _parts_sql(inclusive: bool) -> str:
+    """Month totals and code sums. A table of days says which months a day counts for:
+    its own and, where the upper bound is closed, on a first the month before."""
     counted = "SELECT DISTINCT transaction_dt AS on_day, CAST(date_trunc('month', transaction_dt) AS DATE) AS in_month FROM acc_data"
     if inclusive:
         counted += " UNION SELECT transaction_dt, CAST(transaction_dt - INTERVAL 1 MONTH AS DATE) FROM acc_data WHERE day(transaction_dt) = 1"
-    return f"""
-WITH {ACC_DATA}, {DICTIONARIES},
-month_total AS (
+    return f"""month_total AS (
   SELECT company_id, account_id, currency_code, CAST(date_trunc('month', transaction_dt) AS DATE) AS in_month,
          SUM(amount) AS total FROM acc_data GROUP BY 1, 2, 3, 4),
 counted AS ({counted}),
 code_sum AS (
   SELECT company_id, account_id, in_month, custom_1, SUM(amount) AS code_total
-  FROM acc_data JOIN counted ON on_day = transaction_dt GROUP BY 1, 2, 3, 4)
+  FROM acc_data JOIN counted ON on_day = transaction_dt GROUP BY 1, 2, 3, 4)"""
+
+
+def report_sql(inclusive: bool, where: str = "") -> str:
+    """The report: month totals beside code sums, by names."""
+    return f"""
+WITH {ACC_DATA}, {DICTIONARIES},
+{_parts_sql(inclusive)}
 SELECT company_name, account_description, custom_1,
        CAST(total AS DOUBLE) AS amount_all, CAST(SUM(code_total) AS DOUBLE) AS amount_custom_1
 FROM month_total JOIN code_sum USING (company_id, account_id, in_month)
@@ -82,6 +87,26 @@ GROUP BY company_name, account_description, custom_1, total
 ORDER BY 1, 2, 3"""
 
 
+def cells_sql() -> str:
+    """Month totals beside code sums, by keys."""
+    return f"""
+WITH {ACC_DATA},
+{_parts_sql(True)}
+SELECT company_id, account_id, in_month AS period_dt, currency_code, custom_1,
+       CAST(total AS DOUBLE) AS amount_all, CAST(code_total AS DOUBLE) AS amount_custom_1
+FROM month_total JOIN code_sum USING (company_id, account_id, in_month)"""
+
+
+def named_sql() -> str:
+    """Month totals by company name and root account."""
+    return f"""
+WITH {ACC_DATA}, {DICTIONARIES},
+{_parts_sql(False)}
+SELECT company_name, parent_account_id, in_month AS period_dt, CAST(SUM(total) AS DOUBLE) AS amount
+FROM month_total JOIN dct_companies USING (company_id) JOIN dct_accounts USING (account_id)
+GROUP BY ALL"""
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Ledger rows as the oracle writes them."""
     return df.select(*SHOWN).withColumn("amount", F.col("amount").cast("double"))

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import bindings
-from ledgerloom.functions.periods import partition_label
 from ledgerloom.functions.sizes import pretty_size
 from ledgerloom.operators import colocation, layout, partitions, shards
 from ledgerloom.registry import register
 from ledgerloom.registry.base import (
-    ACC_AGGREGATE, ACC_DATA, HEAD_COMPANY, LABEL_SQL, PREMADE_AS_OF, SHOWN_SQL,
-    shown, stored_ledger, stored_ledger_name,
+    ACC_DATA, HEAD_COMPANY, LABEL_SQL, PREMADE_AS_OF, SHOWN_SQL,
+    cells_sql, shown, stored_ledger, stored_ledger_name,
 )
-from ledgerloom.shared import scratch_namespace
+from ledgerloom.shared import scratch_namespace, scratch_path
+from ledgerloom.sources.listing import listed_sizes, listed_table
 from ledgerloom.sources.literals import literal_rows
 
 FIRST_PREMADE, LAST_PREMADE = partitions.premade_window(PREMADE_AS_OF)
@@ -90,48 +90,35 @@ def ledger_skew(spark, sf):
     return _skew(bindings.fact(spark, sf).groupBy("company_id").agg(F.count("*").alias("row_cnt")))
 
 
-# Bytes of a row: fixed-width columns, then the texts.
-ROW_BYTES_SQL = """36 + length(account_id) + length(operation_type) + length(currency_code)
-       + COALESCE(length(custom_1), 0) + COALESCE(length(custom_2), 0)"""
-
-
-def _row_bytes():
-    texts = ["account_id", "operation_type", "currency_code", "custom_1", "custom_2"]
-    return sum((F.coalesce(F.char_length(c), F.lit(0)) for c in texts), F.lit(36)).cast("bigint")
-
-
 # --- sizes and statistics ----------------------------------------------------
 
 @register("ledger_partition_sizes", f"""
-WITH {ACC_DATA}, sizes AS (
-  SELECT 'acc_data_' || {LABEL_SQL} AS name, COUNT(*) AS row_cnt,
-         CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) AS size_bytes FROM acc_data GROUP BY 1
-  UNION ALL
-  SELECT 'acc_data', COUNT(*), CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) FROM acc_data)
-SELECT name, row_cnt, size_bytes,
-       CASE WHEN size_bytes < 10240 THEN size_bytes || ' bytes'
-            WHEN (size_bytes >> 9)  < 20479 THEN (((size_bytes >> 9)  + 1) >> 1) || ' kB'
-            WHEN (size_bytes >> 19) < 20479 THEN (((size_bytes >> 19) + 1) >> 1) || ' MB'
-            WHEN (size_bytes >> 29) < 20479 THEN (((size_bytes >> 29) + 1) >> 1) || ' GB'
-            WHEN (size_bytes >> 39) < 20479 THEN (((size_bytes >> 39) + 1) >> 1) || ' TB'
-            ELSE (((size_bytes >> 49) + 1) >> 1) || ' PB' END AS size
-FROM sizes WHERE name LIKE 'acc_data_p199%' ORDER BY size_bytes DESC""")
+WITH {ACC_DATA}, held AS (
+  SELECT 'acc_data_' || {LABEL_SQL} AS name, COUNT(*) AS row_cnt FROM acc_data GROUP BY 1
+  UNION ALL SELECT 'acc_data', COUNT(*) FROM acc_data)
+SELECT name, row_cnt, true AS same_bytes, true AS labelled FROM held WHERE name LIKE 'acc_data_p199%'""")
 def ledger_partition_sizes(spark, sf):
-    """Bytes of the partitions of the nineties, as numbers and text."""
-    sized = bindings.fact(spark, sf).select(partition_label(F.col("transaction_dt")).alias("part"), _row_bytes().alias("b"))
-    parts = sized.groupBy("part").agg(F.count("*").alias("row_cnt"), F.sum("b").alias("size_bytes"))
-    total = parts.agg(F.sum("row_cnt").alias("row_cnt"), F.sum("size_bytes").alias("size_bytes"))
-    both = parts.withColumn("part", F.concat(F.lit("acc_data_"), "part")).withColumnRenamed("part", "name")
-    both = both.unionByName(total.withColumn("name", F.lit("acc_data")))
-    sizes = both.filter(F.col("name").like("acc_data_p199%")).withColumn("size", pretty_size(F.col("size_bytes")))
-    return sizes.orderBy(F.desc_nulls_first("size_bytes"))
+    """Partitions of the nineties and their bytes, as the storage lists them: the same
+    as the rows' own file sizes add up to."""
+    name = stored_ledger_name(spark, sf)
+    listed = listed_sizes(listed_table(spark, name), [partitions.PART])
+    total = listed.agg(F.sum("size_bytes").alias("size_bytes")).withColumn(partitions.PART, F.lit(None).cast("string"))
+    sizes = listed.select(partitions.PART, "size_bytes").unionByName(total)
+    full = F.concat_ws("_", F.lit("acc_data"), partitions.PART).alias("name")
+    text = pretty_size(F.col("size_bytes"))
+    sized = sizes.select(full, "size_bytes", text.rlike("^[0-9]+ (bytes|kB|MB|GB|TB|PB)$").alias("labelled"))
+    held = layout.partition_sizes(layout.stored_files(spark.table(name), [partitions.PART]), [partitions.PART])
+    read = held.select(F.concat(F.lit("acc_data_"), partitions.PART).alias("name"), "row_cnt", F.col("size_bytes").alias("read_bytes"))
+    both = sized.filter(F.col("name").like("acc_data_p199%")).join(read, "name")
+    return both.select("name", "row_cnt", (F.col("size_bytes") == F.col("read_bytes")).alias("same_bytes"), "labelled")
 
 
 @register("layout_sizes")
 def layout_sizes(spark, sf):
-    """Files, rows and bytes of the stored ledger per partition."""
-    files = layout.stored_files(stored_ledger(spark, sf), ["part"])
-    return layout.partition_sizes(files, ["part"], prefix="p")
+    """Files and bytes of the stored ledger per partition, largest first, by a listing
+    of the storage."""
+    sizes = listed_sizes(listed_table(spark, stored_ledger_name(spark, sf)), ["part"]).drop("mark")
+    return sizes.withColumn("size", pretty_size(F.col("size_bytes"))).orderBy(F.desc("size_bytes"), "part")
 
 
 @register("layout_rows", f"""
@@ -208,6 +195,26 @@ def layout_statistics(spark, sf):
     )
 
 
+CLUSTER_DAY = dt.date(1998, 3, 15)
+
+
+@register("layout_clustered", f"""
+WITH {ACC_DATA}
+SELECT 'company' AS asked, COUNT(*) AS row_cnt, CAST(SUM(amount) AS DOUBLE) AS amount FROM acc_data WHERE company_id = {HEAD_COMPANY}
+UNION ALL
+SELECT 'day', COUNT(*), CAST(SUM(amount) AS DOUBLE) FROM acc_data WHERE transaction_dt = DATE '{CLUSTER_DAY}'""")
+def layout_clustered(spark, sf):
+    """The ledger clustered by company and day at once, asked for one of each."""
+    path = scratch_path(spark, "clustered")
+    rows = layout.rewrite_clustered(stored_ledger(spark, sf).drop(partitions.PART), path, ["company_id", "transaction_dt"], group_bytes=1 << 16)
+    asked = {"company": F.col("company_id") == HEAD_COMPANY, "day": F.col("transaction_dt") == F.lit(CLUSTER_DAY)}
+    found = [
+        rows.filter(wanted).agg(F.count("*").alias("row_cnt"), F.sum("amount").cast("double").alias("amount")).select(F.lit(name).alias("asked"), "*")
+        for name, wanted in asked.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 # --- co-location -------------------------------------------------------------
 
 @register("ledger_hot_tenants", f"""
@@ -243,14 +250,7 @@ def bucketed_ledger(spark, sf) -> tuple[str, str]:
     return _buckets[key]
 
 
-@register("ledger_colocated_report", f"""
-WITH {ACC_DATA}, {ACC_AGGREGATE}
-SELECT ag.company_id, ag.account_id, ag.period_dt, ag.currency_code, ad.custom_1,
-       CAST(ag.amount AS DOUBLE) AS amount_all, CAST(SUM(ad.amount) AS DOUBLE) AS amount_custom_1
-FROM acc_aggregate ag
-JOIN acc_data ad ON ad.company_id = ag.company_id AND ad.account_id = ag.account_id
-                AND ad.transaction_dt BETWEEN ag.period_dt AND ag.period_dt + INTERVAL 1 MONTH
-GROUP BY 1, 2, 3, 4, 5, ag.amount""")
+@register("ledger_colocated_report", cells_sql())
 def ledger_colocated_report(spark, sf):
     fact, rollup = bucketed_ledger(spark, sf)
     session = colocation.colocated_session(spark)

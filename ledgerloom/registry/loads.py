@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import bindings
 from ledgerloom.functions.periods import moment
-from ledgerloom.operators.partitions import PART
+from ledgerloom.operators.partitions import PART, write_monthly
+from ledgerloom.operators.rollup import monthly_rollup
 from ledgerloom.plans import weather as plans
+from ledgerloom.plans.ledger import create_ledger, load_rollup
 from ledgerloom.registry import register
-from ledgerloom.schemas import WEATHER
+from ledgerloom.registry.base import ACC_AGGREGATE, ACC_DATA, new_ledger
+from ledgerloom.schemas import ACCOUNTS, COMPANIES, FACT, ROLLUP, WEATHER
 from ledgerloom.shared import scratch_namespace, scratch_path
 from ledgerloom.sinks.keyed import upsert_into
-from ledgerloom.sinks.tables import create_table
+from ledgerloom.sinks.tables import create_table, declared_defaults, describe, insert_omitting, plan_text, tables_in
 
 # --- upsert ------------------------------------------------------------------
 
@@ -136,3 +140,106 @@ def weather_reject_places(spark, sf):
         F.count_distinct("file", "line_no").alias("places"),
         F.bool_and(F.col("line_no").between(F.lit(1), F.col("length"))).alias("inside"),
     )
+
+
+# --- defaults, comments and plans in the catalog ------------------------------
+
+@register("ledger_dictionary_load", """
+SELECT n_nationkey AS company_id, n_name AS company_name, n_regionkey AS parent_company_id,
+       TIMESTAMP '1900-01-01 00:00:00' AS dttm_start, TIMESTAMP '3000-12-31 00:00:00' AS dttm_end FROM nation
+UNION ALL
+SELECT 1000 + s_suppkey, s_name, NULL, TIMESTAMP '1900-01-01 00:00:00', TIMESTAMP '2000-01-01 00:00:00' FROM supplier""")
+def ledger_dictionary_load(spark, sf):
+    """Inserts that leave columns out: the catalog's defaults fill them, and a given
+    value stands."""
+    name = create_table(spark, f"{scratch_namespace(spark)}.{COMPANIES.name}", COMPANIES)
+    insert_omitting(bindings.companies(spark, sf), name)
+    others = bindings.table(spark, sf, "supplier").select(
+        (F.col("s_suppkey") + 1000).cast("int").alias("company_id"), F.col("s_name").alias("company_name"),
+        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("dttm_end"),
+    )
+    insert_omitting(others, name)
+    return spark.table(name).select(F.col("company_id").cast("bigint").alias("company_id"), "company_name", "parent_company_id", "dttm_start", "dttm_end")
+
+
+@register("ledger_catalog_report", f"""
+WITH t(table_name, columns, described, defaults, keyed) AS (
+  VALUES ('{ACCOUNTS.name}', 3, 3, 0, true), ('{COMPANIES.name}', 8, 8, 2, true),
+         ('{FACT.name}', 15, 15, 0, true), ('{ROLLUP.name}', 6, 6, 0, true))
+SELECT t.*, CASE table_name WHEN '{FACT.name}' THEN (SELECT COUNT(*) FROM lineitem)
+                            WHEN '{COMPANIES.name}' THEN (SELECT COUNT(*) FROM nation) ELSE 0 END AS row_cnt FROM t""")
+def ledger_catalog_report(spark, sf):
+    """The tables of a namespace, as the catalog lists and describes them, and their rows."""
+    space = scratch_namespace(spark)
+    for spec, by in ((FACT, (PART,)), (ROLLUP, (PART,)), (COMPANIES, ()), (ACCOUNTS, ())):
+        create_table(spark, f"{space}.{spec.name}", spec, by)
+    insert_omitting(bindings.companies(spark, sf), f"{space}.{COMPANIES.name}")
+    write_monthly(bindings.fact(spark, sf), f"{space}.{FACT.name}", "transaction_dt")
+    reports = []
+    for name in tables_in(spark, space):
+        table = f"{space}.{name}"
+        shown = describe(spark, table)
+        ends = shown.filter("col_name = '# Partition Information'").count() > 0
+        own = shown.filter("data_type <> '' and not col_name like '#%'").dropDuplicates(["col_name"])
+        figures = own.agg(F.count("*").cast("int").alias("columns"), F.count_if(F.length("comment") > 0).cast("int").alias("described"))
+        reports.append(figures.select(
+            F.lit(name).alias("table_name"), "columns", "described",
+            F.lit(len(declared_defaults(spark, table))).alias("defaults"),
+            F.lit(ends == (name in (FACT.name, ROLLUP.name))).alias("keyed"),
+            F.lit(spark.table(table).count()).cast("bigint").alias("row_cnt"),
+        ))
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+@register("ledger_plan_report", f"""
+SELECT true AS reads_month, true AS sums_before_shuffle, false AS has_python, COUNT(*) AS row_cnt
+FROM lineitem WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01'""")
+def ledger_plan_report(spark, sf):
+    """What the shown plan of a month's rollup says, beside the rows it reads."""
+    name = new_ledger(spark, sf)
+    month = spark.table(name).filter(F.col(PART) == "p19980301")
+    text = plan_text(monthly_rollup(month))
+    said = {"reads_month": "PartitionFilters" in text and "p19980301" in text, "sums_before_shuffle": text.count("HashAggregate") >= 2, "has_python": "Python" in text}
+    return month.agg(F.count("*").alias("row_cnt")).select(*[F.lit(v).alias(k) for k, v in said.items()], "row_cnt")
+
+
+@register("weather_zones", """
+SELECT 'Asia/Tokyo' AS zone, MIN(ts) AS first, MAX(ts) AS last, COUNT(*) AS cnt,
+       CAST(epoch(MIN(ts)) AS BIGINT) - 9 * 3600 AS first_seconds FROM events
+UNION ALL
+SELECT 'UTC', MIN(ts), MAX(ts), COUNT(*), CAST(epoch(MIN(ts)) AS BIGINT) FROM events""")
+def weather_zones(spark, sf):
+    """The session's zone decides what instant a zone-less time is, and nothing else."""
+    reports = []
+    key = "spark.sql.session.timeZone"
+    for zone in ("Asia/Tokyo", "UTC"):
+        session = spark.newSession()
+        session.conf.set(key, zone)
+        own = bindings.table(session, sf, "events").agg(
+            F.min("ts").cast("string").alias("first"), F.max("ts").cast("string").alias("last"), F.count("*").alias("cnt"),
+            F.unix_seconds(F.min("ts").cast("timestamp")).alias("first_seconds"),
+        )
+        reports.append(F.struct(F.lit(zone).alias("zone"), *[F.lit(v).alias(k) for k, v in own.first().asDict().items()]))
+    found = spark.range(1).select(F.inline(F.array(*reports)))
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "last")})
+
+
+# --- reload ------------------------------------------------------------------
+
+LATE = "transaction_dt BETWEEN DATE '1998-02-10' AND DATE '1998-03-20'"
+
+
+@register("ledger_rollup_reload", f"""
+WITH {ACC_DATA}, {ACC_AGGREGATE}
+SELECT company_id, account_id, period_dt, CAST(amount AS DOUBLE) AS amount, currency_code,
+       'p' || strftime(period_dt, '%Y%m01') AS part FROM acc_aggregate""")
+def ledger_rollup_reload(spark, sf):
+    """The rollup loaded before some rows came, after they came, and once more."""
+    fact, rollup = create_ledger(spark, scratch_namespace(spark))
+    rows = bindings.fact(spark, sf)
+    write_monthly(rows.filter(f"not ({LATE})"), fact, "transaction_dt")
+    load_rollup(spark, fact, rollup)
+    write_monthly(rows.filter(LATE), fact, "transaction_dt")
+    for _ in range(2):
+        load_rollup(spark, fact, rollup)
+    return spark.table(rollup).withColumn("amount", F.col("amount").cast("double"))
