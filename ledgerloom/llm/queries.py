@@ -134,7 +134,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sequence as read back from the shards; token_ids_sha256 is over the
     little-endian ids, the end mark included."""
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
     tokens = bpe.encode(docs, ranks(), ends=None, packed="<u2").select("doc_id", "ids", "file", "row")
     path, layout, n = training_order.materialise(tokens, key=4, end_id=END_OF_TEXT, vocabulary=END_OF_TEXT + 1)

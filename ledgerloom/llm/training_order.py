@@ -9,32 +9,39 @@ slot can be computed, and inverted, from key and N alone.
 
 Shard s holds the slots [s * per_shard, (s + 1) * per_shard) as records of one stride, so
 slot i lies at byte (i % per_shard) * stride of shard i // per_shard. A reader goes
-through the files in order and can begin again at any slot. A record is: doc_id (int64),
-part (int32), ids used (int32), ``length`` ids (uint16, or uint32 for large
+through the files in order and can begin again at any slot. A record is: slot (int64),
+doc_id (int64), part (int32), ids used (int32), ``length`` ids (uint16, or uint32 for large
 vocabularies), and a line end, which Spark's text writer puts there.
 
-Shards are written in waves of slot ranges. A wave shuffles only its own sequences and
-commits its folder; a run that is repeated with the same path skips committed waves.
+Shards are written in waves of slot ranges. A wave deals its sequences to partitions by
+shard, exactly one shard a partition, sorts each and commits its folder. A run that is
+repeated with the same path skips committed waves; a manifest beside them holds what the
+slots depend on, and a run with other values is refused.
 """
 
 from __future__ import annotations
 
-import math
+import json
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import forget_at_exit, importable, staged
+from ledgerloom.llm.common import discard, forget_at_exit, importable, staged
 from ledgerloom.shared import scratch_path
 
-HEAD = struct.Struct("<qii")
+HEAD = struct.Struct("<qqii")
 NO_ID = -(1 << 63)  # stands for a null doc_id
 ROUNDS = 6
-SHARD_BYTES = 8 << 20
+# Shards grow with the table between these sizes, so that there are about SHARDS of them; a
+# wave has at most WAVE_SHARDS, and a table of more than one shard is written in two waves
+# at least, which halves the temporary space.
+SHARD_BYTES, MOST_SHARD_BYTES, SHARDS, WAVE_SHARDS = 8 << 20, 128 << 20, 10_000, 10_000
+MOST_REPLICATED = 1 << 20  # slices up to which their offsets are replicated
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _U = np.uint64
 
 
@@ -76,14 +83,15 @@ class Permutation:
 
 
 class Layout:
-    """Sizes that follow from the sequence length and the vocabulary."""
+    """Sizes that follow from the sequence length, the vocabulary and the table's size."""
 
-    def __init__(self, length: int, vocabulary: int):
+    def __init__(self, length: int, vocabulary: int, n: int = 0):
         self.length = length
         self.kind = np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
         self.stride = HEAD.size + length * self.kind.itemsize + 1
-        self.per_shard = max(1, SHARD_BYTES // self.stride)
-        self.record = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("used", "<i4"), ("ids", self.kind, (length,)), ("end", "u1")])
+        shard = min(max(SHARD_BYTES, MOST_SHARD_BYTES), max(SHARD_BYTES, n * self.stride // SHARDS))
+        self.per_shard = max(1, shard // self.stride)
+        self.record = np.dtype([("slot", "<i8"), ("doc_id", "<i8"), ("part", "<i4"), ("used", "<i4"), ("ids", self.kind, (length,)), ("end", "u1")])
 
 
 def binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
@@ -93,98 +101,138 @@ def binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
 
 
 def numbered(tokens: DataFrame, layout: Layout, end_id: int) -> DataFrame:
-    """Stage (doc_id, ids, slice, before): the ids as bytes with the end mark, and the
-    number of sequences before the row in its slice. A slice is a run of rows of one
+    """Stage (doc_id, ids, file, first, before, begins): the ids as bytes with the end mark,
+    and the number of sequences before the row in its slice. A slice is a run of rows of one
     file that a task reads in order; (file, first row) orders the slices of a table
-    whatever the tasks. A DataFrame of other origin is ordered by task."""
+    whatever the tasks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, last, first, before = None, None, 0, 0
+        end = layout.kind.type(end_id).tobytes()
+        stride = layout.length * layout.kind.itemsize
         for batch in batches:
             doc_ids, ids, files, rows = (batch.column(i) for i in range(4))
-            end = layout.kind.type(end_id).tobytes()
-            out: list = [[], [], [], [], []]
-            for doc, own, name, row in zip(doc_ids.to_pylist(), ids, files.to_pylist(), rows.to_pylist()):
-                if name != file or row != last + 1:
+            out: list = [[], [], [], [], [], []]
+            for doc, own, name, row in zip(doc_ids.to_pylist(), ids.to_pylist(), files.to_pylist(), rows.to_pylist()):
+                begins = name != file or row != last + 1
+                if begins:
                     file, first, before = name, row, 0
                 last = row
-                body = (own.as_py() or b"") + end
-                for column, value in zip(out, (doc, body, file, first, before)):
+                body = (own or b"") + end
+                for column, value in zip(out, (doc, body, file, first, before, begins)):
                     column.append(value)
-                before += -(-len(body) // (layout.length * layout.kind.itemsize))
-            kinds = (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "ids", "file", "first", "before"])
+                before += -(-len(body) // stride)
+            kinds = (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "ids", "file", "first", "before", "begins"])
 
-    made = tokens.select("doc_id", "ids", "file", "row").mapInArrow(count, "doc_id long, ids binary, file string, first long, before long")
+    made = tokens.select("doc_id", "ids", "file", "row").mapInArrow(count, "doc_id long, ids binary, file string, first long, before long, begins boolean")
     return staged(made, "sequences", **{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"})
 
 
-def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, length: int = 256, waves: int = 4, path: str | None = None) -> tuple[str, Layout, int]:
+def offsets(held: DataFrame, layout: Layout) -> DataFrame:
+    """(file, first, base, slices, n): per slice the sequences before it. Prefix sums over
+    the slices of a file, and over the files."""
+    parts = F.ceil(F.octet_length("ids") / (layout.kind.itemsize * layout.length))
+    slices = held.groupBy("file", "first").agg(F.sum(parts).alias("n"), F.count_if("begins").alias("slices"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.sum("n").over(earlier(Window.partitionBy("file").orderBy("first")))
+    files = slices.groupBy("file").agg(F.sum("n").alias("_all"))
+    before = files.select(F.col("file").alias("_file"), F.sum("_all").over(earlier(Window.orderBy("file"))).alias("_before"))
+    joined = slices.withColumn("_inside", inside).join(before, F.col("file").eqNullSafe(F.col("_file")))
+    base = F.coalesce("_inside", F.lit(0)) + F.coalesce("_before", F.lit(0))
+    return staged(joined.select("file", "first", base.alias("base"), "slices", "n"), "slices")
+
+
+def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, length: int = 256, path: str | None = None) -> tuple[str, Layout, int]:
     """Write the shards of (doc_id, ids, file, row); return folder, layout and N. ``ids``
     are the bytes of the layout's number type.
 
-    A document without ids (or null ids) is one sequence that holds the end mark. Equal
-    rows are sequences of their own. An empty table writes nothing. ``file`` and ``row``
-    number the rows of the table.
+    A document without ids (or null ids) is one sequence that holds the end mark; a null
+    doc_id stays null. Equal rows are sequences of their own. An empty table writes nothing.
+    ``file`` and ``row`` give the rows their order and must tell any two rows apart, so take
+    the whole path of the file; if they don't, that is an error. Other columns don't matter.
     """
-    spark, layout = tokens.sparkSession, Layout(length, vocabulary)
+    spark = tokens.sparkSession
     importable(spark)
-    held = numbered(tokens, layout, end_id)
-    size = layout.kind.itemsize
-    parts = F.ceil(F.octet_length("ids") / (size * length))
-    totals = held.groupBy("file", "first").agg(F.sum(parts).alias("n")).orderBy("file", "first").collect()  # a row per slice
-    n, base = 0, {}
-    for row in totals:
-        base[row["file"], row["first"]] = n
-        n += row["n"]
+    held = numbered(tokens, Layout(length, vocabulary), end_id)
+    starts = offsets(held, Layout(length, vocabulary))
+    total = starts.agg(F.sum("n").alias("n"), F.max("slices").alias("slices"), F.count("*").alias("count")).first()
+    n = total["n"] or 0
+    if (total["slices"] or 0) > 1:
+        raise ValueError("file and row don't tell the rows apart")
+    layout = Layout(length, vocabulary, n)
     if path is None:
         path = scratch_path(spark, "shards")
         forget_at_exit(spark, path)
+    if not n:
+        return path, layout, 0
     shards = -(-n // layout.per_shard)
-    waves = max(1, min(waves, shards))
-    permutation = Permutation(n, key)
+    waves = max(min(2, shards), -(-shards // WAVE_SHARDS))
+    agree(spark, path, {"key": key, "n": n, "length": length, "vocabulary": vocabulary, "end_id": end_id, "per_shard": layout.per_shard, "waves": waves})
+    if total["count"] <= MOST_REPLICATED:
+        starts = F.broadcast(starts)
+    own = starts.select(F.col("file").alias("_file"), F.col("first").alias("_first"), "base")
+    met = F.col("file").eqNullSafe(F.col("_file")) & (F.col("first") == F.col("_first"))
+    ready = held.join(own, met).select("doc_id", "ids", (F.col("base") + F.col("before")).alias("start"))
+    permutation, size = Permutation(n, key), layout.kind.itemsize
 
     def place(low: int, high: int):
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for begin in range(0, batch.num_rows, 256):
-                    yield records(batch.slice(begin, 256))
+                for begin in range(0, batch.num_rows, 512):
+                    yield records(batch.slice(begin, 512))
 
         def records(batch: pa.RecordBatch) -> pa.RecordBatch:
-            docs, bodies, files, firsts, befores = (batch.column(i).to_pylist() for i in range(5))
-            counts = np.array([-(-len(b) // (size * length)) for b in bodies], np.int64)
+            bodies = batch.column(1).to_pylist()
+            sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) // size
+            counts = -(-sizes // length)
             owner = np.repeat(np.arange(len(counts)), counts)
             part = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-            start = np.array([base[f, r] + b for f, r, b in zip(files, firsts, befores)], np.int64)
-            slot = permutation.slots(start[owner] + part)
+            slot = permutation.slots(batch.column(2).to_numpy()[owner] + part)
             mine = np.flatnonzero((slot >= low) & (slot < high))
-            flat = np.frombuffer(b"".join(bodies), layout.kind)
-            sizes = np.array([len(b) // size for b in bodies], np.int64)
-            begins = (np.cumsum(sizes) - sizes)[owner[mine]] + part[mine] * length
-            used = np.minimum(length, sizes[owner[mine]] - part[mine] * length)
+            slot, owner, part = slot[mine], owner[mine], part[mine]
+            flat = np.append(np.frombuffer(b"".join(bodies), layout.kind), np.full(length, end_id, layout.kind))
+            begins = (np.cumsum(sizes) - sizes)[owner] + part * length
             made = np.zeros(len(mine), layout.record)
-            made["doc_id"] = np.array([NO_ID if d is None else d for d in docs], np.int64)[owner[mine]]
-            made["part"], made["used"] = part[mine], used
-            place = np.arange(length)[None]
-            inside = place < used[:, None]
-            made["ids"] = np.where(inside, flat[np.where(inside, begins[:, None] + place, 0)], layout.kind.type(end_id))
+            made["slot"] = slot
+            made["doc_id"] = batch.column(0).fill_null(NO_ID).to_numpy()[owner]
+            made["part"], made["used"] = part, np.minimum(length, sizes[owner] - part * length)
+            made["ids"] = np.lib.stride_tricks.sliding_window_view(flat, length)[begins]
+            short = np.flatnonzero(made["used"] < length)
+            made["ids"][short] = np.where(np.arange(length) < made["used"][short, None], made["ids"][short], layout.kind.type(end_id))
             raw = made.view(np.uint8).reshape(len(mine), layout.stride)[:, :-1]
             body = binaries(raw.tobytes(), np.full(len(mine), layout.stride - 1))
-            return pa.RecordBatch.from_arrays([pa.array(slot[mine]), body], ["slot", "body"])
+            return pa.RecordBatch.from_arrays([pa.array(slot), body], ["slot", "body"])
 
         return step
 
-    for wave in range(waves if n else 0):
-        first, last = shards * wave // waves, shards * (wave + 1) // waves
-        if not done(spark, f"{path}/wave={wave}"):
-            rows = held.mapInArrow(place(first * layout.per_shard, last * layout.per_shard), "slot long, body binary")
-            shard = (F.col("slot") / layout.per_shard).cast("long")
-            dealt = rows.withColumn("shard", shard).repartition(last - first, "shard").sortWithinPartitions("shard", "slot")
-            dealt.select(F.col("body").cast("string").alias("value"), "shard").write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").text(f"{path}/wave={wave}")
-            spark._jvm.System.gc()  # lets Spark drop the wave's shuffle files
+    kept = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # a wave's shuffle files go when it is written
+    try:
+        for wave in range(waves):
+            first, last = shards * wave // waves, shards * (wave + 1) // waves
+            if not done(spark, f"{path}/wave={wave}"):
+                rows = ready.mapInArrow(place(first * layout.per_shard, last * layout.per_shard), "slot long, body binary")
+                shard = rows.withColumn("shard", F.floor(F.col("slot") / F.lit(layout.per_shard)).cast("long"))
+                dealt = shard.repartitionById(last - first, (F.col("shard") - first).cast("int")).sortWithinPartitions("shard", "slot")
+                dealt.select(F.col("body").cast("string").alias("value"), "shard").write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").text(f"{path}/wave={wave}")
+    finally:
+        spark.conf.unset(CLEANUP) if kept is None else spark.conf.set(CLEANUP, kept)
+    discard(held)
     return path, layout, n
 
 
+def agree(spark: SparkSession, path: str, values: dict) -> None:
+    """Write the manifest of a folder of shards, or compare it with the one it has."""
+    folder, text = f"{path}/manifest", json.dumps(values, sort_keys=True)
+    if done(spark, folder):
+        held = "".join(r["value"] for r in spark.read.text(folder).collect())  # one line
+        if held != text:
+            raise ValueError(f"{path} holds shards of {held}, not of {text}")
+        return
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+
+
 def done(spark: SparkSession, folder: str) -> bool:
     mark = spark._jvm.org.apache.hadoop.fs.Path(folder + "/_SUCCESS")
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
@@ -204,6 +252,8 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int =
                 for begin in range(0, len(raw), 2048):
                     rows = raw[begin : begin + 2048]
                     place = np.arange(begin, begin + len(rows))
+                    if (rows["slot"] != place + shard * layout.per_shard).any():
+                        raise ValueError(f"shard {shard} holds a record out of its place")
                     keep = place + shard * layout.per_shard >= from_slot
                     rows, place = rows[keep], place[keep]
                     inside = np.arange(layout.length)[None] < rows["used"][:, None]
@@ -214,7 +264,7 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int =
                         names,
                     )
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{path}/wave=*")
     number = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long")
     wanted = files.select(number.alias("shard"), "content").filter(F.col("shard") >= from_slot // layout.per_shard)
     return wanted.mapInArrow(step, schema)
