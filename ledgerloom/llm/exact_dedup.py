@@ -187,23 +187,24 @@ def labelled(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns. Rows whose digest no other row
-    shares pass without a shuffle; the rest meet their group by an equi-join. Of fully
-    repeated rows one is kept."""
+    """The documents that stay, with all their columns, whatever their names. Rows whose
+    digest no other row shares pass without a shuffle; the rest meet their group by an
+    equi-join. Of fully repeated rows one is kept; null texts equal empty ones."""
     _, groups = deduplicate(docs)
     several = staged(groups.filter("n > 1").select("digest", "sha", "best"), "dedup-several")
     likely = bits.prefilter(several, "digest", several.count())
-    named = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.struct(F.xxhash64(normalised(F.col("`text`"))).alias("digest"), F.sha2(normalised(F.col("`text`")), 256).alias("sha")).alias("__key"),
+    norm = normalised(F.col("`text`"))
+    named = docs.select(  # the row is held in one column, so that no other can clash with its own
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(F.xxhash64(norm).alias("digest"), F.sha2(norm, 256).alias("sha")).alias("key"),
+        F.struct(code_points(F.col("`text`")).alias("points"), (-F.col("`doc_id`").cast("long")).alias("minus_id")).alias("own"),
     )
-    maybe = likely.holds(F.col("__key.digest"))
+    maybe = likely.holds(F.col("key.digest"))
     winners = several.select(
-        F.struct("digest", "sha").alias("__key"),
-        F.struct(F.col("best.points").alias("points"), F.col("best.minus_id").alias("minus_id")).alias("__best"),
+        F.struct("digest", "sha").alias("key"),
+        F.struct(F.col("best.points").alias("points"), F.col("best.minus_id").alias("minus_id")).alias("best"),
     )
-    met = named.filter(maybe).join(winners, "__key", "left")
-    own = F.struct(code_points(F.col("`text`")).alias("points"), (-F.col("`doc_id`").cast("long")).alias("minus_id"))
-    met = met.filter(F.col("__best").isNull() | F.col("__best").eqNullSafe(own))
-    met = met.withColumn("__once", F.when(F.col("__best").isNull(), F.uuid()).otherwise(F.col("__key.sha")))
-    return named.filter(~maybe).select(*docs.columns).unionByName(met.dropDuplicates(["__once"]).select(*docs.columns))
+    near = named.filter(maybe)
+    alone = near.join(winners, "key", "left_anti").select("row")  # the filter had let them through by mistake
+    first = near.join(winners, "key").filter(F.col("best").eqNullSafe(F.col("own"))).dropDuplicates(["key"]).select("row")
+    return named.filter(~maybe).select("row").unionByName(alone).unionByName(first).select("row.*")

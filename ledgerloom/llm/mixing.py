@@ -76,17 +76,24 @@ def apportion(votes: list[float], seats: int, most: list[int] | None = None) ->
     return given
 
 
-def plan_sources(sources: DataFrame, weights: tuple, most_repeats: int, block_tokens: int) -> DataFrame:
-    """One row per source with its target and its quota of blocks."""
+def plan_sources(sources: DataFrame, weights: tuple, most_repeats: int, block_tokens: int) -> tuple[DataFrame, int]:
+    """One row per source with its target and its quota of blocks, and the words of a block."""
     rows = sources.collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"over {MOST_SOURCES} sources; mix groups of sources instead")
     rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be")))
     sizes = [r["source_size"] for r in rows]
     targets = share(sizes, [float(weights[i % len(weights)]) for i in range(len(rows))], most_repeats)
+    block_tokens = block_size(targets, block_tokens)
     quotas = apportion(targets, round(sum(sizes) / block_tokens))
     made = [(r["source"], r["source_size"], t, q) for r, t, q in zip(rows, targets, quotas)]
-    return sources.sparkSession.createDataFrame(made, "source string, source_size long, target double, quota long")
+    return sources.sparkSession.createDataFrame(made, "source string, source_size long, target double, quota long"), block_tokens
+
+
+def block_size(targets: list[float], most: int) -> int:
+    """Words of a block: few enough that the smallest target is 32 blocks or more, so that
+    a quota of whole blocks comes near every target; at least one, at most ``most``."""
+    return max(1, min(most, int(min((t for t in targets if t > 0), default=32 * most) // 32)))
 
 
 def shard_quotas(shards: DataFrame, most_repeats: int, block_tokens: int, seed: int) -> DataFrame:
@@ -130,12 +137,13 @@ def mix(
     shard_rows: int = 20_000,
     seed: int = 20,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, row_no.
+    """One row per document: doc_id, source, size, source_size, target, taken, draw.
 
     ``size`` is the number of words (a null text has none); ``taken`` the words the mix
     takes of it, repeats counted, at most ``most_repeats`` times the size. A null source
     is a source of its own, the last. Equal rows are dealt as rows of their own; empty
-    documents take nothing; an empty table gives no rows. The result depends on the
+    documents take nothing; an empty table gives no rows; other columns don't matter. Blocks
+    have ``block_tokens`` words, or fewer where a source's target is small. The result depends on the
     rows and the seed alone (equal rows may swap places).
     """
     sized = staged(
@@ -149,7 +157,7 @@ def mix(
     )
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     sources = staged(sources.coalesce(1), "mix-sources")
-    plan = plan_sources(sources.select("source", "source_size"), weights, most_repeats, block_tokens)
+    plan, block_tokens = plan_sources(sources.select("source", "source_size"), weights, most_repeats, block_tokens)
     plan = staged(
         plan.join(sources.select("source", "docs"), plan["source"].eqNullSafe(sources["source"])).select(
             plan["*"],
@@ -175,19 +183,20 @@ def mix(
 
 
 def repeated(docs: DataFrame, seed: int = 20, **options) -> DataFrame:
-    """The mix as documents: each row as many times as the mix takes it, all columns kept.
+    """The mix as documents: each row as many times as the mix takes it, with all columns,
+    whatever their names.
 
     A fraction of a document becomes a whole one with that chance, by a seeded draw of
     the row, so a source keeps its words on average; no row comes more than
     ``most_repeats`` times. Rows of one id and text share what the mix takes of them.
+    Documents without words have no share in a mix of words and are left out.
     """
-    share = mix(docs, seed=seed, **options).groupBy("draw").agg(
-        F.sum("taken").alias("__taken"), F.sum("size").alias("__size")
-    )
+    share = mix(docs, seed=seed, **options).groupBy("draw").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     text, own = F.col("`text`"), F.col("`doc_id`").cast("long")
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64(own, text, F.lit(seed)).alias("__draw"))
-    met = keyed.join(share.withColumnRenamed("draw", "__draw"), "__draw")
-    chance = F.pmod(F.xxhash64("__draw", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    times = F.floor(F.col("__taken") / F.col("__size") + chance).cast("int")
-    some = met.filter(F.col("__size") > 0).withColumn("__times", times).filter("__times > 0")
-    return some.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row is held in one column, so that no other can clash with its own
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(own, text, F.lit(seed)).alias("draw"))
+    met = keyed.join(share, "draw")
+    chance = F.pmod(F.xxhash64("draw", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
+    times = F.floor(F.col("taken") / F.col("size") + chance).cast("int")
+    some = met.filter(F.col("size") > 0).withColumn("times", times).filter("times > 0")
+    return some.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

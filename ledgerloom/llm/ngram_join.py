@@ -463,18 +463,21 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
     # only rows whose id occurs in a component are looked at again
     ids = described.join(linked.select("set_id"), "set_id").select(F.xxhash64("doc_id").alias("h")).distinct()
     ids = staged(ids, "join-ids")
-    own = F.col("`doc_id`").cast("long")
-    maybe = bits.prefilter(ids, "h", ids.count()).holds(F.xxhash64(own))
+    likely = bits.prefilter(ids, "h", ids.count())
 
     def make():
         shingler = Shingler(width)
         return lambda texts: [pa.array([identity(s) if len(s) else None for s in shingler.sets(texts.to_pylist())], pa.binary())]
 
-    met = with_columns(docs.filter(maybe), ["text"], [("__own", T.BinaryType())], make).join(named, F.col("__own") == F.col("__set"), "left")
-    stay = staged(met.filter(F.col("__set").isNull() | F.col("__best") & own.eqNullSafe(F.col("__least"))).drop("__own", "__least", "__best"), "join-stay")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # the row is held in one column, so that no other can clash with its own
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    maybe = likely.holds(F.xxhash64(F.col("row.doc_id").cast("long")))
+    looked_at = whole.filter(maybe).withColumn("text", F.col("row.text").cast("string"))
+    met = with_columns(looked_at, ["text"], [("own", T.BinaryType())], make).join(named, F.col("own") == F.col("__set"), "left")
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("__least"))
+    stay = staged(met.filter(F.col("__set").isNull() | F.col("__best") & same).select("row", "text", "__set", "__docs"), "join-stay")
     single = F.col("__set").isNull() | (F.col("__docs") == 1)
-    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    order = F.struct(F.col("text"), F.xxhash64(*plain))  # of rows of one id and set
-    ones = stay.filter(~single).groupBy("__set").agg(F.min_by(F.struct(*columns), order).alias("__row")).select("__row.*")
-    return docs.filter(~maybe).unionByName(stay.filter(single).select(*columns)).unionByName(ones)
+    plain = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = F.struct("text", F.xxhash64(*plain))  # of rows of one id and set
+    ones = stay.filter(~single).groupBy("__set").agg(F.min_by("row", order).alias("row")).select("row")
+    return whole.filter(~maybe).unionByName(stay.filter(single).select("row")).unionByName(ones).select("row.*")
