@@ -19,8 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that score below one half."""
     labels = pick(table(spark, sf_dir, "labels"), ("doc_id", "long"), ("toxic", "int"))
     model = toxicity.train_model(pick(docs, ("doc_id", "long"), ("text", "string")), labels)
-    scored = toxicity.score(docs, model, score="__score", passages="__passages")
-    return scored.filter(F.col("__score") < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row is held in one column, so that no other can clash with its own
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
+    return toxicity.score(whole, model).filter(F.col("score") < 0.5).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
