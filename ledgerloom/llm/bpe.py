@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from collections.abc import Callable
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -342,6 +343,17 @@ def _packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
 
 
+def encoder(ranks: str) -> Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]]:
+    """What a task makes once, to encode arrays of texts: all ids in a row and the number of
+    each text's; null texts count as empty."""
+
+    def make():
+        vocabulary = Vocabulary.read(ranks)
+        return lambda texts: vocabulary.encode([t or "" for t in texts.to_pylist()])
+
+    return make
+
+
 def encode(
     df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", ends: str | None = "token_ends", packed: str | None = None
 ) -> DataFrame:

@@ -136,8 +136,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    tokens = bpe.encode(docs, ranks(), ends=None, packed="<u2").select("doc_id", "ids", "file", "row")
-    path, layout, n = training_order.materialise(tokens, key=4, end_id=END_OF_TEXT, vocabulary=END_OF_TEXT + 1)
+    path, layout, n = training_order.materialise(docs, key=4, end_id=END_OF_TEXT, vocabulary=END_OF_TEXT + 1, encoder=bpe.encoder(ranks()))
     schema = "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, token_ids_sha256 string"
     if not n:
         return spark.createDataFrame([], schema)

@@ -23,25 +23,26 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import discard, forget_at_exit, importable, staged
+from ledgerloom.llm.common import discard, forget_at_exit, importable, slices, staged
 from ledgerloom.shared import scratch_path
 
 HEAD = struct.Struct("<qqii")
 NO_ID = -(1 << 63)  # stands for a null doc_id
 ROUNDS = 6
 # Shards grow with the table between these sizes, so that there are about SHARDS of them; a
-# wave has at most WAVE_SHARDS, and a table of more than one shard is written in two waves
-# at least, which halves the temporary space.
-SHARD_BYTES, MOST_SHARD_BYTES, SHARDS, WAVE_SHARDS = 8 << 20, 128 << 20, 10_000, 10_000
+# wave has at most WAVE_SHARDS, and there are LEAST_WAVES of them where there are as many
+# shards, since a wave's share of the records is in temporary space at a time.
+SHARD_BYTES, MOST_SHARD_BYTES, SHARDS, WAVE_SHARDS, LEAST_WAVES = 8 << 20, 128 << 20, 10_000, 10_000, 3
 MOST_REPLICATED = 1 << 20  # slices up to which their offsets are replicated
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+Encoder = Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]]
 _U = np.uint64
 
 
@@ -100,32 +101,41 @@ def binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
-def numbered(tokens: DataFrame, layout: Layout, end_id: int) -> DataFrame:
+def numbered(tokens: DataFrame, layout: Layout, end_id: int, encoder: Encoder | None = None) -> DataFrame:
     """Stage (doc_id, ids, file, first, before, begins): the ids as bytes with the end mark,
     and the number of sequences before the row in its slice. A slice is a run of rows of one
     file that a task reads in order; (file, first row) orders the slices of a table
     whatever the tasks."""
+    names = ["doc_id", "ids", "file", "first", "before", "begins"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder() if encoder else None
         file, last, first, before = None, None, 0, 0
-        end = layout.kind.type(end_id).tobytes()
-        stride = layout.length * layout.kind.itemsize
         for batch in batches:
-            doc_ids, ids, files, rows = (batch.column(i) for i in range(4))
-            out: list = [[], [], [], [], [], []]
-            for doc, own, name, row in zip(doc_ids.to_pylist(), ids.to_pylist(), files.to_pylist(), rows.to_pylist()):
-                begins = name != file or row != last + 1
-                if begins:
-                    file, first, before = name, row, 0
-                last = row
-                body = (own or b"") + end
-                for column, value in zip(out, (doc, body, file, first, before, begins)):
-                    column.append(value)
-                before += -(-len(body) // stride)
-            kinds = (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "ids", "file", "first", "before", "begins"])
-
-    made = tokens.select("doc_id", "ids", "file", "row").mapInArrow(count, "doc_id long, ids binary, file string, first long, before long, begins boolean")
+            for piece in slices(batch):
+                doc_ids, own, files, rows = (piece.column(i) for i in range(4))
+                if encode:
+                    flat, counts = encode(own)
+                else:
+                    held = [x or b"" for x in own.to_pylist()]
+                    flat, counts = np.frombuffer(b"".join(held), layout.kind), np.fromiter(map(len, held), np.int64, len(held)) // layout.kind.itemsize
+                ends = np.cumsum(counts)
+                ids = np.insert(flat.astype(layout.kind), ends, layout.kind.type(end_id))
+                sequences = -(-(counts + 1) // layout.length)
+                out: list = [[], [], []]
+                for name, row, n in zip(files.to_pylist(), rows.to_pylist(), sequences.tolist()):
+                    begins = name != file or row != last + 1
+                    if begins:
+                        file, first, before = name, row, 0
+                    last = row
+                    for column, value in zip(out, (first, before, begins)):
+                        column.append(value)
+                    before += n
+                made = [doc_ids, binaries(ids.tobytes(), (counts + 1) * layout.kind.itemsize), files]
+                made += [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays(made, names)
+
+    made = tokens.select("doc_id", "text" if encoder else "ids", "file", "row").mapInArrow(count, "doc_id long, ids binary, file string, first long, before long, begins boolean")
     return staged(made, "sequences", **{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"})
 
 
@@ -133,19 +143,21 @@ def offsets(held: DataFrame, layout: Layout) -> DataFrame:
     """(file, first, base, slices, n): per slice the sequences before it. Prefix sums over
     the slices of a file, and over the files."""
     parts = F.ceil(F.octet_length("ids") / (layout.kind.itemsize * layout.length))
-    slices = held.groupBy("file", "first").agg(F.sum(parts).alias("n"), F.count_if("begins").alias("slices"))
+    runs = held.groupBy("file", "first").agg(F.sum(parts).alias("n"), F.count_if("begins").alias("slices"))
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.sum("n").over(earlier(Window.partitionBy("file").orderBy("first")))
-    files = slices.groupBy("file").agg(F.sum("n").alias("_all"))
+    files = runs.groupBy("file").agg(F.sum("n").alias("_all"))
     before = files.select(F.col("file").alias("_file"), F.sum("_all").over(earlier(Window.orderBy("file"))).alias("_before"))
-    joined = slices.withColumn("_inside", inside).join(before, F.col("file").eqNullSafe(F.col("_file")))
+    joined = runs.withColumn("_inside", inside).join(before, F.col("file").eqNullSafe(F.col("_file")))
     base = F.coalesce("_inside", F.lit(0)) + F.coalesce("_before", F.lit(0))
     return staged(joined.select("file", "first", base.alias("base"), "slices", "n"), "slices")
 
 
-def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, length: int = 256, path: str | None = None) -> tuple[str, Layout, int]:
+def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, length: int = 256, path: str | None = None, encoder: Encoder | None = None) -> tuple[str, Layout, int]:
     """Write the shards of (doc_id, ids, file, row); return folder, layout and N. ``ids``
-    are the bytes of the layout's number type.
+    are the bytes of the layout's number type. With an ``encoder`` the rows have a ``text``
+    instead: called once per task, it gives a function from an array of texts to all their
+    ids in a row and the number of each, so that texts go to a worker once and don't return.
 
     A document without ids (or null ids) is one sequence that holds the end mark; a null
     doc_id stays null. Equal rows are sequences of their own. An empty table writes nothing.
@@ -154,7 +166,7 @@ def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, lengt
     """
     spark = tokens.sparkSession
     importable(spark)
-    held = numbered(tokens, Layout(length, vocabulary), end_id)
+    held = numbered(tokens, Layout(length, vocabulary), end_id, encoder)
     starts = offsets(held, Layout(length, vocabulary))
     total = starts.agg(F.sum("n").alias("n"), F.max("slices").alias("slices"), F.count("*").alias("count")).first()
     n = total["n"] or 0
@@ -167,7 +179,7 @@ def materialise(tokens: DataFrame, key: int, end_id: int, vocabulary: int, lengt
     if not n:
         return path, layout, 0
     shards = -(-n // layout.per_shard)
-    waves = max(min(2, shards), -(-shards // WAVE_SHARDS))
+    waves = max(min(LEAST_WAVES, shards), -(-shards // WAVE_SHARDS))
     agree(spark, path, {"key": key, "n": n, "length": length, "vocabulary": vocabulary, "end_id": end_id, "per_shard": layout.per_shard, "waves": waves})
     if total["count"] <= MOST_REPLICATED:
         starts = F.broadcast(starts)
