@@ -59,6 +59,10 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Degrees between the mean of an observation and its extremes: three measures that differ.
+SPAN = 2.5
+
+
 def weather_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw observations: 'error' events have no city, and an index column
     is left over from the file's origin."""
@@ -69,8 +73,8 @@ def weather_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("date"),
         F.lit("winter").alias("season"),
         value.alias("avg_temp_c"),
-        value.alias("min_temp_c"),
-        value.alias("max_temp_c"),
+        (value - SPAN).alias("min_temp_c"),
+        (value + SPAN).alias("max_temp_c"),
         *[F.lit(None).cast("double").alias(m) for m in MEASURES[3:]],
         F.col("event_id").alias("__index_level_0__"),
     )
@@ -85,6 +89,6 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("city_name"),
         F.col("ts").alias("dt"),
         value.alias("avg_temp_c"),
-        value.alias("min_temp_c"),
-        value.alias("max_temp_c"),
+        (value - SPAN).alias("min_temp_c"),
+        (value + SPAN).alias("max_temp_c"),
     )

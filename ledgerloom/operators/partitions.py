@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.periods import cutoff, label_month, label_of, month_start, partition_label
-from ledgerloom.sinks.tables import append_rows
+from ledgerloom.sinks.tables import append_rows, set_property, table_property
 
 PART = "part"
 DEFAULT = "default"
@@ -200,35 +200,44 @@ def copy_missing(source: DataFrame, table: str, day: str) -> list[MonthCheck]:
     return checks
 
 
-# Table property: a backfill has begun; the rows the table has to hold at its end.
+# Table property: a backfill has begun; the rows that waited in default then, and those
+# that lay in their months.
 RUNNING = "ledgerloom.backfill_rows"
 
 
+def _rows_in(spark: SparkSession, table: str, labels: list[str]) -> int:
+    """Rows of some partitions, from the file footers."""
+    return spark.table(table).filter(F.col(PART).isin(labels)).count()
+
+
 def backfill(spark: SparkSession, table: str, day: str) -> list[MonthCheck]:
     """Move the rows out of default into monthly partitions, making those that are
     missing. Default is dropped only when every row has been found again.
 
     Rows equal to rows of their month are rows of their own and are moved as well. A
     table property marks a run that has begun: only a run that finds the mark of one
-    that died takes equal rows for rows moved already, and it drops default only if
-    the months then hold as many rows as the first run had counted.
+    that died takes equal rows for rows moved already. It drops default only if the
+    months hold at least what lay in them when the first run began and what waits now:
+    rows that came in between, to default or to a month, do not stand in its way.
     """
     if DEFAULT not in list_partitions(spark, table):
         return []
     waiting = spark.table(table).filter(F.col(PART) == DEFAULT).withColumn(PART, partition_label(F.col(day)))
-    begun = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(RUNNING)
-    if begun is None:
-        expected = spark.table(table).count()
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RUNNING}' = '{expected}')")
+    labels = [r[PART] for r in waiting.select(PART).distinct().collect()]  # a row per month
+    count = _rows_in(spark, table, [DEFAULT])
+    mark = table_property(spark, table, RUNNING)
+    if mark is None:
+        held = _rows_in(spark, table, labels)
+        set_property(spark, table, RUNNING, f"{count},{held}")
         check = copy_all(waiting, table, day)
     else:
-        expected = int(begun)
+        held = int(mark.split(",")[1])
         check = copy_missing(waiting, table, day)
     lost = [c.part for c in check if not c.same]
-    if lost or spark.table(table).filter(F.col(PART) != DEFAULT).count() != expected:
+    if lost or _rows_in(spark, table, labels) < held + count:
         raise RuntimeError(f"backfill of {table} is incomplete, default is kept: {lost}")
     drop_partitions(spark, table, [DEFAULT])
-    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{RUNNING}')")
+    set_property(spark, table, RUNNING, None)
     return check
 
 

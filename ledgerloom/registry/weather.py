@@ -26,7 +26,7 @@ NEXT_DAY = dt.datetime(2024, 1, 6)
 
 WEATHER = """weather AS (
   SELECT CAST(user_id AS VARCHAR) AS station_id, event_type AS city_name, ts AS dt,
-         value AS avg_temp_c, value AS min_temp_c, value AS max_temp_c FROM events)"""
+         value AS avg_temp_c, value - 2.5::DOUBLE AS min_temp_c, value + 2.5::DOUBLE AS max_temp_c FROM events)"""
 
 
 @register("weather_count", f"WITH {WEATHER} SELECT COUNT(*) AS cnt FROM weather")
@@ -61,7 +61,7 @@ def weather_point(spark, sf):
 
 @register("weather_clean", """
 SELECT CAST(user_id AS VARCHAR) AS station_id, event_type AS city_name, ts AS date,
-       'winter' AS season, value AS avg_temp_c, value AS min_temp_c, value AS max_temp_c
+       'winter' AS season, value AS avg_temp_c, value - 2.5::DOUBLE AS min_temp_c, value + 2.5::DOUBLE AS max_temp_c
 FROM events WHERE NULLIF(event_type, 'error') IS NOT NULL""")
 def weather_clean(spark, sf):
     return plans.clean(bindings.weather_source(spark, sf)).drop(*MEASURES[3:])

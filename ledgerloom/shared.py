@@ -24,9 +24,25 @@ def shared_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
 
 
+_opened: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The application's own folder under the shared one; all of it is removed when the
+    application ends."""
+    folder = f"{shared_root(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+    if folder not in _opened:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _opened.add(folder)
+    return folder
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other job uses."""
-    return f"{shared_root(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str) -> str:

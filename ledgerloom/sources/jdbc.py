@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Rows one task should read from a database, and the most connections at a time.
+TASK_ROWS = 1_000_000
+MOST_CONNECTIONS = 64
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """Connection and table. Credentials come from the caller, never from code."""
@@ -56,7 +61,32 @@ class JdbcTable:
             options["numPartitions"] = str(partitions)
         return options
 
-    def read(self, spark: SparkSession, **split) -> DataFrame:
+    def split_query(self, column: str) -> str:
+        """What the database is asked before a split read: one row."""
+        return f"SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS cnt FROM {self.table}"
+
+    @staticmethod
+    def split_of(column: str, low, high, count: int, task_rows: int = TASK_ROWS, most: int = MOST_CONNECTIONS) -> dict:
+        """A split by the range of a column into as many parts as the table has rows for;
+        none where the column has no values. ``most`` bounds the open connections."""
+        parts = max(1, min(most, -(-count // task_rows)))
+        if low is None or parts == 1:
+            return {}
+        return {"partition_column": column, "low": low, "high": high, "partitions": parts}
+
+    def measured_split(self, spark: SparkSession, column: str, **sizes) -> dict:
+        """The split for a read of the whole table, by the bounds and the count that the
+        database gives for an indexed column."""
+        options = {k: v for k, v in self.base_options().items() if k != "dbtable"}
+        row = spark.read.format("jdbc").options(**options, query=self.split_query(column)).load().first()
+        return self.split_of(column, row[0], row[1], int(row[2]), **sizes)
+
+    def read(self, spark: SparkSession, split_on: str | None = None, **split) -> DataFrame:
+        """``split_on`` names a number, date or time column with an index: the read is split
+        by its measured range. Without it and without a range of its own, one task reads
+        everything, so leave it out only for small tables."""
+        if split_on is not None:
+            split |= self.measured_split(spark, split_on)
         return spark.read.format("jdbc").options(**self.read_options(**split)).load()
 
     def append(self, df: DataFrame, **batching) -> None:
@@ -69,7 +99,7 @@ class ParquetTable:
 
     path: str
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, split_on: str | None = None) -> DataFrame:
         return spark.read.parquet(self.path)
 
     def append(self, df: DataFrame) -> None:

@@ -180,6 +180,18 @@ def test_jdbc_options():
         remote.read_options("id", partitions=4)
 
 
+def test_a_read_of_a_remote_table_is_split_by_its_rows():
+    remote = JdbcTable("jdbc:postgresql://host/db", "public.acc_data")
+    assert remote.split_query("id") == "SELECT MIN(id) AS low, MAX(id) AS high, COUNT(*) AS cnt FROM public.acc_data"
+    split = remote.split_of("id", 1, 9_000_000, 5_500_000)
+    options = remote.read_options(**split)
+    assert (options["numPartitions"], options["lowerBound"], options["upperBound"]) == ("6", "1", "9000000")
+    assert remote.split_of("id", 1, 10**12, 10**12)["partitions"] == 64
+    assert remote.split_of("id", None, None, 0) == {} and remote.split_of("id", 1, 5, 5) == {}
+    day = remote.split_of("dt", dt.date(1750, 2, 1), dt.date(2023, 9, 5), 27_621_770)
+    assert day["partitions"] == 28 and remote.read_options(**day)["lowerBound"] == "1750-02-01"
+
+
 def test_remote_stand_in(spark, tmp_path):
     remote = ParquetTable(str(tmp_path / "remote"))
     remote.append(spark.range(10))
@@ -208,6 +220,28 @@ def test_shared_root_is_the_configured_folder(spark):
     assert shared.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_goes_when_the_application_ends(tmp_path):
+    """In a process of its own: the folder is there while it runs, and gone afterwards."""
+    import subprocess
+    import sys
+
+    code = f"""
+import os
+from ledgerloom.session import build_session
+from ledgerloom import shared
+spark = build_session("x", "local[1]", {str(tmp_path)!r}, spark__sql__warehouse__dir={str(tmp_path / 'wh')!r})
+spark.range(3).write.parquet(shared.scratch_path(spark, "a"))
+space = shared.scratch_namespace(spark)
+spark.range(3).write.saveAsTable(space + ".t")
+print(len(os.listdir(shared.scratch_folder(spark))))
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=shared.__file__.rsplit("/", 2)[0], timeout=120)
+    assert done.stdout.strip().endswith("2"), done.stderr[-2000:]
+    left = [f for f in (tmp_path / "ledgerloom").iterdir()] if (tmp_path / "ledgerloom").exists() else []
+    assert left == []
+
+
 def test_shared_root_refuses_a_local_folder_on_a_cluster():
     class Conf:
         def get(self, key, default):

@@ -49,7 +49,7 @@ def test_backfill_keeps_rows_equal_to_rows_of_their_month(spark, rows):
 def test_backfill_that_died_after_its_copy_copies_nothing_twice(spark, rows):
     name = empty(spark)
     wait(rows, name)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{partitions.RUNNING}' = '50')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{partitions.RUNNING}' = '50,0')")
     partitions.write_monthly(rows, name, DAY)
     partitions.backfill(spark, name, DAY)
     assert spark.table(name).count() == 50
@@ -61,12 +61,25 @@ def test_backfill_keeps_default_when_rows_are_missing(spark, rows):
     name = empty(spark)
     partitions.write_monthly(rows, name, DAY)
     wait(rows, name)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{partitions.RUNNING}' = '100')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{partitions.RUNNING}' = '50,50')")
     with pytest.raises(RuntimeError, match="default is kept"):
         partitions.backfill(spark, name, DAY)
     assert spark.table(name).count() == 100
 
 
+def test_rows_that_came_after_a_dead_backfill_do_not_block_the_next(spark, rows):
+    name = empty(spark)
+    wait(rows, name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{partitions.RUNNING}' = '50,0')")
+    partitions.write_monthly(rows.limit(20), name, DAY)  # it died in its copy
+    more = rows.withColumn("transaction_id", F.col("transaction_id") + 1_000_000)
+    wait(more, name)
+    partitions.write_monthly(rows.withColumn("transaction_id", F.col("transaction_id") + 2_000_000), name, DAY)
+    partitions.backfill(spark, name, DAY)
+    assert spark.table(name).count() == 150 == spark.table(name).select("transaction_id", "account_id", "amount", "transaction_dt", "custom_1").distinct().count()
+    assert partitions.DEFAULT not in partitions.list_partitions(spark, name)
+
+
 def test_retention_drops_old_rows_of_default(spark, rows):
     name = empty(spark)
     wait(rows, name)
