@@ -30,7 +30,6 @@ from ledgerloom.llm.common import is_held_out, pick, staged, with_columns
 LABELLED, POOL = 12_000, 12_000
 WORD_BUCKETS, META_BUCKETS = 480, 128
 ROUNDS, SHARE_A_ROUND, SURE = 4, 0.05, 0.9
-_LETTERS = re.compile(r"[^\W\d_]")
 
 
 def text_features(text: str | None) -> np.ndarray:
@@ -39,7 +38,7 @@ def text_features(text: str | None) -> np.ndarray:
     words, lines = text.lower().split(), [line for line in text.split("\n") if line]
     n, size = max(1, len(words)), max(1, len(text))
     counts, line_counts = Counter(words), Counter(lines)
-    letters = sum(map(str.isalpha, text)) if len(text) < 2000 else len(_LETTERS.findall(text))
+    letters = sum(map(str.isalpha, text))
     upper, digits = sum(map(str.isupper, text)), sum(map(str.isdigit, text))
     spaces = text.count(" ") + text.count("\n")
     marks = size - letters - digits - spaces
@@ -158,14 +157,17 @@ def features(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most LABELLED labelled documents, of which none is held out, and POOL
-    others. Without labels of both classes every document gets the base rate."""
+    others, one row of each id. Without labels of both classes every document gets the base rate."""
     order = F.xxhash64("doc_id", F.lit(6))
     fold = labels.filter("doc_id is not null and quality is not null").filter(~is_held_out(F.col("doc_id")))
     marked = fold.groupBy("doc_id").agg(F.max("quality").cast("double").alias("y")).orderBy(order, "doc_id").limit(LABELLED)
     rest = docs.select("doc_id").filter("doc_id is not null").filter(~is_held_out(F.col("doc_id"))).distinct()
-    pool = rest.join(labels.select("doc_id"), "doc_id", "left_anti").orderBy(order, "doc_id").limit(POOL)
+    judged = labels.filter("quality is not null").select("doc_id")  # a label without a quality says nothing of it
+    pool = rest.join(judged, "doc_id", "left_anti").orderBy(order, "doc_id").limit(POOL)
     chosen = staged(marked.unionByName(pool.withColumn("y", F.lit(None).cast("double"))), "quality-sample").withColumnRenamed("doc_id", "__id")
-    sample = features(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")))  # at most LABELLED + POOL ids
+    met = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # at most LABELLED + POOL ids
+    one = met.groupBy("__id").agg(F.min(F.struct("text", "source", "lang", "n_chars", "y")).alias("row"))  # a row each
+    sample = features(one.select("row.*"))
     rows = staged(sample, "quality-features").orderBy(F.xxhash64("text_x", "meta_x")).toArrow()
     if not rows.num_rows:
         return Model(None, None, None)

@@ -26,6 +26,7 @@ from ledgerloom.llm.common import importable, staged
 
 # Bounds: vectors the codebooks are fitted to, entries in a chunk, queries in a block.
 FIT_VECTORS = 20_000
+LEAST = 20  # times k, the entries that the opened cells hold at least
 CHUNK_ROWS, BLOCK_ROWS = 8192, 2048
 
 
@@ -124,7 +125,7 @@ def search(index: Index, queries: DataFrame, k: int, visit: float) -> DataFrame:
     itself, by exact cosine, ties to the smaller id."""
     books, cells = index.books, index.cells
     half = books[0].shape[1]
-    enough = math.ceil(visit * cells.sum()) + 1  # one more: the query is an entry as well
+    enough = max(math.ceil(visit * cells.sum()), LEAST * k) + 1  # one more: the query is an entry as well
     chunks = np.maximum(1, -(-cells.sum(1) // CHUNK_ROWS)).tolist()
     blocks = max(1, -(-queries.count() // BLOCK_ROWS))
 
@@ -192,15 +193,15 @@ def cosine(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 def neighbours(vectors: DataFrame, every: int = 50, k: int = 5, visit: float = 0.65, codes: int = 16, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The ``k`` nearest others of every vector whose id is divisible by ``every``.
 
-    ``visit`` is the share of all entries a query ranks exactly; recall grows with it.
+    ``visit`` is the share of all entries a query ranks exactly, LEAST * ``k`` of them at
+    least; recall grows with it.
     Vectors that are null, zero, or hold null or non-finite components, and rows without
     an id, take no part, neither as queries nor as candidates. Rows that repeat an id
     and a vector are one entry; a query never meets its own id. Fewer candidates than
-    ``k`` are all returned, if ``visit`` is 1; an empty table gives no rows.
+    ``k`` are all returned; an empty table gives no rows, and other columns don't matter.
     """
     sound = staged(usable(vectors, key, vector), "sound-vectors")
     index = build_index(sound, codes)
     if index is None:
         return sound.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    few = int(index.cells.sum()) <= 20 * k  # so few that every cell is visited
-    return search(index, sound.filter(F.col("vec_id") % every == 0), k, 1.0 if few else visit)
+    return search(index, sound.filter(F.col("vec_id") % every == 0), k, visit)
