@@ -96,6 +96,14 @@ def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 20) -> Iterator[pa.Reco
         yield batch.slice(start, step)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, or a longer one that no column has (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hash64(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 

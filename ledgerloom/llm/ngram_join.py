@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import bits
-from ledgerloom.llm.common import pick, slices, staged, with_columns
+from ledgerloom.llm.common import free_name, pick, slices, staged, with_columns
 from ledgerloom.llm.graph import components
 
 # Size classes grow by this factor; a set joins all classes it may find a partner in.
@@ -470,14 +470,16 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
         return lambda texts: [pa.array([identity(s) if len(s) else None for s in shingler.sets(texts.to_pylist())], pa.binary())]
 
     # the row is held in one column, so that no other can clash with its own
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    maybe = likely.holds(F.xxhash64(F.col("row.doc_id").cast("long")))
-    looked_at = whole.filter(maybe).withColumn("text", F.col("row.text").cast("string"))
-    met = with_columns(looked_at, ["text"], [("own", T.BinaryType())], make).join(named, F.col("own") == F.col("__set"), "left")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    maybe = likely.holds(F.xxhash64(F.col("`doc_id`").cast("long")))
+    own = free_name("own", docs.columns)
+    known = with_columns(docs.filter(maybe), ["text"], [(own, T.BinaryType())], make).select(row, F.col(f"`{own}`").alias("own"))
+    met = known.join(named, F.col("own") == F.col("__set"), "left")
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("__least"))
-    stay = staged(met.filter(F.col("__set").isNull() | F.col("__best") & same).select("row", "text", "__set", "__docs"), "join-stay")
+    stay = staged(met.filter(F.col("__set").isNull() | F.col("__best") & same).select("row", "__set", "__docs"), "join-stay")
     single = F.col("__set").isNull() | (F.col("__docs") == 1)
     plain = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    order = F.struct("text", F.xxhash64(*plain))  # of rows of one id and set
+    order = F.struct(F.col("row.text").alias("text"), F.xxhash64(*plain))  # of rows of one id and set
     ones = stay.filter(~single).groupBy("__set").agg(F.min_by("row", order).alias("row")).select("row")
-    return whole.filter(~maybe).unionByName(stay.filter(single).select("row")).unionByName(ones).select("row.*")
+    rest = docs.filter(~maybe).select(row)
+    return rest.unionByName(stay.filter(single).select("row")).unionByName(ones).select("row.*")
