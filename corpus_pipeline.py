@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
-from ledgerloom.llm.common import pick, staged, table
+from ledgerloom.llm.common import free_name, pick, staged, table
 from ledgerloom.llm.queries import ranks
 
 
@@ -19,9 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that score below one half."""
     labels = pick(table(spark, sf_dir, "labels"), ("doc_id", "long"), ("toxic", "int"))
     model = toxicity.train_model(pick(docs, ("doc_id", "long"), ("text", "string")), labels)
-    # the row is held in one column, so that no other can clash with its own
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
-    return toxicity.score(whole, model).filter(F.col("score") < 0.5).select("row.*")
+    score, passages = (free_name(n, docs.columns) for n in ("score", "passages"))
+    scored = toxicity.score(docs, model, score=score, passages=passages)
+    return scored.filter(F.col(f"`{score}`") < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
