@@ -205,9 +205,9 @@ def ledger_plan_report(spark, sf):
 
 @register("weather_zones", """
 SELECT 'Asia/Tokyo' AS zone, MIN(ts) AS first, MAX(ts) AS last, COUNT(*) AS cnt,
-       CAST(epoch(MIN(ts)) AS BIGINT) - 9 * 3600 AS first_seconds FROM events
+       CAST(floor(epoch(MIN(ts))) AS BIGINT) - 9 * 3600 AS first_seconds FROM events
 UNION ALL
-SELECT 'UTC', MIN(ts), MAX(ts), COUNT(*), CAST(epoch(MIN(ts)) AS BIGINT) FROM events""")
+SELECT 'UTC', MIN(ts), MAX(ts), COUNT(*), CAST(floor(epoch(MIN(ts))) AS BIGINT) FROM events""")
 def weather_zones(spark, sf):
     """The session's zone decides what instant a zone-less time is, and nothing else."""
     reports = []
