@@ -10,8 +10,9 @@ and a last pass side by side gives the state, and so the boundary, at every posi
 The pattern this equals: ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+|
 ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``.
 
-The slices between boundaries go through a cache of merged words (bounded; a full cache
-is begun anew), and every token keeps the byte offset it ends at.
+The slices between boundaries go through caches of merged words: short ones, as two numbers
+of eight bytes, through a table of fixed size that is looked up side by side, longer ones
+through a bounded dictionary. Every token keeps the byte offset it ends at.
 """
 
 from __future__ import annotations
@@ -68,6 +69,8 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
 
 _AFTER, _BEGINS = _functions()
 _FLAT = _AFTER.ravel().copy()
+_STARTS = _BEGINS.ravel().copy()
+_CONSTANT = (_AFTER == _AFTER[:, :1]).all(axis=1)  # symbols that lead to one state from any
 
 
 @lru_cache(1)
@@ -110,9 +113,18 @@ def boundaries(points: np.ndarray) -> np.ndarray:
     grid[:n] = symbols(points)
     grid = np.ascontiguousarray(grid.reshape(rows, length).T)  # one row a step
     steps = grid.astype(np.intp) * 8
-    reached = np.tile(np.arange(8, dtype=np.uint8), (rows, 1))  # the function of each row
+    # The function of each row. A product with a constant function in it is constant, so one
+    # state tells it; all eight are composed in rows that have no such symbol.
+    last = np.full(rows, FRESH, np.uint8)
     for at in steps:
-        reached = _FLAT[at[:, None] + reached]
+        last = _FLAT[at + last]
+    reached = np.repeat(last[:, None], 8, axis=1)
+    free = np.flatnonzero(~_CONSTANT[grid].any(axis=0))
+    if len(free):
+        whole = np.tile(np.arange(8, dtype=np.uint8), (len(free), 1))
+        for at in steps:
+            whole = _FLAT[at[free, None] + whole]
+        reached[free] = whole
     starts = np.zeros(rows, np.uint8)
     state = FRESH
     for i, function in enumerate(reached.tolist()):
@@ -122,7 +134,8 @@ def boundaries(points: np.ndarray) -> np.ndarray:
     for j, at in enumerate(steps):
         states[j] = now
         now = _FLAT[at + now]
-    return np.flatnonzero(_BEGINS[grid, states].T.ravel()[:n])
+    states += grid * np.uint8(8)
+    return np.flatnonzero(_STARTS[states].T.ravel()[:n])
 
 
 _PLACES = 19  # bits of the pair table
@@ -137,18 +150,57 @@ class _Pieces(dict):
 
     def __init__(self):
         super().__init__()
-        self.waiting: list[str] = []
+        self.waiting: list[bytes] = []
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self[word] = at = len(self)
         self.waiting.append(word)
         return at
 
 
+def _inside(counts: np.ndarray) -> np.ndarray:
+    """0 … c - 1 for every count c, in a row."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+class ShortWords:
+    """Ids of merged words of at most SHORT bytes, in a table with one place per hash; a
+    word takes the place of another one, which is merged again when it is met again."""
+
+    SHORT, PLACES = 16, 19  # bytes; bits of the table
+    # By length: the bytes past a word's end are 0xFF, which UTF-8 never holds.
+    PAST = np.where(np.arange(SHORT) < np.arange(SHORT + 1)[:, None], 0, 0xFF).astype(np.uint8).view(np.uint64)
+
+    def __init__(self, kind: type):
+        size = 1 << self.PLACES
+        self.held = np.full((size, 2), np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.counts = np.zeros(size, np.uint8)
+        self.ids = np.zeros(size * self.SHORT, kind)
+
+    def keys(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words as two numbers each, and their places. ``data`` has SHORT bytes past its end."""
+        keys = np.lib.stride_tricks.sliding_window_view(data, self.SHORT)[begins].view(np.uint64) | self.PAST[sizes]
+        mixed = (keys[:, 0] ^ (keys[:, 0] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + keys[:, 1] * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return keys, (mixed >> np.uint64(64 - self.PLACES)).view(np.int64)
+
+    def find(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        held = self.held[places]
+        return (held[:, 0] == keys[:, 0]) & (held[:, 1] == keys[:, 1])
+
+    def put(self, keys: np.ndarray, places: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Hold words and their ids (in a row). Of words with one place the first is held."""
+        firsts = np.unique(places, return_index=True)[1]
+        own = counts[firsts]
+        self.held[places[firsts]], self.counts[places[firsts]] = keys[firsts], own
+        into = np.repeat(places[firsts] * self.SHORT, own) + _inside(own)
+        self.ids[into] = ids[np.repeat((np.cumsum(counts) - counts)[firsts], own) + _inside(own)]
+
+
 class Vocabulary:
     """Ranks of byte strings, and a bounded cache of merged words."""
 
-    most_cached = 200_000
+    most_cached = 100_000  # words longer than ShortWords.SHORT
     long_word = 64  # bytes; longer words are merged one by one with a heap
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -170,6 +222,10 @@ class Vocabulary:
     def width(self) -> int:
         return max(self.ranks.values(), default=0) + 1
 
+    @cached_property
+    def short(self) -> ShortWords:
+        return ShortWords(np.uint16 if self.width <= 1 << 16 else np.int32)
+
     @cached_property
     def byte_ids(self) -> np.ndarray:
         return np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
@@ -273,13 +329,12 @@ class Vocabulary:
         order = np.argsort(owner, kind="stable")
         return ids[order], np.bincount(owner, minlength=len(words))
 
-    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def lookup(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the number of ids of each."""
         if len(self.cache) > self.most_cached:
             self._reset()
         at = np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
-        waiting = [w.encode() for w in self.cache.waiting]
-        self.cache.waiting = []
+        waiting, self.cache.waiting = self.cache.waiting, []
         if waiting:
             is_long = np.fromiter((len(w) > self.long_word for w in waiting), bool, len(waiting))
             counts = np.zeros(len(waiting), np.int64)
@@ -295,10 +350,44 @@ class Vocabulary:
             self.cached_begins = np.append(self.cached_begins, begins + len(self.cached_ids))
             self.cached_counts = np.append(self.cached_counts, counts)
             self.cached_ids = np.concatenate(added)
-        begins, counts = self.cached_begins[at], self.cached_counts[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.cached_ids[np.arange(total) + np.repeat(begins - (ends - counts), counts)], counts
+        counts = self.cached_counts[at]
+        return self.cached_ids[np.repeat(self.cached_begins[at], counts) + _inside(counts)], counts
+
+    def ids_of(self, data: bytes, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (places in ``data``) in a row, and the number of each word's."""
+        short = self.short
+        is_short = sizes <= short.SHORT
+        brief, long = np.flatnonzero(is_short), np.flatnonzero(~is_short)
+        keys, places = short.keys(np.frombuffer(data + bytes(short.SHORT), np.uint8), begins[brief], sizes[brief])
+        found = short.find(keys, places)
+        missed = np.flatnonzero(~found)
+
+        def cut(which: np.ndarray) -> list[bytes]:
+            return [data[a : a + n] for a, n in zip(begins[which].tolist(), sizes[which].tolist())]
+
+        numbers: dict[bytes, int] = {}
+        number = np.array([numbers.setdefault(w, len(numbers)) for w in cut(brief[missed])], np.int64)
+        new_ids, new_counts = self.merge_all(list(numbers))
+        long_ids, long_counts = self.lookup(cut(long))
+
+        counts = np.zeros(len(sizes), np.int64)
+        hits, hit_places = brief[found], places[found]
+        counts[hits], counts[brief[missed]], counts[long] = short.counts[hit_places], new_counts[number], long_counts
+        firsts = np.cumsum(counts) - counts
+        ids = np.empty(int(counts.sum()), np.int32)
+
+        def fill(which: np.ndarray, held: np.ndarray, at: np.ndarray) -> None:
+            own = counts[which]
+            inside = _inside(own)
+            ids[np.repeat(firsts[which], own) + inside] = held[np.repeat(at, own) + inside]
+
+        fill(hits, short.ids, hit_places * short.SHORT)
+        fill(brief[missed], new_ids, (np.cumsum(new_counts) - new_counts)[number])
+        ids[np.repeat(firsts[long], long_counts) + _inside(long_counts)] = long_ids
+        if len(numbers):
+            once = missed[np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))]
+            short.put(keys[once], places[once], new_ids, new_counts)
+        return ids, counts
 
     @cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
@@ -317,11 +406,13 @@ class Vocabulary:
         seams = (np.cumsum(lengths) + np.arange(len(texts)))[:-1]
         points[seams] = _END_POINT
         starts = boundaries(points)
-        ends = np.append(starts[1:], len(points))
         inner = points[starts] != _END_POINT
-        text_of = np.searchsorted(seams, starts[inner])
-        pieces = [joined[a:b] for a, b in zip(starts[inner].tolist(), ends[inner].tolist())]
-        ids, counts = self.lookup(pieces)
+        data = joined.encode()
+        if len(data) > len(points):  # places of code points become places of bytes
+            starts = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)[starts]
+        sizes = np.diff(np.append(starts, len(data)))
+        text_of = np.cumsum(~inner)[inner]
+        ids, counts = self.ids_of(data, starts[inner], sizes[inner])
         return ids, np.bincount(text_of, counts, len(texts)).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:

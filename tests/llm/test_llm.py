@@ -276,6 +276,20 @@ def test_encoding_equals_the_library():
         assert vocabulary.decode(own).tobytes() == text.encode()
 
 
+def test_words_that_share_a_place_are_merged_again(monkeypatch):
+    monkeypatch.setattr(bpe.ShortWords, "PLACES", 3)
+    vocabulary = bpe.Vocabulary({k: v for k, v in bpe.Vocabulary.read(queries.ranks()).ranks.items()})
+    vocabulary.most_cached = 5
+    library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={})
+    rng = random.Random(2)
+    words = [c * n for c in ("a", "é", "漢", "1", "\0", "!") for n in (1, 2, 5, 7, 8, 9, 15, 16, 17, 63, 64, 65)] + ["word", "the", "wording"]
+    for _ in range(20):
+        texts = [" ".join(rng.choices(words, k=rng.randrange(40))) for _ in range(30)]
+        ids, counts = vocabulary.encode(texts)
+        assert [own.tolist() for own in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode_ordinary(t) for t in texts]
+    assert vocabulary.encode([""])[0].size == 0
+
+
 def test_bpe_query_against_the_library(spark, sf_dir):
     vocabulary = bpe.Vocabulary.read(queries.ranks())
     library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=vocabulary.ranks, special_tokens={})
