@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.sizes import pretty_size
 
 
-def stored_files(table: DataFrame, by: list[str]) -> DataFrame:
+def stored_files(table: DataFrame, by: list[str], values: Column | None = None) -> DataFrame:
     """One row per data file: its partition values, size and rows. Only the file
-    footers and the partition values are read."""
+    footers and the partition values are read, unless ``values`` is given: the bytes of
+    a row's values, which are added up per file."""
+    summed = [] if values is None else [F.sum(values.cast("bigint")).alias("value_bytes")]
     return table.groupBy(
         *by,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
-    ).agg(F.count("*").alias("row_cnt"))
+    ).agg(F.count("*").alias("row_cnt"), *summed)
 
 
 def partition_sizes(

@@ -92,25 +92,48 @@ def ledger_skew(spark, sf):
 
 # --- sizes and statistics ----------------------------------------------------
 
+# Bytes of the values of a row: fixed-width columns, then the texts.
+SIZED_TEXTS = ("account_id", "operation_type", "currency_code", "custom_1", "custom_2")
+FIXED_BYTES = 36
+ROW_BYTES_SQL = " + ".join([str(FIXED_BYTES), *[f"COALESCE(length({c}), 0)" for c in SIZED_TEXTS]])
+
+
 @register("ledger_partition_sizes", f"""
-WITH {ACC_DATA}, held AS (
-  SELECT 'acc_data_' || {LABEL_SQL} AS name, COUNT(*) AS row_cnt FROM acc_data GROUP BY 1
-  UNION ALL SELECT 'acc_data', COUNT(*) FROM acc_data)
-SELECT name, row_cnt, true AS same_bytes, true AS labelled FROM held WHERE name LIKE 'acc_data_p199%'""")
+WITH {ACC_DATA}, sizes AS (
+  SELECT 'acc_data_' || {LABEL_SQL} AS name, COUNT(*) AS row_cnt,
+         CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) AS size_bytes FROM acc_data GROUP BY 1
+  UNION ALL
+  SELECT 'acc_data', COUNT(*), CAST(SUM({ROW_BYTES_SQL}) AS BIGINT) FROM acc_data)
+SELECT name, row_cnt, size_bytes,
+       CASE WHEN size_bytes < 10240 THEN size_bytes || ' bytes'
+            WHEN (size_bytes >> 9)  < 20479 THEN (((size_bytes >> 9)  + 1) >> 1) || ' kB'
+            WHEN (size_bytes >> 19) < 20479 THEN (((size_bytes >> 19) + 1) >> 1) || ' MB'
+            WHEN (size_bytes >> 29) < 20479 THEN (((size_bytes >> 29) + 1) >> 1) || ' GB'
+            WHEN (size_bytes >> 39) < 20479 THEN (((size_bytes >> 39) + 1) >> 1) || ' TB'
+            ELSE (((size_bytes >> 49) + 1) >> 1) || ' PB' END AS size,
+       true AS same_bytes, true AS labelled
+FROM sizes WHERE name LIKE 'acc_data%' ORDER BY size_bytes DESC, name""")
 def ledger_partition_sizes(spark, sf):
-    """Partitions of the nineties and their bytes, as the storage lists them: the same
-    as the rows' own file sizes add up to."""
+    """The ledger and each of its partitions, largest first: rows, bytes of their values and
+    the size text; and whether the bytes that the storage lists are the ones that the rows'
+    own file sizes add up to, and have a size text too."""
     name = stored_ledger_name(spark, sf)
+
+    def named(sizes, *sums):
+        """Every partition by its name, and the ledger with the sums of all."""
+        every = sizes.agg(*[F.sum(c).alias(c) for c in sums]).select(F.lit("acc_data").alias("name"), *sums)
+        return sizes.select(F.concat(F.lit("acc_data_"), partitions.PART).alias("name"), *sums).unionByName(every)
+
+    texts = [F.coalesce(F.char_length(c), F.lit(0)) for c in SIZED_TEXTS]
+    held = layout.stored_files(spark.table(name), [partitions.PART], values=sum(texts, F.lit(FIXED_BYTES)))
+    parts = held.groupBy(partitions.PART).agg(*[F.sum(c).alias(c) for c in ("row_cnt", "value_bytes", "file_size")])
     listed = listed_sizes(listed_table(spark, name), [partitions.PART])
-    total = listed.agg(F.sum("size_bytes").alias("size_bytes")).withColumn(partitions.PART, F.lit(None).cast("string"))
-    sizes = listed.select(partitions.PART, "size_bytes").unionByName(total)
-    full = F.concat_ws("_", F.lit("acc_data"), partitions.PART).alias("name")
-    text = pretty_size(F.col("size_bytes"))
-    sized = sizes.select(full, "size_bytes", text.rlike("^[0-9]+ (bytes|kB|MB|GB|TB|PB)$").alias("labelled"))
-    held = layout.partition_sizes(layout.stored_files(spark.table(name), [partitions.PART]), [partitions.PART])
-    read = held.select(F.concat(F.lit("acc_data_"), partitions.PART).alias("name"), "row_cnt", F.col("size_bytes").alias("read_bytes"))
-    both = sized.filter(F.col("name").like("acc_data_p199%")).join(read, "name")
-    return both.select("name", "row_cnt", (F.col("size_bytes") == F.col("read_bytes")).alias("same_bytes"), "labelled")
+    both = named(parts, "row_cnt", "value_bytes", "file_size").join(named(listed, "size_bytes"), "name")
+    labelled = pretty_size(F.col("size_bytes")).rlike("^[0-9]+ (bytes|kB|MB|GB|TB|PB)$")
+    return both.filter(F.col("name").like("acc_data%")).select(
+        "name", "row_cnt", F.col("value_bytes").alias("size_bytes"), pretty_size(F.col("value_bytes")).alias("size"),
+        (F.col("size_bytes") == F.col("file_size")).alias("same_bytes"), labelled.alias("labelled"),
+    ).orderBy(F.desc("size_bytes"), "name")
 
 
 @register("layout_sizes")

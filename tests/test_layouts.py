@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pyarrow.parquet as pq
 import pytest
@@ -175,3 +176,15 @@ def test_rows_that_wait_in_default_count_for_their_months(spark, ledger):
     partitions.backfill(spark, fact, "transaction_dt")
     load_rollup(spark, fact, rollup)
     assert totals(spark, rollup) == want
+
+
+def test_partition_sizes_are_of_the_ledger_and_every_partition(spark, sf_dir):
+    from ledgerloom import registry
+
+    rows = registry.QUERIES["ledger_partition_sizes"](spark, sf_dir).collect()
+    counts = {r["part"]: r["row_cnt"] for r in registry.QUERIES["layout_rows"](spark, sf_dir).collect()}
+    assert {r["name"]: r["row_cnt"] for r in rows} == {"acc_data": sum(counts.values())} | {f"acc_data_{p}": n for p, n in counts.items()}
+    assert any(p >= "p2000" for p in counts) and all(r["same_bytes"] and r["labelled"] for r in rows)
+    assert rows[0]["name"] == "acc_data" and rows[0]["size_bytes"] == sum(r["size_bytes"] for r in rows[1:])
+    assert [r["size_bytes"] for r in rows] == sorted((r["size_bytes"] for r in rows), reverse=True)
+    assert all(re.fullmatch("[0-9]+ (bytes|kB|MB|GB|TB|PB)", r["size"]) for r in rows)
