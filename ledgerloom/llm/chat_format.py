@@ -11,13 +11,14 @@ Control strings inside a text get a backslash behind their first character, and
 have backslashes there already get one more, so that taking one away gives the text back
 and no text can end a turn or begin one.
 
-Contexts repeat their conversation, which makes the examples of a conversation of n turns
-n * n / 2 turns long. So a conversation is cut into pages of ``PAGE`` turn numbers (turn
-div PAGE). Within a page, every example holds its whole context; of the pages before it, it
-names the number alone, and their text stands once, in the row of each page that is its last
-(``whole``). A conversation of up to PAGE turns, numbered from 0, is one page and so its
-examples are complete rows; a conversation that holds a third of the table is spread over
-its pages, and no row is longer than its page.
+Contexts repeat their conversation, so the examples of a conversation of n turns are
+n * n / 2 turns long: every row holds its whole context, whatever its length, and the last
+one holds the whole conversation. Rows are made one after the other from the conversation's
+pieces, which are held once; no more than a row is held beside them.
+
+A conversation is numbered in pages of ``PAGE`` turn numbers (turn div PAGE). A page names
+its examples, and ends with a row of its own where its last turn isn't trained, so the length
+of that row tells where the next page begins in every text.
 
 Everything here is DataFrame functions: one shuffle of the texts, no Python on the executors.
 """
@@ -27,14 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import discard, pick, staged
+from ledgerloom.llm.common import pick
 
 # The template.
 USER, REPLY, OTHER = ("[INST]", "[/INST]"), ("[OUT]", "</s>"), ("[ROLE]", "[TEXT]", "[/ROLE]")
 TRAINED = "assistant"
 PAGE = 64
-# Conversations with more than one page are broadcast up to this number, else joined by a shuffle.
-MOST_BROADCAST = 100_000
 
 _CONTROL = r"(/?(?:INST|OUT|ROLE|TEXT)\]|/?s>)"
 _PLAIN = r"([\[<])(\\*)" + _CONTROL
@@ -68,9 +67,9 @@ def expand(conversations: DataFrame) -> DataFrame:
     """One row per assistant turn, and one per page that doesn't end with such a turn.
 
     conv_id, page, example (place of the last turn on the page, from 0), text (the marked
-    turns of the page up to and with that turn), loss_start and loss_end (code points of the
-    text between which it is trainable; equal where nothing is), whole (the row holds every
-    turn of its page).
+    turns of the conversation up to and with that turn), loss_start and loss_end (code points
+    of the text between which it is trainable; equal where nothing is), whole (the row holds
+    every turn of its conversation).
 
     Turns go by number, nulls first; turns with one number by role and text. Null texts and
     roles are empty. Repeated rows are turns of their own, as are empty texts. A null conv_id
@@ -80,15 +79,19 @@ def expand(conversations: DataFrame) -> DataFrame:
     rows = pick(conversations, ("conv_id", "long"), ("turn", "long"), ("role", "string"), ("text", "string"))
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     clean = rows.select("conv_id", page_of(F.col("turn")).alias("page"), "turn", escape(role).alias("role"), escape(text).alias("text"))
-    pages = clean.groupBy("conv_id", "page").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    pieces = pages.withColumn("pieces", F.transform("turns", lambda t: marked(t["role"], t["text"])))
-    each = pieces.select("conv_id", "page", "pieces", F.posexplode("turns").alias("example", "target"))
+    held = clean.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("page", "turn", "role", "text"))).alias("turns"))
+    pieces = held.withColumn("pieces", F.transform("turns", lambda t: marked(t["role"], t["text"]))).withColumn("pages", F.col("turns.page"))
+    each = pieces.select("conv_id", "pieces", "pages", F.posexplode("turns").alias("place", "target"))
     trained = F.col("target.role") == TRAINED
-    each = each.withColumn("whole", F.col("example") == F.size("pieces") - 1).filter(trained | F.col("whole"))
-    made = F.array_join(F.slice("pieces", F.lit(1), F.col("example") + 1), "")
+    page, after = F.col("target.page"), F.get("pages", F.col("place") + 1)
+    each = each.filter(trained | ~after.eqNullSafe(page)).withColumn("first", F.array_position("pages", page).cast("int") - 1)
+    made = F.array_join(F.slice("pieces", F.lit(1), F.col("place") + 1), "")
     ends = F.char_length("text") - F.when(F.col("trained"), len(REPLY[1])).otherwise(0)
     return (
-        each.select("conv_id", "page", "example", made.alias("text"), trained.alias("trained"), F.char_length("target.text").alias("size"), "whole")
+        each.select(
+            "conv_id", page.alias("page"), (F.col("place") - F.col("first")).alias("example"), made.alias("text"),
+            trained.alias("trained"), F.char_length("target.text").alias("size"), (F.col("place") == F.size("pieces") - 1).alias("whole"),
+        )
         .withColumn("loss_end", ends)
         .withColumn("loss_start", F.col("loss_end") - F.when(F.col("trained"), F.col("size")).otherwise(0))
         .select("conv_id", "page", "example", "text", "loss_start", "loss_end", "whole")
@@ -123,45 +126,26 @@ def read_loss(text: Column, start: Column, end: Column) -> Column:
 
 
 def read_back(examples: DataFrame) -> DataFrame:
-    """Rows of ``expand`` by page: conv_id, page, turns (role and text), loss (the trainable
-    texts in order), formatted_chars. Needs no shuffle where the examples are still dealt by
-    conversation and page."""
+    """Rows of ``expand`` by conversation: conv_id, turns (role and text), loss (the trainable
+    texts in order), formatted_chars (of each text, from its page on). Needs no shuffle where
+    the examples are still dealt by conversation. Of a text, no more goes on than is kept."""
     loss = read_loss(F.col("text"), F.col("loss_start"), F.col("loss_end"))
-    held = examples.select("conv_id", "page", "example", "text", "whole", loss.alias("loss"))
-    by_page = held.groupBy("conv_id", "page").agg(
-        F.max(F.when(F.col("whole"), F.col("text"))).alias("text"),
-        F.sort_array(F.collect_list(F.struct("example", "loss"))).alias("losses"),
-        F.sum(F.char_length("text")).alias("formatted_chars"),
-    )
-    return by_page.select("conv_id", "page", read_turns(F.col("text")).alias("turns"), F.array_join("losses.loss", "").alias("loss"), "formatted_chars")
-
+    held = examples.select("conv_id", "page", "example", F.when(F.col("whole"), F.col("text")).alias("text"), F.char_length("text").cast("long").alias("chars"), loss.alias("loss"))
+    rows = held.groupBy("conv_id").agg(F.max("text").alias("text"), F.sort_array(F.collect_list(F.struct("page", "example", "chars", "loss"))).alias("rows"))
 
-def by_conversation(pages: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Rows of ``read_back`` with the pages of a conversation put together, in order.
+    def add(sums: Column, row: Column) -> Column:
+        """``before`` is what the last row of the page before holds."""
+        before = F.when(row["page"].eqNullSafe(sums["page"]), sums["before"]).otherwise(sums["last"])
+        return F.struct(row["page"].alias("page"), before.alias("before"), row["chars"].alias("last"), (sums["chars"] + row["chars"] - before).alias("chars"))
 
-    Only conversations with a turn outside 0 … PAGE - 1 can have more than one page, and
-    their ids are known from the narrow columns; all others are passed on as they are.
-    """
-    ids = pick(conversations, ("conv_id", "long"), ("turn", "long"))
-    longer = staged(ids.filter(page_of(F.col("turn")) != 0).select(F.col("conv_id").alias("long_id")).distinct(), "long-conversations")
-    count = longer.count()
-    if not count:
-        discard(longer)
-        return pages.drop("page")
-    if count <= MOST_BROADCAST:
-        longer = F.broadcast(longer)
-    same = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    alone = pages.join(longer, same, "left_anti").drop("page")
-    parts = pages.join(longer, same, "left_semi").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("page", "turns", "loss"))).alias("parts"), F.sum("formatted_chars").alias("formatted_chars")
-    )
-    return alone.unionByName(parts.select("conv_id", F.flatten("parts.turns").alias("turns"), F.array_join("parts.loss", "").alias("loss"), "formatted_chars"))
+    none = F.struct(F.lit(None).cast("long").alias("page"), *[F.lit(0).cast("long").alias(n) for n in ("before", "last", "chars")])
+    chars = F.aggregate("rows", none, add, lambda sums: sums["chars"])
+    return rows.select("conv_id", read_turns(F.col("text")).alias("turns"), F.array_join("rows.loss", "").alias("loss"), chars.alias("formatted_chars"))
 
 
 def digests(conversations: DataFrame) -> DataFrame:
-    """Format the conversations, read the result back and give the figures of each. A digest
-    is over one string, so here, and only here, a conversation has to fit into a row."""
-    whole = by_conversation(read_back(expand(conversations)), conversations)
+    """Format the conversations, read the result back and give the figures of each."""
+    whole = read_back(expand(conversations))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return whole.select(
         "conv_id",

@@ -213,6 +213,24 @@ def test_formatting_of_edge_rows_and_long_conversations(spark):
     assert chat_format.digests(chats(spark, rows).filter("1 = 0")).count() == 0
 
 
+def test_an_example_of_a_long_conversation_holds_all_turns_before_it(spark):
+    rows = [(3, t, "user" if t % 2 else "assistant", f"turn {t} é") for t in range(200)]
+    rows += [(4, t, "assistant", f"t{t}") for t in (None, -1, 0, 63, 64, 1 << 40)]
+    examples = chat_format.expand(chats(spark, rows).repartition(3))
+    found = examples.withColumn("turns", chat_format.read_turns(F.col("text")))
+    found = found.withColumn("loss", chat_format.read_loss(F.col("text"), F.col("loss_start"), F.col("loss_end"))).collect()
+    for conv in (3, 4):
+        turns = said(rows, conv)
+        own = sorted((r for r in found if r["conv_id"] == conv), key=lambda r: (r["page"], r["example"]))
+        replies = [i for i, (role, _) in enumerate(turns) if role == "assistant"]
+        ends = [i for i in (63, 127, 191, 199) if conv == 3]
+        assert [len(r["turns"]) - 1 for r in own] == sorted({*replies, *ends})
+        for r in own:
+            assert [tuple(t) for t in r["turns"]] == turns[: len(r["turns"])]
+            assert r["loss"] == (r["turns"][-1]["text"] if r["turns"][-1]["role"] == "assistant" else "")
+            assert r["whole"] == (len(r["turns"]) == len(turns))
+
+
 def test_formatting_runs_no_python(spark, sf_dir):
     from ledgerloom.sinks.tables import plan_text
 
