@@ -97,6 +97,16 @@ def test_day_range_prunes_partitions_on_both_sides_of_a_union(spark, sf_dir):
     assert len(scans(text)) == 2
 
 
+def test_no_file_split_is_gathered_before_equal_rows_are_told_apart(spark, sf_dir):
+    from ledgerloom.operators.union import filtered_view, full_view
+
+    stored = stored_ledger(spark, sf_dir)
+    for view in (full_view(stored, stored), filtered_view(stored, stored, stored["company_id"] > 0)):
+        text = plan(view)
+        below = text[text.index("Exchange hashpartitioning"):]
+        assert text.count("Exchange") == 1 and "Aggregate" not in below and "Aggregate" in text
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
     fact, rollup = bucketed_ledger(spark, sf_dir)
     session = colocation.colocated_session(spark)
