@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -112,17 +112,22 @@ def boundaries(points: np.ndarray) -> np.ndarray:
     grid = np.full(rows * length, S_END, np.uint8)
     grid[:n] = symbols(points)
     grid = np.ascontiguousarray(grid.reshape(rows, length).T)  # one row a step
-    steps = grid.astype(np.intp) * 8
+
+    def steps() -> Iterator[np.ndarray]:
+        """Where the functions of a row's symbols begin in the table; a row at a time, as
+        these numbers take eight times the room of the symbols."""
+        return (row.astype(np.intp) * 8 for row in grid)
+
     # The function of each row. A product with a constant function in it is constant, so one
     # state tells it; all eight are composed in rows that have no such symbol.
     last = np.full(rows, FRESH, np.uint8)
-    for at in steps:
+    for at in steps():
         last = _FLAT[at + last]
     reached = np.repeat(last[:, None], 8, axis=1)
     free = np.flatnonzero(~_CONSTANT[grid].any(axis=0))
     if len(free):
         whole = np.tile(np.arange(8, dtype=np.uint8), (len(free), 1))
-        for at in steps:
+        for at in steps():
             whole = _FLAT[at[free, None] + whole]
         reached[free] = whole
     starts = np.zeros(rows, np.uint8)
@@ -131,7 +136,7 @@ def boundaries(points: np.ndarray) -> np.ndarray:
         starts[i] = state
         state = function[state]
     states, now = np.empty((length, rows), np.uint8), starts
-    for j, at in enumerate(steps):
+    for j, at in enumerate(steps()):
         states[j] = now
         now = _FLAT[at + now]
     states += grid * np.uint8(8)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -77,15 +78,30 @@ def with_columns(
     places = [df.columns.index(c) for c in reads]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         compute = make()
         for batch in batches:
             for part in slices(batch):
                 added = compute(*[part.column(i) for i in places])
                 yield pa.RecordBatch.from_arrays(list(part.columns) + list(added), names)
+                del part, added
+                release()
+            del batch
+        del compute
+        release()
 
     return df.mapInArrow(step, schema)
 
 
+def release() -> None:
+    """Give freed memory back to the system. A worker lives on and serves other operators'
+    tasks, and what the allocators keep for it counts against the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a step holds a few MB of text at a time (one row at least)."""
     if not batch.num_rows:

@@ -60,3 +60,29 @@ def test_groups_of_copies_are_decided_by_their_rows(spark):
     assert "uuid" not in kept._jdf.queryExecution().toString().lower()
     want = {min((i for i in range(400) if i % 40 == g and i % 3 == 2), default=None) for g in range(40)}
     assert {r.doc_id for r in kept.collect()} == want | {1000 + i for i in range(200)}
+
+
+def test_a_task_gives_back_what_its_arrays_took(spark):
+    """Also when the next operator's task runs in the same worker: what is freed isn't kept."""
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from ledgerloom.llm.common import with_columns
+
+    def private():
+        with open("/proc/self/smaps_rollup") as file:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", file.read()).group(1)) / 1024
+
+    def make():
+        kept = [np.ones(1 << 12) for _ in range(4000)]  # 125 MB in blocks that come from the heap
+        stays = [np.ones(1 << 12) for _ in range(10)]  # above them: the heap's top stays where it is
+        before = private()
+        kept.clear()
+        return lambda ids: [pa.array([private() - before + 0 * len(stays)] * len(ids))]
+
+    rows = spark.range(0, 2, 1, 1).toDF("id").withColumn("text", F.repeat(F.lit("x"), 1 << 20))
+    first, second = (r["grown"] for r in with_columns(rows, ["id"], [("grown", T.DoubleType())], make).orderBy("id").collect())
+    assert second < first - 50 or second < -100
