@@ -21,10 +21,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+# Rows that an executor holds at once, by bytes or by few rows: Spark's own bounds (64 MB to
+# a Python worker, 4096 rows of a file) let a task on texts hold tens of MB in buffers that
+# double as they grow, and an executor keeps what they took. The first is a little below what
+# ``slices`` cuts at, as a batch ends with the row that passes it.
+BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(15 << 16),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where it is not installed: they get the path
-    the driver has it at, unless the session names a PYTHONPATH of its own."""
+    """Ready a session for the operators. Python workers find this package where it is not
+    installed: they get the path the driver has it at, unless the session names a PYTHONPATH
+    of its own. Batches are small, unless the session sets their bounds."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

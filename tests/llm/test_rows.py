@@ -86,3 +86,30 @@ def test_a_task_gives_back_what_its_arrays_took(spark):
     rows = spark.range(0, 2, 1, 1).toDF("id").withColumn("text", F.repeat(F.lit("x"), 1 << 20))
     first, second = (r["grown"] for r in with_columns(rows, ["id"], [("grown", T.DoubleType())], make).orderBy("id").collect())
     assert second < first - 50 or second < -100
+
+
+def test_batches_of_texts_are_small(spark):
+    """A worker is fed by about a MB of text at a time, whatever the rows of a file."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from ledgerloom.llm.common import pick, with_columns
+
+    def make():
+        return lambda texts: [pa.array([texts.buffers()[2].size] * len(texts))]  # of the batch, of which a slice is a part
+
+    rows = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 4000).alias("text"))
+    docs = pick(rows, ("doc_id", "long"), ("text", "string"))
+    held = with_columns(docs, ["text"], [("held", T.LongType())], make).select("doc_id", "held").collect()
+    assert sorted(r["doc_id"] for r in held) == list(range(6000))
+    assert max(r["held"] for r in held) < 2 << 20
+
+
+def test_bounds_of_batches_that_a_session_sets_stay(spark):
+    from ledgerloom.llm.common import BATCHES, importable
+
+    other, own = spark.newSession(), {"spark.sql.parquet.columnarReaderBatchSize": "1000"}
+    for key, value in own.items():
+        other.conf.set(key, value)
+    importable(other)
+    assert {key: other.conf.get(key) for key in BATCHES} == BATCHES | own
