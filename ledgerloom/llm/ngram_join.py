@@ -1,28 +1,34 @@
 """Jaccard self-join of word n-gram sets with signature trees.
 
 Sets of equal content are one node from the start. Nodes that could reach the threshold
-are brought together by keys; nodes that share a key are candidates, and chains of
-candidates are clusters. Neither kind of key loses a pair:
+are brought together by keys; nodes that share a key are a group, and pairs of a group are
+candidates. Neither kind of key loses a pair:
 
 * Parts (high thresholds): the n-gram universe is split by hash into more parts than a
-  linked pair can differ in, so the two agree in a whole part that is not empty.
+  linked pair can differ in, so the two agree in some whole parts. The fullest parts of a
+  set are its keys, so many that one of those is among the keys of both.
 * Prefixes (thresholds below PART_LEAST, where parts would be too short to tell texts
-  apart): in any fixed order of the n-grams, a linked pair shares one among the first
-  |x| - ceil(t |x|) + 1 of each. N-grams that two sets share, by a bitmap over all
-  documents, come last in the order, so passages that some documents share make few
-  candidates. The bitmap has a fixed size: the fuller it is, the more candidates there
-  are, and never fewer links.
-
-Inside a cluster (a block of it, if it is large) the sets become leaves of a signature
+  apart): in any fixed order of the n-grams, a linked pair shares k among the first
+  |x| - ceil(t |x|) + k of each. N-grams of many sets, by counts over all documents, come
+  last in the order, so passages that many documents share make few candidates. The
+  counts have a fixed size; what counts as many rises with what chance puts on a place.
+
+Groups are never chained to clusters: a text is compared within groups it is in. Pairs of
+small groups are listed, once each, and those with too few keys in common are left out.
+First every set meets the sets that have the same first node in most of their keys, which
+links most families of copies. Only pairs that have not met and are not linked by then,
+through others, meet in a second step.
+
+Where sets meet (a block of them, if there are many) they become leaves of a signature
 tree: a leaf has a bitmap of its n-grams, an inner node the OR of its children's bitmaps
 and the range of their sizes. Two trees are walked together; a pair of nodes is dropped
 when the largest possible overlap of any two sets below them is too small, or when all
 sets below are connected already. What remains is compared n-gram by n-gram.
 
 Skew: a task gives the keys of equal sets once, so a hot group of copies has a few rows
-per key and task. A large cluster is dealt into blocks by hash, and every pair of blocks
-is a group of its own; no task holds more than two blocks. Texts are shuffled for
-candidates only.
+per key and task. A large group is dealt into blocks by hash, and pairs of blocks are
+groups of their own, but for blocks of one family; no task holds more than two blocks.
+Texts are shuffled for candidates only.
 """
 
 from __future__ import annotations
@@ -47,10 +53,13 @@ PART_ROOM = 1.15
 # Sets, and n-grams, in a block of a cluster.
 BLOCK_SETS, BLOCK_GRAMS = 1024, 2_000_000
 FAN = 32
-# Threshold from which parts serve as keys; bits (as a power) of the bitmap of shared
-# n-grams: 16 MB, whatever the input.
+# Threshold from which parts serve as keys; places (as a power) that n-grams are counted on:
+# 32 MB in a task and 4 MB of bits in the end, whatever the input.
 PART_LEAST = 0.9
-SHARED_BITS = 27
+SHARED_BITS = 25
+# Keys that the prefixes of a linked pair have in common at least, if their sets are so large;
+# nodes of a group whose pairs are listed.
+PREFIX_KEYS, PAIR_MOST = 4, 64
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -122,7 +131,8 @@ _STARTS = _classes(1 << 40)
 
 def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """The keys of all sets, and the position of the set each belongs to. Sets with
-    |a & b| * den >= num * |a | b| share a key."""
+    |a & b| * den >= num * |a | b| share a key. Parts of few n-grams, which chance gives to
+    unlike sets, are keys only of sets that have too few others."""
     sizes = np.array([len(s) for s in sets], np.int64)
     own = np.searchsorted(_STARTS, sizes, "right") - 1
     who = np.arange(len(sets))[sizes > 0]
@@ -137,32 +147,35 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     parts = np.where(differ == 0, 1, np.ceil((differ + 1) * PART_ROOM)).astype(np.int64)
     base = np.cumsum(parts) - parts
     total = int(parts.sum())
-    sums, filled = np.zeros(total, np.uint64), np.zeros(total, bool)
-    for i, w in enumerate(owner.tolist()):
-        grams = sets[w]
-        at = base[i] + (grams % np.uint64(parts[i])).astype(np.int64)
-        np.add.at(sums, at, _mix(grams + _P))
-        filled[at] = True
     row = np.repeat(np.arange(len(owner)), parts)
-    place = (np.arange(total) - np.repeat(base, parts)).astype(np.uint64)
-    keys = _mix(sums + place * _Q + _mix(level.astype(np.uint64) + _Q)[row])
-    enough = np.bincount(row, filled, len(owner)) > differ  # else empty parts must count too
-    use = filled | ~enough[row]
+    grams = np.concatenate([sets[w] for w in owner.tolist()] or [np.zeros(0, np.uint64)])
+    of = np.repeat(np.arange(len(owner)), sizes[owner])
+    at = base[of] + (grams % parts.astype(np.uint64)[of]).astype(np.int64)
+    sums = np.zeros(total, np.uint64)
+    np.add.at(sums, at, _mix(grams + _P))
+    filled = np.bincount(at, minlength=total)
+    place = np.arange(total) - base[row]
+    keys = _mix(sums + place.astype(np.uint64) * _Q + _mix(level.astype(np.uint64) + _Q)[row])
+    # in one order of all parts, the fullest first, a part that agrees is among the first of both
+    ordered = np.lexsort((keys, -filled, row))
+    use = ordered[place <= differ[row]]
     return keys[use], owner[row[use]]
 
 
 def prefix_keys(sets: list[np.ndarray], num: int, den: int, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first n-grams of all sets, those that may be shared last, and the position of
     the set each belongs to. One that may be shared is a key for each size class the
-    set can find a partner in, so that only sets of like size meet by it."""
+    set can find a partner in, so that only sets of like size meet by it. A linked pair has
+    PREFIX_KEYS keys in common, or as many as its smaller set can have."""
     keys, owner = [np.zeros(0, np.uint64)], []
     for i, own in enumerate(sets):
         n = len(own)
         if not n:
             continue
-        place = bit_of(own)
+        place = place_of(own, len(shared) << 3)
         often = (shared[place >> 3] >> (place & 7).astype(np.uint8)) & np.uint8(1) == 1
-        ordered = np.concatenate([own[~often], own[often]])[: n - -(-num * n // den) + 1]
+        least = -(-num * n // den)
+        ordered = np.concatenate([own[~often], own[often]])[: n - least + min(PREFIX_KEYS, least)]
         alone = min(len(ordered), int((~often).sum()))
         level = int(np.searchsorted(_STARTS, n, "right")) - 1
         top = int(np.searchsorted(_STARTS, n * den // num, "right")) - 1  # the class of the largest partner
@@ -173,8 +186,9 @@ def prefix_keys(sets: list[np.ndarray], num: int, den: int, shared: np.ndarray)
     return np.concatenate(keys), np.array(owner, np.int64)
 
 
-def bit_of(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+def place_of(grams: np.ndarray, places: int) -> np.ndarray:
+    """Where n-grams are counted; ``places`` is a power of two."""
+    return (grams >> np.uint64(65 - places.bit_length())).astype(np.int64)
 
 
 def need(num: int, den: int, sizes: np.ndarray) -> np.ndarray:
@@ -211,12 +225,15 @@ class Tree:
         return slice(node * FAN**level, min((node + 1) * FAN**level, len(self.sets)))
 
 
-def find_links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int) -> np.ndarray:
+def find_links(left: list[np.ndarray], right: list[np.ndarray] | None, num: int, den: int, names: list | None = None) -> np.ndarray:
     """Component numbers of the sets (left, then right), by links inside ``left``, or
     between ``left`` and ``right`` if it is given. Members of one component get its
-    smallest position."""
+    smallest position. Sets that have one of ``names`` in common are linked already."""
     sets = left + (right or [])
     boss = np.arange(len(sets))
+    if names:
+        place: dict = {}
+        boss = np.array([place.setdefault(name, i) for i, name in enumerate(names)])
     if not left or right is not None and not right:
         return boss
     most = max(map(len, sets))
@@ -283,50 +300,49 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
 
 def shared_grams(docs: DataFrame, width: int) -> np.ndarray:
-    """A bitmap of the hash places that the n-grams of two different sets or more fall on,
-    over all documents. Tasks keep two bits a place, met once and met again; two
-    tasks' bits merge into the bits of both, so chunks of the bitmaps are merged by a
-    grouping. Its size is fixed; an n-gram of one set alone may be taken for a shared one,
-    never the reverse."""
-    chunk = 1 << 16  # bytes
+    """A bitmap of the hash places that n-grams of many sets fall on, over all documents.
+
+    Tasks count the n-grams of distinct sets on each place, up to 255; the counts of
+    chunks of the places are summed by a grouping. A place that is above what the n-grams of
+    single sets give it by chance (the median of its chunk, and two deviations of a Poisson
+    count) has n-grams that many sets share, the more the fuller the places are. So the
+    bitmap doesn't fill up, whatever the input; it only orders n-grams, so a place that is
+    marked by chance or missed costs candidates, never links."""
+    places, chunk = 1 << SHARED_BITS, 1 << 16
 
     def collect(batches):
         shingler, met = Shingler(width), set()
-        once, again = (np.zeros(1 << (SHARED_BITS - 3), np.uint8) for _ in range(2))
+        counts = np.zeros(places, np.uint8)
         for batch in batches:
             for part in slices(batch):
                 for grams in shingler.sets(part.column(0).to_pylist()):
                     if len(grams) and (own := identity(grams)) not in met:
                         met.add(own)
-                        place, n = np.unique(bit_of(grams), return_counts=True)
-                        at, bit = place >> 3, np.uint8(1) << (place & 7).astype(np.uint8)
-                        seen = (once[at] & bit != 0) | (n > 1)
-                        np.bitwise_or.at(again, at[seen], bit[seen])
-                        np.bitwise_or.at(once, at, bit)
+                        place, n = np.unique(place_of(grams, places), return_counts=True)
+                        counts[place] = np.minimum(counts[place] + n, 255)
         if met:
-            for i in range(0, len(once), chunk):
+            for i in range(0, len(counts), chunk):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // chunk], pa.int32()), *(pa.array([zlib.compress(x[i : i + chunk].tobytes(), 1)], pa.binary()) for x in (once, again))],
-                    ["chunk", "once", "again"],
+                    [pa.array([i // chunk], pa.int32()), pa.array([zlib.compress(counts[i : i + chunk].tobytes(), 1)], pa.binary())],
+                    ["chunk", "counts"],
                 )
 
-    def merge(key: tuple, batches):
-        once, again = (np.zeros(chunk, np.uint8) for _ in range(2))
-        for batch in batches:
-            for o, g in zip(*(batch.column(i).to_pylist() for i in (1, 2))):
-                o, g = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (o, g))
-                again |= g | (once & o)
-                once |= o
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([again.tobytes()], pa.binary())], ["chunk", "again"])
-
-    def merge_table(key: tuple, rows: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(merge(key, rows.to_batches()))
-
-    parts = docs.select("text").mapInArrow(collect, "chunk int, once binary, again binary")
-    rows = parts.groupBy("chunk").applyInArrow(merge_table, "chunk int, again binary").toArrow()
-    made = np.zeros(1 << (SHARED_BITS - 3), np.uint8)
-    for at, data in zip(rows.column("chunk").to_pylist(), rows.column("again").to_pylist()):
-        made[at * chunk : (at + 1) * chunk] = np.frombuffer(data, np.uint8)
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, np.int64)
+        for batch in rows.to_batches(max_chunksize=64):
+            for x in batch.column(batch.schema.get_field_index("counts")).to_pylist():
+                total += np.frombuffer(zlib.decompress(x), np.uint8)
+        middle = float(np.median(total))
+        often = total >= max(2, np.ceil(middle + 2 * np.sqrt(middle) + 1))
+        return pa.table(
+            {"chunk": pa.array([key[0].as_py()], pa.int32()), "often": pa.array([np.packbits(often, bitorder="little").tobytes()], pa.binary())}
+        )
+
+    parts = docs.select("text").mapInArrow(collect, "chunk int, counts binary")
+    rows = parts.groupBy("chunk").applyInArrow(merge, "chunk int, often binary").toArrow()
+    made = np.zeros(places >> 3, np.uint8)
+    for at, data in zip(rows.column("chunk").to_pylist(), rows.column("often").to_pylist()):
+        made[at * (chunk >> 3) : (at + 1) * (chunk >> 3)] = np.frombuffer(data, np.uint8)
     return made
 
 
@@ -354,58 +370,176 @@ def keyed(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return docs.select("text").mapInArrow(step, "key long, node long")
 
 
-def candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(node, cluster) of the nodes that share a key with another one."""
-    edges = (
+def members_of(docs: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The sets of every group, a row each: g1, g2 (the group), n (its nodes), first (the
+    smallest), keys, node, set_id, n_shingles. A group is the nodes that have some key;
+    ``keys`` have the same nodes and are one group, named by 128 bits of its nodes. Groups
+    of one node are left out."""
+    per_key = "OVER (PARTITION BY key)"
+    several = (
         keyed(docs, width, num, den)
-        .withColumn("first", F.expr("min(node) OVER (PARTITION BY key)"))
-        .filter("node <> first")
-        .select(F.col("node").alias("a"), F.col("first").alias("b"))
-        .distinct()
+        .select("key", "node", F.expr(f"min(node) {per_key}").alias("low"), F.expr(f"max(node) {per_key}").alias("high"))
+        .filter("low < high").select("key", "node").distinct()
     )
-    return staged(components(edges).withColumnRenamed("root", "cluster"), "join-clusters")
+    groups = several.select(
+        *[F.expr(f"bit_xor(xxhash64(node, {i})) {per_key}").alias(f"g{i}") for i in (1, 2)],
+        F.expr(f"count(*) {per_key}").alias("n"), F.expr(f"min(node) {per_key}").alias("first"), "node",
+    ).groupBy("g1", "g2", "n", "first", "node").agg(F.count("*").alias("keys"))
+    known = sets.select(node_of(F.col("set_id")).alias("node"), "set_id", "n_shingles")
+    return staged(groups.join(known, "node"), "join-members")
+
+
+def pairs_of(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(x, y, g1, g2, x_first, y_first): the pairs of sets within the groups of PAIR_MOST nodes
+    or fewer, each once, with one of their groups and the keys of the groups that either is
+    the first node of. Sizes that can't be linked are left out, and so are prefixes that
+    have too few keys in common, as those of a linked pair have PREFIX_KEYS."""
+    few = members.filter(F.col("n") <= PAIR_MOST).drop("n")
+    x, y = few.alias("x"), few.alias("y")
+    sizes = F.col("x.n_shingles"), F.col("y.n_shingles")
+    both = x.join(
+        y,
+        (F.col("x.g1") == F.col("y.g1")) & (F.col("x.g2") == F.col("y.g2")) & (F.col("x.set_id") < F.col("y.set_id"))
+        & (F.greatest(*sizes) * num <= F.least(*sizes) * den),
+    )
+    led = [F.sum(F.when(F.col(f"{c}.node") == F.col(f"{c}.first"), F.col(f"{c}.keys")).otherwise(0)).alias(f"{c}_first") for c in "xy"]
+    pairs = both.groupBy(F.col("x.set_id").alias("x"), F.col("y.set_id").alias("y")).agg(
+        F.sum("x.keys").alias("keys"), F.min(F.least(*sizes)).alias("least"), F.min(F.struct("x.g1", "x.g2")).alias("g"), *led
+    )
+    wanted = 1 if num >= PART_LEAST * den else F.least(F.lit(PREFIX_KEYS), F.ceil(F.col("least") * num / den))
+    return staged(pairs.filter(F.col("keys") >= wanted).select("x", "y", "g.g1", "g.g2", "x_first", "y_first"), "join-pairs")
 
 
 def node_of(set_id: Column) -> Column:
     return F.conv(F.substring(F.hex(set_id), 1, 16), 16, -10).cast("long")
 
 
-def verify(docs: DataFrame, reps: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Edges (a, b) between the ids of linked sets. ``reps``: doc_id, set_id, n_shingles,
-    cluster, one row per candidate set."""
-    size = reps.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("grams")).filter("sets > 1")
-    blocks = F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int")
-    placed = staged(
-        reps.join(size.select("cluster", blocks.alias("blocks")), "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-        .select("doc_id", "set_id", "cluster", "blocks", "block"),
-        "join-candidates",
+def blocks_of(sets: Column, grams: Column) -> Column:
+    return F.ceil(F.greatest(sets / BLOCK_SETS, grams / BLOCK_GRAMS)).cast("int")
+
+
+def block_in(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("set_id"), blocks).cast("int")
+
+
+def led(members: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of pairs and large groups: set_id, doc_id, n_shingles, node, lead, blocks, cell.
+    ``lead`` is the node that is the first of most of a set's keys, null if it is its own;
+    the sets of one lead are dealt into ``blocks``, a set into the one of its ``cell``."""
+    large = members.filter(F.col("n") > PAIR_MOST)
+    found = (
+        pairs.select(F.col("y").alias("set_id"), node_of(F.col("x")).alias("lead"), F.col("x_first").alias("keys"))
+        .unionByName(pairs.select(F.col("x").alias("set_id"), node_of(F.col("y")).alias("lead"), F.col("y_first").alias("keys")))
+        .unionByName(large.select("set_id", F.col("first").alias("lead"), "keys"))
+        .groupBy("set_id", "lead").agg(F.sum("keys").alias("keys"))
+    )
+    followed = F.when((F.col("keys") > 0) & (F.col("lead") != node_of(F.col("set_id"))), F.struct("keys", "lead"))
+    best = found.groupBy("set_id").agg(F.max(followed)["lead"].alias("lead"))
+    reps = sets.join(best, "set_id").select("set_id", "doc_id", "n_shingles", node_of(F.col("set_id")).alias("node"), "lead")
+    reps = staged(reps, "join-led")
+    size = reps.filter("lead is not null").groupBy("lead").agg(blocks_of(F.count("*"), F.sum("n_shingles")).alias("blocks"))
+    return staged(reps.join(size, "lead", "left").withColumn("cell", block_in(F.col("blocks"))), "join-cells")
+
+
+def around_first(reps: DataFrame) -> DataFrame:
+    """The sets that have one lead, with the lead itself in each block."""
+    near = reps.filter("lead is not null").select(F.col("lead").alias("g1"), F.col("cell").alias("i"), "doc_id", "set_id")
+    size = reps.filter("lead is not null").select(F.col("lead").alias("node"), F.col("blocks").alias("most")).distinct()
+    leads = reps.join(size, "node").select(
+        F.col("node").alias("g1"), F.explode(F.sequence(F.lit(0), F.col("most") - 1)).alias("i"), "doc_id", "set_id"
+    )
+    i = F.col("i")
+    return near.unionByName(leads).select(
+        "g1", F.lit(0).cast("long").alias("g2"), "i", i.alias("j"), i.alias("block"), "doc_id", "set_id", F.col("set_id").alias("name")
+    )
+
+
+def other_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs that have not met and don't have one name; those of a group meet at once."""
+    sides = [reps.select(*[F.col(c).alias(f"{p}_{c}") for c in ("set_id", "node", "lead", "cell", "name")]) for p in "ab"]
+    joined = pairs.join(sides[0], F.col("x") == F.col("a_set_id")).join(sides[1], F.col("y") == F.col("b_set_id"))
+    met = F.expr("(a_lead <=> b_lead and a_cell <=> b_cell and a_lead is not null) or a_lead <=> b_node or b_lead <=> a_node")
+    rest = joined.filter((F.col("a_name") != F.col("b_name")) & ~met)
+    own = rest.select("g1", "g2", F.explode(F.array("x", "y")).alias("set_id")).distinct().join(reps, "set_id")
+    zero = F.lit(0)
+    return own.select("g1", "g2", zero.alias("i"), zero.alias("j"), zero.alias("block"), "doc_id", "set_id", "name")
+
+
+def large_groups(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """The sets of the large groups that have several names and have not all met. A group
+    of several blocks has those of its largest name apart: any two blocks meet but two of
+    that name."""
+    large = members.filter(F.col("n") > PAIR_MOST).select("g1", "g2", "first", "set_id")
+    met = large.join(reps, "set_id")
+    group = ["g1", "g2"]
+    near = F.col("node") != F.col("first")  # else it has met those it leads
+    one = lambda c, *of: F.min(F.when(*of, c) if of else c).eqNullSafe(F.max(F.when(*of, c) if of else c))
+    follows = F.coalesce("lead", "node")
+    seen = met.groupBy(group).agg(
+        ((one(follows) & one(F.col("cell"))) | (one(follows, near) & (F.min(F.when(near, follows)) == F.min("first")) & one(F.col("cell"), near))).alias("seen")
     )
-    likely = bits.prefilter(placed.select(F.xxhash64("doc_id").alias("h")), "h", placed.count())
+    per = met.groupBy(*group, "name").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("grams"))
+    size = per.groupBy(group).agg(
+        F.max(F.struct("sets", "grams", "name")).alias("top"), F.count("*").alias("names"), F.sum("sets").alias("sets"), F.sum("grams").alias("grams")
+    ).filter("names > 1")
+    small = blocks_of(F.col("sets"), F.col("grams")) == 1
+    rest = blocks_of(F.col("sets") - F.col("top.sets"), F.col("grams") - F.col("top.grams"))
+    size = size.join(seen.filter(~F.coalesce("seen", F.lit(False))), group, "left_semi").select(
+        *group, F.col("top.name").alias("top"),
+        F.when(small, 0).otherwise(blocks_of(F.col("top.sets"), F.col("top.grams"))).alias("tops"),
+        F.when(small, 1).otherwise(rest).alias("others"),
+    )
+    of_top = (F.col("tops") > 0) & (F.col("name") == F.col("top"))
+    own = F.when(of_top, block_in(F.greatest("tops", F.lit(1)))).otherwise(F.col("tops") + block_in(F.col("others")))
+    placed = met.join(size, group).withColumn("block", own).withColumn(
+        "other", F.explode(F.sequence(F.when(of_top, F.col("tops")).otherwise(0), F.col("tops") + F.col("others") - 1))
+    )
+    return placed.select(*group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "set_id", "name")
+
+
+def verify(docs: DataFrame, dealt: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Edges (a, b) between the names of linked sets that meet. ``dealt``: g1, g2, i, j (two
+    blocks that meet), block (the one a set is in), doc_id, set_id, and a name that sets have
+    in common which are known to be linked."""
+    dealt = staged(dealt, "join-candidates")
+    ids = staged(dealt.select(F.xxhash64("doc_id").alias("h")).distinct(), "join-dealt")
+    likely = bits.prefilter(ids, "h", ids.count())
     texts = docs.filter(likely.holds(F.xxhash64("doc_id"))).withColumnRenamed("doc_id", "id")
-    met = placed.join(texts, F.col("doc_id").eqNullSafe(F.col("id")))
-    dealt = met.select(
-        "cluster", "set_id", "text", "block",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "text")
+    met = dealt.join(texts, F.col("doc_id").eqNullSafe(F.col("id"))).drop("doc_id", "id")
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         shingler, sides, seen = Shingler(width), {}, set()
-        _, i, j = (k.as_py() for k in key)
-        for batch in rows.select(["block", "set_id", "text"]).to_batches(max_chunksize=64):
-            block, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for b, own, grams in zip(block, ids, shingler.sets(batch.column(2).to_pylist())):
+        i, j = (k.as_py() for k in key[2:])
+        for batch in rows.select(["block", "set_id", "text", "name"]).to_batches(max_chunksize=64):
+            block, ids, names = (batch.column(c).to_pylist() for c in (0, 1, 3))
+            for b, own, grams, name in zip(block, ids, shingler.sets(batch.column(2).to_pylist()), names):
                 if own not in seen and identity(grams) == own:  # an id may have several texts
                     seen.add(own)
-                    sides.setdefault(b, []).append((own, grams))
+                    sides.setdefault(b, []).append((own, grams, name))
         left = sorted(sides.get(i, []), key=lambda x: x[0])
         right = sorted(sides.get(j, []), key=lambda x: x[0]) if j != i else None
-        names = [n for n, _ in left + (right or [])]
-        boss = find_links([g for _, g in left], None if right is None else [g for _, g in right], num, den)
-        pairs = [(names[x], names[y]) for x, y in enumerate(boss.tolist()) if x != y]
+        names = [n for _, _, n in left + (right or [])]
+        boss = find_links([g for _, g, _ in left], None if right is None else [g for _, g, _ in right], num, den, names)
+        pairs = {(names[x], names[y]) for x, y in enumerate(boss.tolist()) if names[x] != names[y]}
         return pa.table({"a": pa.array([x for x, _ in pairs], pa.binary()), "b": pa.array([y for _, y in pairs], pa.binary())})
 
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a binary, b binary")
+    return met.groupBy("g1", "g2", "i", "j").applyInArrow(compare, "a binary, b binary")
+
+
+def linked_sets(docs: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(set_id, root) of the sets that are linked to another one."""
+    members = members_of(docs, sets, width, num, den)
+    pairs = pairs_of(members, num, den)
+    reps = led(members, pairs, sets)
+    near = components(verify(docs, around_first(reps), width, num, den)).withColumnRenamed("node", "set_id")
+    reps = staged(
+        reps.join(near, "set_id", "left").withColumn("name", F.coalesce("root", "set_id")).withColumn("tied", F.col("root").isNotNull()).drop("root"),
+        "join-near",
+    )
+    rest = other_pairs(pairs, reps).unionByName(large_groups(members, reps))
+    ends = components(verify(docs, rest, width, num, den)).withColumnRenamed("node", "name")
+    found = reps.join(ends, "name", "left").filter(F.col("tied") | F.col("root").isNotNull())
+    return found.select("set_id", F.coalesce("root", "name").alias("root"))
 
 
 def grouped(plain: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -417,9 +551,7 @@ def grouped(plain: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("docs"), F.max("n_shingles").alias("n_shingles")),
         "join-distinct",
     )
-    clusters = candidates(plain, width, num, den)
-    reps = sets.withColumn("node", node_of(F.col("set_id"))).join(clusters, "node")
-    roots = components(verify(plain, reps, width, num, den)).withColumnRenamed("node", "set_id")
+    roots = linked_sets(plain, sets, width, num, den)
     linked = sets.join(roots, "set_id", "left").filter("root is not null or docs > 1")
     return described, linked.select("set_id", "doc_id", "docs", F.coalesce("root", "set_id").alias("root"))
 
